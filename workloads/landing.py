@@ -1,0 +1,278 @@
+"""Payloads, landing files, bronze tables and table writes, all made from the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+from tidemark.session import scratch_path
+from tidemark.sources import landing, payloads, tables
+from tidemark.sources.schemas import GDP_FIELDS, SERIES_SCHEMA
+from workloads.inputs import FIRST_LOAD, monthly_landing, table
+from workloads.registry import query
+
+LANDING_COLUMNS = [name for name in SERIES_SCHEMA.names]
+
+
+def _order_parts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderdate").alias("day"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("price"),
+        F.col("o_totalprice").alias("amount"),
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_orderstatus").alias("status"),
+    )
+
+
+# --- payloads: one document per order ---
+
+
+@query(f"""
+SELECT 'bcb' AS fonte, o_orderpriority AS indicador, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS data,
+       CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+       CASE WHEN item = 1 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS valor,
+       'R$' AS unidade, '{FIRST_LOAD}' AS dt_carga
+FROM orders CROSS JOIN (SELECT unnest([1, 2]) AS item)
+""")
+def payload_sgs(spark, sf_dir):
+    day = F.date_format("day", "dd/MM/yyyy").alias("data")
+    items = F.array(F.struct(day, F.col("price").alias("valor")), F.struct(day, F.lit("").alias("valor")))
+    documents = _order_parts(spark, sf_dir).select("priority", F.to_json(items).alias("payload"))
+    return payloads.flatten_sgs(documents, F.col("priority"), "R$", loaded_at=FIRST_LOAD)
+
+
+@query(f"""
+SELECT 'ibge' AS fonte, o_orderpriority AS indicador,
+       CASE WHEN item = 1 THEN CAST(year(o_orderdate) AS VARCHAR)
+            ELSE CAST(year(o_orderdate) AS VARCHAR) || '-T' || CAST(quarter(o_orderdate) AS VARCHAR) END AS periodo,
+       CAST(year(o_orderdate) AS INTEGER) AS ano,
+       CASE WHEN item = 2 THEN CAST(quarter(o_orderdate) AS INTEGER) END AS trimestre,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS valor, '%' AS unidade, '{FIRST_LOAD}' AS dt_carga
+FROM orders CROSS JOIN (SELECT unnest([1, 2]) AS item)
+""")
+def payload_sidra(spark, sf_dir):
+    year = F.date_format("day", "yyyy")
+    quarter = F.concat(year, F.lit("0"), F.quarter("day").cast("string"))
+    serie = F.create_map(
+        year, F.col("price"), quarter, F.col("price"), F.concat(year, F.lit("05")), F.lit("..."), F.concat(year, F.lit("06")), F.lit("")
+    )
+    documents = _order_parts(spark, sf_dir).select("priority", _sidra_document(F.array(_sidra_series("priority", serie))))
+    return payloads.flatten_sidra(documents, F.col("priority"), "%", loaded_at=FIRST_LOAD)
+
+
+def _sidra_series(place: str, serie):
+    return F.struct(F.struct(F.col(place).alias("nome")).alias("localidade"), serie.alias("serie"))
+
+
+def _sidra_document(series):
+    return F.to_json(F.array(F.struct(F.array(F.struct(series.alias("series"))).alias("resultados")))).alias("payload")
+
+
+@query(f"""
+SELECT 'ibge' AS fonte, 'populacao' AS indicador, CASE WHEN item = 1 THEN o_orderpriority ELSE o_orderstatus END AS uf,
+       CAST(year(o_orderdate) AS INTEGER) AS ano,
+       CASE WHEN item = 1 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS valor,
+       'pessoas' AS unidade, '{FIRST_LOAD}' AS dt_carga
+FROM orders CROSS JOIN (SELECT unnest([1, 2]) AS item)
+""")
+def payload_sidra_region(spark, sf_dir):
+    year = F.date_format("day", "yyyy")
+    known = _sidra_series("priority", F.create_map(year, F.col("price"), F.concat(year, F.lit("x")), F.lit("1")))
+    unknown = _sidra_series("status", F.create_map(year, F.lit("...")))
+    documents = _order_parts(spark, sf_dir).select(F.year("day").alias("ano"), _sidra_document(F.array(known, unknown)))
+    return payloads.flatten_sidra_region(documents, "populacao", "pessoas", "ano", loaded_at=FIRST_LOAD)
+
+
+@query(f"""
+SELECT 'ipea' AS fonte, o_orderpriority AS indicador, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS data,
+       CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+       o_totalprice AS valor, '%' AS unidade, '{FIRST_LOAD}' AS dt_carga
+FROM orders WHERE year(o_orderdate) >= 1997
+""")
+def payload_odata(spark, sf_dir):
+    day = F.date_format("day", "yyyy-MM-dd'T'HH:mm:ss'-03:00'")
+    value, when = F.col("amount").alias("VALVALOR"), day.alias("VALDATA")
+    no_value, no_day, bad_day = F.lit(None).cast("double").alias("VALVALOR"), F.lit("").alias("VALDATA"), F.lit("n/a").alias("VALDATA")
+    items = F.array(F.struct(value, when), F.struct(no_value, when), F.struct(value, no_day), F.struct(value, bad_day))
+    document = F.to_json(F.struct(items.alias("value")), {"ignoreNullFields": "false"}).alias("payload")
+    documents = _order_parts(spark, sf_dir).select("priority", document)
+    return payloads.flatten_odata(documents, F.col("priority"), "%", min_year=1997, loaded_at=FIRST_LOAD)
+
+
+# --- fallback between sources ---
+
+
+@query("""
+SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+""")
+def source_fallback(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+    candidates = [orders.filter(F.col("o_orderstatus") == status).drop("o_orderstatus") for status in ("missing", "F", "O")]
+    return landing.first_nonempty(candidates)
+
+
+@query("""
+WITH ranked AS (
+  SELECT o_custkey, o_orderkey, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS priority FROM orders)
+SELECT o_custkey, o_orderkey FROM (SELECT *, min(priority) OVER (PARTITION BY o_custkey) AS best FROM ranked)
+WHERE priority = best
+""")
+def source_fallback_by_key(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    candidates = [orders.filter(F.col("o_orderstatus") == status).drop("o_orderstatus") for status in ("P", "F", "O")]
+    return landing.first_nonempty(candidates, by=["o_custkey"])
+
+
+# --- landing files ---
+
+MONTHLY_FILE_SQL = f"""
+  SELECT 'orders' AS fonte, o_orderpriority AS indicador, ano, mes,
+         CAST(make_date(ano, mes, 1) AS VARCHAR) AS data, valor, 'price' AS unidade, '{FIRST_LOAD}' AS dt_carga
+  FROM (SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS valor
+        FROM orders GROUP BY ALL)
+"""
+
+
+def _landed_csv(spark, sf_dir, label: str) -> str:
+    path = scratch_path(spark, label)
+    landing.write_csv(monthly_landing(table(spark, sf_dir, "orders")).select(*LANDING_COLUMNS), path)
+    return path
+
+
+@query(f"SELECT *, CAST(NULL AS VARCHAR) AS periodo, CAST(NULL AS INTEGER) AS trimestre FROM ({MONTHLY_FILE_SQL})")
+def csv_by_name(spark, sf_dir):
+    return landing.read_series_csv(spark, _landed_csv(spark, sf_dir, "csv"), GDP_FIELDS)
+
+
+@query(MONTHLY_FILE_SQL)
+def csv_by_position(spark, sf_dir):
+    return landing.read_series_csv(spark, _landed_csv(spark, sf_dir, "csv"), SERIES_SCHEMA, bind="position")
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def csv_inferred(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    landing.write_csv(table(spark, sf_dir, "customer"), path)
+    types = {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"}
+    inferred = landing.read_inferred_csv(spark, path)
+    return inferred.select(*[F.col(name).cast(types.get(name, "string")).alias(name) for name in inferred.columns])
+
+
+@query("""
+SELECT source, n_files, n_rows, n_rows >= 10 AS passed FROM (
+  SELECT 'orders' AS source, CAST(2 AS BIGINT) AS n_files,
+         (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) AS n_rows
+  UNION ALL SELECT 'region', 1, (SELECT count(*) FROM region)
+  UNION ALL SELECT 'absent', 0, 0)
+""")
+def rowcount_gate(spark, sf_dir):
+    """Landing files are folders of parts here, so the folder name stands for the file name."""
+    base = scratch_path(spark, "gate")
+    for name, source in (("orders_a", "orders"), ("orders_b", "customer"), ("region_a", "region")):
+        landing.write_csv(table(spark, sf_dir, source), f"{base}/{name}.csv")
+    parts = spark.read.csv(f"{base}/*", schema="first_field string", header=True)
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2).alias("file_name")
+    counts = parts.groupBy(folder).agg(F.count(F.lit(1)).alias("n_rows"))
+    return landing.gate_rows(counts, ["orders", "region", "absent"])
+
+
+# --- bronze ---
+
+
+@query("""
+SELECT c_custkey AS id, c_name AS name, c_acctbal AS acctbal, c_mktsegment AS segment, 'customer' AS _source,
+       TIMESTAMP '2024-01-01 00:00:00' AS _loaded_at FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_acctbal, NULL, 'supplier', TIMESTAMP '2024-02-01 00:00:00' FROM supplier
+""")
+def bronze_evolution(spark, sf_dir):
+    path = scratch_path(spark, "bronze")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", "s_name AS name", "s_acctbal AS acctbal")
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id", "c_name AS name", "c_acctbal AS acctbal", "c_mktsegment AS segment"
+    )
+    landing.append_bronze(landing.stamp(suppliers, "supplier", "2024-02-01 00:00:00"), path)
+    landing.append_bronze(landing.stamp(customers, "customer", "2024-01-01 00:00:00"), path)
+    return landing.read_bronze(spark, path)
+
+
+@query("""
+SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+""")
+def written_row_metrics(spark, sf_dir):
+    counts = [
+        (name, landing.append_bronze(table(spark, sf_dir, name), scratch_path(spark, "metrics")))
+        for name in ("orders", "lineitem")
+    ]
+    return spark.createDataFrame(counts, "table_name string, n_rows bigint")
+
+
+# --- tables ---
+
+ORDER_TABLE = StructType(
+    [
+        StructField("chave", LongType()),
+        StructField("fonte", StringType()),
+        StructField("ano", IntegerType()),
+        StructField("valor", DoubleType()),
+    ]
+)
+
+
+def _base_and_batch(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Orders before 2000 as the table; a batch that restates urgent orders under another
+    status, which moves them to another partition, and adds the later ones."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("chave"),
+        F.col("o_orderstatus").alias("fonte"),
+        F.year("o_orderdate").alias("ano"),
+        F.col("o_totalprice").alias("valor"),
+        "o_orderpriority",
+    )
+    base = orders.filter("ano < 2000")
+    urgent = base.filter("o_orderpriority = '1-URGENT'").withColumn("fonte", F.lit("X")).withColumn("valor", F.col("valor") + 1)
+    batch = urgent.unionByName(orders.filter("ano >= 2000"))
+    return base.select(*ORDER_TABLE.names), batch.select(*ORDER_TABLE.names)
+
+
+UPSERTED_SQL = """
+  SELECT o_orderkey AS chave, CAST(year(o_orderdate) AS INTEGER) AS ano,
+         CASE WHEN year(o_orderdate) < 2000 AND o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS fonte,
+         CASE WHEN year(o_orderdate) < 2000 AND o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS valor
+  FROM orders
+"""
+
+
+@query(UPSERTED_SQL)
+def merge_by_key(spark, sf_dir):
+    base, batch = _base_and_batch(spark, sf_dir)
+    return tables.merge_rows(base, batch, ["chave"])
+
+
+@query(UPSERTED_SQL)
+def observed_upsert(spark, sf_dir):
+    base, batch = _base_and_batch(spark, sf_dir)
+    path = scratch_path(spark, "table")
+    tables.write_partitioned(base, path, ["fonte", "ano"])
+    tables.upsert(spark, path, batch, ["chave"], ["fonte", "ano"])
+    tables.upsert(spark, path, batch, ["chave"], ["fonte", "ano"])
+    return spark.read.schema(ORDER_TABLE).parquet(path)
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def partitioned_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "table")
+    tables.write_partitioned(table(spark, sf_dir, "customer"), path, ["c_mktsegment", "c_nationkey"])
+    return tables.load(spark, path)
+
+
+@query("SELECT s_nationkey, count(*) AS n_suppliers FROM supplier GROUP BY s_nationkey")
+def exported_view(spark, sf_dir):
+    path = scratch_path(spark, "export")
+    tables.export_parquet(table(spark, sf_dir, "supplier"), path)
+    tables.register_view(spark, "exported_supplier", path)
+    return spark.sql("SELECT s_nationkey, count(*) AS n_suppliers FROM exported_supplier GROUP BY s_nationkey")
