@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from copy import copy
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,14 +115,12 @@ def _replace_partitions(spark, path, source, keys, columns) -> None:
     target = _typed_target(spark, path, source, columns)
     # Key and partition columns only: where do matching keys live today?
     matched = target.select(*dict.fromkeys([*keys, *columns])).join(source.select(*keys), keys, "left_semi")
-    touched = materialise(source.select(*columns).union(matched.select(*columns)).distinct(), "upsert-partitions")
-    affected = _in_partitions(target, touched, columns)
+    touched = _PartitionList(source.select(*columns).union(matched.select(*columns)), columns)
 
     merged_path = scratch_path(spark, "upsert-merged")
-    merge_rows(affected, source, keys).write.parquet(merged_path)
+    merge_rows(touched.rows_of(target), source, keys).write.parquet(merged_path)
     merged = spark.read.parquet(merged_path)
-    emptied = touched.join(merged.select(*columns).distinct(), _same(touched, merged, columns), "left_anti")
-    stale = _folders(_in_partitions(target, materialise(emptied, "upsert-emptied"), columns))
+    stale = _folders(touched.without(merged).rows_of(target))
     try:
         publish(merged, path, columns)
         _remove_folders(spark, stale)
@@ -142,16 +141,36 @@ def _same(left: DataFrame, right: DataFrame, columns):
     return reduce(lambda a, b: a & b, [left[name].eqNullSafe(right[name]) for name in columns])
 
 
-def _in_partitions(target: DataFrame, partitions: DataFrame, columns) -> DataFrame:
-    """Rows of the listed partitions; a list that fits in the plan prunes the scan."""
-    listed = partitions.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return target.join(partitions, _same(target, partitions, columns), "left_semi")
-    conditions = [
-        reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(values[name])) for name in columns])
-        for values in listed
-    ]
-    return target.filter(reduce(lambda a, b: a | b, conditions, F.lit(False)))
+class _PartitionList:
+    """Distinct partition values: listed in the plan if they are few, else kept as a table.
+
+    A list prunes the scan of the target. Without a list the same rows are found by a join.
+    """
+
+    def __init__(self, rows: DataFrame, columns):
+        self.columns = columns
+        distinct = rows.select(*columns).distinct()
+        listed = distinct.limit(MAX_LISTED_PARTITIONS + 1).collect()
+        self.listed = {tuple(row) for row in listed} if len(listed) <= MAX_LISTED_PARTITIONS else None
+        self.table = None if self.listed is not None else materialise(distinct, "partitions")
+
+    def rows_of(self, target: DataFrame) -> DataFrame:
+        if self.listed is None:
+            return target.join(self.table, _same(target, self.table, self.columns), "left_semi")
+        conditions = [
+            reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(self.columns, values)])
+            for values in self.listed
+        ]
+        return target.filter(reduce(lambda a, b: a | b, conditions, F.lit(False)))
+
+    def without(self, rows: DataFrame) -> _PartitionList:
+        """The partitions of this list that have no row in ``rows``, which lies within the list."""
+        held = rows.select(*self.columns).distinct()
+        if self.listed is None:
+            return _PartitionList(self.table.join(held, _same(self.table, held, self.columns), "left_anti"), self.columns)
+        rest = copy(self)
+        rest.listed = self.listed - {tuple(row) for row in held.collect()}
+        return rest
 
 
 def _folders(df: DataFrame) -> list[str]:

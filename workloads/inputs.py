@@ -14,8 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def exact_mean(column: str):
-    """Mean of two-decimal figures that does not depend on the order of addition."""
-    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))
+    """Mean of two-decimal figures, summed in whole cents so that the order of addition is no matter."""
+    return F.sum(F.rint(F.col(column) * 100).cast("bigint")).cast("double") / 100 / F.count(F.lit(1))
 
 
 def monthly_landing(orders: DataFrame, load: str = FIRST_LOAD) -> DataFrame:
@@ -66,7 +66,7 @@ MONTHLY_SQL = """
          CAST(make_date(year(o_orderdate), month(o_orderdate), 1) AS VARCHAR) AS periodo,
          CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
          CAST(NULL AS INTEGER) AS trimestre,
-         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS valor,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS valor,
          'price' AS unidade, {load} AS carga
   FROM orders WHERE {condition}
   GROUP BY o_orderpriority, year(o_orderdate), month(o_orderdate)
@@ -76,7 +76,7 @@ QUARTERLY_SQL = """
          CAST(year(l_shipdate) AS VARCHAR) || '-T' || CAST(quarter(l_shipdate) AS VARCHAR) AS periodo,
          CAST(year(l_shipdate) AS INTEGER) AS ano, CAST(NULL AS INTEGER) AS mes,
          CAST(quarter(l_shipdate) AS INTEGER) AS trimestre,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS valor,
+         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS valor,
          'price' AS unidade, 1 AS carga
   FROM lineitem
   GROUP BY l_returnflag, year(l_shipdate), quarter(l_shipdate)

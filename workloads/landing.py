@@ -131,7 +131,7 @@ MONTHLY_FILE_SQL = f"""
   SELECT 'orders' AS fonte, o_orderpriority AS indicador, ano, mes,
          CAST(make_date(ano, mes, 1) AS VARCHAR) AS data, valor, 'price' AS unidade, '{FIRST_LOAD}' AS dt_carga
   FROM (SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
-               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS valor
+               CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS valor
         FROM orders GROUP BY ALL)
 """
 
@@ -259,7 +259,6 @@ def observed_upsert(spark, sf_dir):
     path = scratch_path(spark, "table")
     tables.write_partitioned(base, path, ["fonte", "ano"])
     tables.upsert(spark, path, batch, ["chave"], ["fonte", "ano"])
-    tables.upsert(spark, path, batch, ["chave"], ["fonte", "ano"])
     return spark.read.schema(ORDER_TABLE).parquet(path)
 
 
