@@ -1,0 +1,163 @@
+from __future__ import annotations
+
+import datetime as dt
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import tidemark.functions as fn
+
+
+def value(df, column):
+    return df.select(column.alias("v")).first()[0]
+
+
+@pytest.fixture
+def one(table):
+    return lambda schema, *data: table(schema, tuple(data))
+
+
+def test_safe_add_and_subtract_count_null_as_zero(one):
+    df = one("a int, b int, c int", 5, None, 2)
+    assert value(df, fn.safe_add(["a", "b", "c"])) == 7
+    assert value(df, fn.safe_subtract(["a", "b", "c"])) == 3
+    assert value(df, fn.safe_subtract(["b", "a", "c"])) == -7
+
+
+@pytest.mark.parametrize("bad", ["a", F.col, 3])
+def test_safe_add_refuses_a_bare_string(bad):
+    with pytest.raises(TypeError):
+        fn.safe_add(bad)
+
+
+@pytest.mark.parametrize(
+    "numerator, denominator, expected", [(6.0, 3.0, 2.0), (6.0, 0.0, None), (None, 3.0, None), (6.0, None, None), (0.0, 0.0, None)]
+)
+def test_safe_divide(one, numerator, denominator, expected):
+    assert value(one("n double, d double", numerator, denominator), fn.safe_divide("n", "d")) == expected
+
+
+@pytest.mark.parametrize("current, previous, expected", [(110.0, 100.0, 10.0), (-50.0, -100.0, 50.0), (5.0, 0.0, None), (5.0, None, None)])
+def test_percent_change_uses_the_size_of_the_previous_value(one, current, previous, expected):
+    assert value(one("c double, p double", current, previous), fn.percent_change("c", "p")) == expected
+
+
+@pytest.mark.parametrize("x, bucket", [(-3.0, 0), (0.0, 1), (1.99, 1), (2.0, 2), (9.99, 5), (10.0, 6), (14.0, 6), (None, None)])
+def test_width_bucket(one, x, bucket):
+    assert value(one("x double", x), fn.width_bucket("x", 0.0, 10.0, 5)) == bucket
+
+
+def test_width_bucket_counts_from_its_lower_bound(one):
+    assert value(one("x double", 3.0), fn.width_bucket("x", 1.0, 11.0, 5)) == 2
+
+
+def test_haversine(one):
+    df = one("a double, b double, c double, d double", 48.864716, 2.349014, 52.379189, 4.899431)
+    miles = value(df, fn.haversine("a", "b", "c", "d"))
+    assert round(miles) == 267
+    assert value(df, fn.haversine("a", "b", "c", "d", "km")) == pytest.approx(miles * 1.60934)
+    with pytest.raises(ValueError):
+        fn.haversine("a", "b", "c", "d", "yd")
+
+
+def test_surrogate_key(one):
+    df = one("a string, b int, c string", "x", 1, None)
+    digest = lambda text: hashlib.md5(text.encode()).hexdigest()
+    assert value(df, fn.surrogate_key(["a", "b", "c"])) == digest(f"x-1-{fn.SURROGATE_NULL}")
+    assert value(df, fn.surrogate_key(["a", "b", "c"], nulls_as_empty=True)) == digest("x-1-")
+    assert value(df, fn.surrogate_key(["a"])) == digest("x")
+
+
+def test_composite_key_leaves_out_nulls(one):
+    assert value(one("a string, b string", "gdp", None), fn.composite_key("a", "b")) == "gdp"
+
+
+@pytest.mark.parametrize(
+    "text, expected", [("", ""), (None, ""), ("!Hell0 world-hi", "hell0_world_hi"), ("0Hell0 world-hi", "_0hell0_world_hi"), ("a - b", "a_b")]
+)
+def test_slug_agrees_with_its_column_form(one, text, expected):
+    assert fn.slug(text) == expected
+    assert value(one("t string", text), fn.slugify("t")) == expected
+
+
+@pytest.mark.parametrize(
+    "url, host, path",
+    [
+        ("https://www.a.com/b/c?x=1", "www.a.com", "b/c"),
+        ("http://a.com", "a.com", "a.com"),
+        ("android-app://a.b.c/d", "a.b.c", "/a.b.c/d"),
+        ("a.com?x=/y", "a.com", "y"),
+        ("a.com?x=1", "a.com", ""),
+        ("https://a.com/", "a.com", ""),
+        (None, None, None),
+    ],
+)
+def test_url_host_and_path(one, url, host, path):
+    df = one("u string", url)
+    assert value(df, fn.url_host("u")) == host
+    assert value(df, fn.url_path("u")) == path
+
+
+@pytest.mark.parametrize(
+    "url, plain, strict",
+    [
+        ("http://a.com/?ref=x&z=1", "x", "x"),
+        ("http://a.com/?xref=q", "q", None),
+        ("http://a.com/?ref=", None, None),
+        ("http://a.com/?ref=x#top", "x#top", "x"),
+        ("http://a.com/", None, None),
+    ],
+)
+def test_url_parameter(one, url, plain, strict):
+    df = one("u string", url)
+    assert value(df, fn.url_parameter("u", "ref")) == plain
+    assert value(df, fn.url_parameter("u", "ref", strict=True)) == strict
+
+
+@pytest.mark.parametrize("change, label", [(0.1, "alta"), (-0.1, "queda"), (0.0, "estavel"), (None, "sem_dado")])
+def test_trend_label(one, change, label):
+    assert value(one("c double", change), fn.trend_label("c")) == label
+
+
+@pytest.mark.parametrize(
+    "x, decimals, prefix, suffix, shown",
+    [(12.34, 1, "", "%", "12.3%"), (5.0, 2, "R$ ", "", "R$ 5.00"), (None, 1, "R$ ", "%", "–"), (float("nan"), 1, "", "%", "–")],
+)
+def test_format_kpi(one, x, decimals, prefix, suffix, shown):
+    assert value(one("x double", x), fn.format_kpi("x", decimals, prefix, suffix)) == shown
+
+
+@pytest.mark.parametrize(
+    "start, end, unit, count",
+    [
+        ("2020-01-15", "2020-03-20", "month", 2),
+        ("2020-01-31", "2020-02-29", "month", 1),
+        ("2019-12-31", "2020-01-01", "year", 1),
+        ("2019-12-31", "2020-01-01", "quarter", 1),
+        ("2020-01-01", "2020-01-10", "day", 9),
+        ("2020-01-05", "2020-01-06", "week", 1),
+        ("2020-01-01 10:59:00", "2020-01-01 11:00:00", "hour", 1),
+        ("2020-01-10", "2020-01-01", "day", -9),
+    ],
+)
+def test_boundary_count(one, start, end, unit, count):
+    df = one("a string, b string", start, end).selectExpr("cast(a as timestamp_ntz) a", "cast(b as timestamp_ntz) b")
+    assert value(df, fn.boundary_count("a", "b", unit)) == count
+
+
+def test_shift_clips_month_ends(one):
+    df = one("a string", "2020-01-31").selectExpr("cast(a as timestamp_ntz) a")
+    assert value(df, fn.shift("month", 1, "a")) == dt.datetime(2020, 2, 29)
+    with pytest.raises(ValueError):
+        fn.shift("fortnight", 1, "a")
+
+
+def test_casts_yield_null_on_bad_input(one):
+    df = one("a string, b string", "x1", "31/12/2019")
+    assert value(df, fn.safe_cast("a", "int")) is None
+    assert value(df, fn.to_date_or_null("b", "dd/MM/yyyy")) == dt.date(2019, 12, 31)
+    assert value(df, fn.to_date_or_null("a", "dd/MM/yyyy")) is None
+    assert value(df, fn.month_start(F.lit(2020), F.lit(2))) == dt.date(2020, 2, 1)
+    assert value(df, fn.bool_to_text(F.col("a") == "x1")) == "true"
+    assert value(one("a string", ""), fn.blank_to_null("a")) is None

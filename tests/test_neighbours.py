@@ -1,0 +1,99 @@
+"""The chunked path must give what a plain window gives, also where one group holds most rows."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.copies import repeat_rows
+from tidemark.operators.neighbours import add_neighbour, distinct_steps, group_rows, lag_columns, needs_split
+
+
+def skewed(spark, n=600, hot=0.7, seed=3):
+    """Rows (g, t, v), most of them in one group, with null groups and values."""
+    pick = random.Random(seed)
+    data = []
+    for i in range(n):
+        group = "hot" if pick.random() < hot else pick.choice(["a", "b", None, f"g{i}"])
+        data.append((group, i * 3 % n, pick.choice([None, i])))
+    return spark.createDataFrame(data, "g string, t int, v int")
+
+
+def expected_neighbours(df, offset):
+    groups = {}
+    for row in df.collect():
+        groups.setdefault(row.g, []).append(row)
+    wanted = []
+    for members in groups.values():
+        members.sort(key=lambda row: row.t)
+        for i, row in enumerate(members):
+            j = i - offset
+            near = (members[j].t, members[j].v) if 0 <= j < len(members) else None
+            wanted.append((row.g, row.t, row.v, near))
+    return sorted(wanted, key=str)
+
+
+@pytest.mark.parametrize("offset", [1, -1, 3])
+@pytest.mark.parametrize("split, limit", [(False, 10), (True, 37), (True, 1), (True, 10_000), (None, 50)])
+def test_neighbour_matches_brute_force(spark, offset, split, limit):
+    df = skewed(spark, 40 if limit == 1 else 600)
+    found = add_neighbour(df, "near", ["t", "v"], ["t"], ["g"], offset, split, limit)
+    got = [(r.g, r.t, r.v, None if r.near is None else (r.near.t, r.near.v)) for r in found.collect()]
+    assert sorted(got, key=str) == expected_neighbours(df, offset)
+
+
+def test_neighbour_without_groups_and_in_descending_order(spark):
+    df = spark.range(500).selectExpr("id", "id * 2 as v")
+    found = add_neighbour(df, "near", ["v"], [F.col("id").desc()], split=True, max_group_rows=60)
+    assert {(r.id, r.near and r.near.v) for r in found.collect()} == {(i, (i + 1) * 2 if i < 499 else None) for i in range(500)}
+
+
+def test_chunks_survive_an_empty_table(spark):
+    df = spark.range(0).selectExpr("id", "id as v")
+    assert add_neighbour(df, "near", ["v"], ["id"], split=True).count() == 0
+
+
+def test_largest_group_decides(spark):
+    df = skewed(spark)
+    assert group_rows(df, ["g"]) == df.filter("g = 'hot'").count()
+    assert needs_split(df, ["g"], 100) and not needs_split(df, ["g"], 600)
+    assert group_rows(df, []) == 600
+
+
+def test_lag_columns(spark, rows):
+    df = spark.createDataFrame([(2020, 1, 1.0), (2020, 3, 3.0), (2021, 1, 5.0)], "ano int, mes int, x double")
+    assert rows(lag_columns(df, ["x"], ["ano", "mes"])) == [(2020, 1, 1.0, None), (2020, 3, 3.0, 1.0), (2021, 1, 5.0, 3.0)]
+
+
+def test_zero_offset_is_refused(spark):
+    with pytest.raises(ValueError):
+        add_neighbour(spark.range(1), "near", ["id"], ["id"], offset=0)
+
+
+@pytest.mark.parametrize("offset", [1, -1])
+def test_equal_rows_are_counted_not_lost(spark, offset):
+    """A value that fills a third of the table is one counted row on the chunked path."""
+    df = spark.createDataFrame([("g", v) for v in [5] * 40 + list(range(60)) + [59] * 20] + [("h", 1)], "g string, v int")
+
+    def steps(split, limit):
+        found = distinct_steps(df, ["g"], ["v"], ["v"], offset, split, limit)
+        counts = {}
+        for row in found.collect():
+            key = (row.g, row.v, row.near and row.near.v)
+            counts[key] = counts.get(key, 0) + row.copies
+        return counts
+
+    plain = steps(False, 10)
+    assert steps(True, 7) == plain
+    assert sum(plain.values()) == 121
+    chunked = distinct_steps(df, ["g"], ["v"], ["v"], offset, True, 7)
+    assert chunked.count() < 121
+
+
+def test_repeat_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 0), ("d", 10)], "k string, n bigint")
+    counts = {row.k: row["count"] for row in repeat_rows(df, "n", block=3).groupBy("k").count().collect()}
+    assert counts == {"a": 1, "b": 7, "d": 10}
+    assert repeat_rows(df, "n").columns == ["k"]

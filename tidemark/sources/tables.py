@@ -16,8 +16,10 @@ from tidemark.sources.landing import path_exists
 MAX_LISTED_PARTITIONS = 2_000
 
 
-def load(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    return spark.read.format(format).load(path)
+def load(spark: SparkSession, path: str, format: str = "parquet", schema=None) -> DataFrame:
+    """A table by path. Without a schema, partition values are typed as their folder names look."""
+    reader = spark.read.format(format)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

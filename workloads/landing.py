@@ -259,7 +259,7 @@ def observed_upsert(spark, sf_dir):
     path = scratch_path(spark, "table")
     tables.write_partitioned(base, path, ["fonte", "ano"])
     tables.upsert(spark, path, batch, ["chave"], ["fonte", "ano"])
-    return spark.read.schema(ORDER_TABLE).parquet(path)
+    return tables.load(spark, path, schema=ORDER_TABLE)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
