@@ -82,7 +82,7 @@ def test_equal_rows_are_counted_not_lost(spark, offset):
         counts = {}
         for row in found.collect():
             key = (row.g, row.v, row.near and row.near.v)
-            counts[key] = counts.get(key, 0) + row.copies
+            counts[key] = counts.get(key, 0) + (row.copies if split else 1)
         return counts
 
     plain = steps(False, 10)
@@ -97,3 +97,4 @@ def test_repeat_rows(spark):
     counts = {row.k: row["count"] for row in repeat_rows(df, "n", block=3).groupBy("k").count().collect()}
     assert counts == {"a": 1, "b": 7, "d": 10}
     assert repeat_rows(df, "n").columns == ["k"]
+    assert repeat_rows(df, "no_such_column").count() == 4

@@ -191,7 +191,7 @@ def sequential_values(
     previous = F.col("near")[column]
     expected = shift(datepart, interval, previous) if datepart else previous + interval
     failing = steps.filter(~(F.col(column) == expected))
-    named = failing.select(*group_by, column, previous.alias(f"previous_{slug(column)}"), "copies")
+    named = failing.withColumn(f"previous_{slug(column)}", previous).drop("near")
     return repeat_rows(named, "copies")
 
 
@@ -236,7 +236,7 @@ def mutually_exclusive_ranges(
         .filter(~(F.col(length_flag) & F.col(gap_flag)))
     )
     shown = [*keys, "lower_bound", "upper_bound", "next_lower_bound", "is_last_record", length_flag, gap_flag]
-    return repeat_rows(judged.select(*shown, "copies"), "copies")
+    return repeat_rows(judged.drop("near"), "copies").select(*shown)
 
 
 # --- checks against another table ---

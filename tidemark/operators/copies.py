@@ -9,11 +9,13 @@ BLOCK = 1 << 16
 
 
 def repeat_rows(df: DataFrame, copies: str, block: int = BLOCK) -> DataFrame:
-    """Each row ``copies`` times, without the count column.
+    """Each row ``copies`` times, without the count column; rows as they are if there is none.
 
     A large count is first cut into blocks which are spread over the cluster, so no task
     has to write out one hot row alone.
     """
+    if copies not in df.columns:
+        return df
     columns = [name for name in df.columns if name != copies]
     last_block = F.expr(f"(`{copies}` - 1) div {block}")
     blocks = df.filter(F.col(copies) > 0).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))

@@ -15,6 +15,8 @@ from tidemark.functions._columns import as_column, as_list
 from tidemark.session import materialise
 
 MAX_GROUP_ROWS = 2_000_000
+# Bounds both the shuffle and the edge rows that are broadcast: at most MAX_CHUNKS * |offset|.
+MAX_CHUNKS = 20_000
 
 
 def group_rows(df: DataFrame, keys) -> int:
@@ -59,7 +61,7 @@ def add_neighbour(
 
 def _neighbour_by_chunk(df, name, columns, order: list[Column], keys, offset, rows_per_chunk) -> DataFrame:
     original, reach = df.columns, abs(offset)
-    chunks = max(2, -(-df.count() // max(1, rows_per_chunk)))
+    chunks = min(MAX_CHUNKS, max(2, -(-df.count() // max(1, rows_per_chunk))))
     ranged = df.repartitionByRange(chunks, *keys, *order).withColumn("__chunk", F.spark_partition_id())
     window = Window.partitionBy("__chunk").orderBy(*keys, *order)
     carried = F.struct(F.struct(*keys).alias("group") if keys else F.lit(0).alias("group"), F.struct(*columns).alias("row"))
@@ -68,11 +70,10 @@ def _neighbour_by_chunk(df, name, columns, order: list[Column], keys, offset, ro
         ranged.select(
             "*",
             F.row_number().over(window).alias("__position"),
-            carried.alias("__own"),
             F.lag(carried, offset).over(window).alias("__near"),
         ),
         "neighbours",
-    )
+    ).withColumn("__own", carried)
 
     # One row per chunk: its size and the number of rows before it.
     sizes = placed.groupBy("__chunk").agg(F.max("__position").alias("__size"))
@@ -107,8 +108,9 @@ def lag_columns(df: DataFrame, columns, order_by, partition_by=(), n: int = 1, s
 def distinct_steps(df: DataFrame, keys, order_columns, columns, offset: int, split: bool | None, max_group_rows: int) -> DataFrame:
     """``keys`` and ``order_columns`` of every row with its neighbour, repeats counted.
 
-    Adds struct ``near`` and ``copies``. On the chunked path equal rows are counted before
-    the neighbour is looked up, so a value that fills a third of the table is one row here.
+    Adds struct ``near``. On the chunked path equal rows are counted before the neighbour is
+    looked up, so a value that fills a third of the table is one row here; ``copies`` then
+    says how many rows stand behind each.
     """
     keys, order_columns = list(keys), list(order_columns)
     order = [F.col(name).asc_nulls_last() for name in order_columns]
@@ -116,8 +118,7 @@ def distinct_steps(df: DataFrame, keys, order_columns, columns, offset: int, spl
     if split is None:
         split = needs_split(rows, keys, max_group_rows)
     if not split:
-        near = add_neighbour(rows, "near", columns, order, keys, offset, split=False)
-        return near.withColumn("copies", F.lit(1).cast("bigint"))
+        return add_neighbour(rows, "near", columns, order, keys, offset, split=False)
     counted = rows.groupBy(*keys, *order_columns).agg(F.count(F.lit(1)).alias("__count"))
     stepped = add_neighbour(counted, "__next", columns, order, keys, offset, split=True, max_group_rows=max_group_rows)
     # Of n equal rows one borders on another value, the rest border on each other.

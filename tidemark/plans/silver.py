@@ -12,6 +12,7 @@ from tidemark.functions.keys import composite_key
 from tidemark.functions.maths import percent_change
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.neighbours import add_neighbour
+from tidemark.session import materialise
 
 OBSERVATION_KEY = "chave"
 OBSERVATION_COLUMNS = [
@@ -95,5 +96,8 @@ def silver(frames: Mapping[str, DataFrame], strict: bool = False, split: bool |
     """Observations from landing tables by category."""
     harmonised = [harmonise(df, categoria) for categoria, df in frames.items()]
     newest = newest_observations(union_series(harmonised)).select(*OBSERVATION_COLUMNS)
+    if split is not False:
+        # Measured and cut up below: read the landing tables once, not once per step.
+        newest = materialise(newest, "observations")
     moment = F.current_timestamp() if built_at is None else F.lit(built_at).cast("timestamp")
     return yoy(newest, strict=strict, split=split).withColumn("_silver_at", moment)

@@ -116,7 +116,7 @@ def first_nonempty(candidates: Iterable[DataFrame], by=None) -> DataFrame:
 
 def landed_rows(spark: SparkSession, pattern: str) -> DataFrame:
     """Data rows per landing file, whatever columns each file has."""
-    lines = spark.read.csv(pattern, schema="first_field string", header=True, mode="DROPMALFORMED")
+    lines = spark.read.csv(pattern, schema="first_field string", header=True)
     return lines.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -13,7 +13,7 @@ from tidemark.functions._columns import as_list
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.landing import path_exists
 
-MAX_LISTED_PARTITIONS = 2_000
+MAX_LISTED_PARTITIONS = 500
 
 
 def load(spark: SparkSession, path: str, format: str = "parquet", schema=None) -> DataFrame:
@@ -143,6 +143,16 @@ def _same(left: DataFrame, right: DataFrame, columns):
     return reduce(lambda a, b: a & b, [left[name].eqNullSafe(right[name]) for name in columns])
 
 
+def _any(conditions):
+    """Conditions joined by OR in a balanced tree, so that a long list stays shallow."""
+    if not conditions:
+        return F.lit(False)
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:])
+
+
 class _PartitionList:
     """Distinct partition values: listed in the plan if they are few, else kept as a table.
 
@@ -163,7 +173,7 @@ class _PartitionList:
             reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(self.columns, values)])
             for values in self.listed
         ]
-        return target.filter(reduce(lambda a, b: a | b, conditions, F.lit(False)))
+        return target.filter(_any(conditions))
 
     def without(self, rows: DataFrame) -> _PartitionList:
         """The partitions of this list that have no row in ``rows``, which lies within the list."""
