@@ -87,6 +87,23 @@ def test_first_nonempty(table, rows):
         landing.first_nonempty([])
 
 
+def test_a_hot_key_is_split_when_choosing_by_key(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    apart = spark.newSession()
+    for name, setting in settings.items():
+        apart.conf.set(name, setting)
+    df = apart.range(0, 1_000_000, 1, 16).selectExpr("if(id % 3 = 0, 7, id) AS k", "xxhash64(id) AS v")
+    chosen = landing.first_nonempty([df.filter("v % 5 = 1"), df], by=["k"]).agg(F.sum(F.hash("v")))
+    chosen.collect()
+    assert "skew=true" in chosen._jdf.queryExecution().executedPlan().toString()
+
+
 # --- landing files ---
 
 
@@ -139,7 +156,7 @@ def test_gate(spark, tmp_path, rows):
     write(tmp_path / "bcb_cambio.csv", "a\n")
     write(tmp_path / "ipea_gini.csv", "x,y,z\n" + "1,2,3\n" * 9)
     write(tmp_path / "other.csv", lines(50))
-    counts = landing.landed_rows(spark, f"{tmp_path}/*.csv")
+    counts = landing.landed_rows(spark, str(tmp_path))
     gate = landing.gate_rows(counts, ["bcb", "ipea", "ibge"])
     assert rows(gate.select("source", "n_rows", "passed")) == [("bcb", 10, True), ("ibge", 0, False), ("ipea", 9, False)]
     assert landing.gated_sources(spark, str(tmp_path), ["bcb", "ipea"]) == {"bcb"}
@@ -240,8 +257,8 @@ def test_export_view_and_stored_query(spark, table, tmp_path, rows):
     df = table("a int, b string", (1, "x"), (2, "y"))
     tables.export_parquet(df, str(tmp_path / "export"))
     tables.register_view(spark, "exported", str(tmp_path / "export"))
-    for _ in range(2):
-        tables.create_table_as(spark.sql("SELECT a FROM exported WHERE b = 'y'"), "stored_query")
+    for path in (None, str(tmp_path / "stored")):
+        tables.create_table_as(spark.sql("SELECT a FROM exported WHERE b = 'y'"), "stored_query", path)
         assert rows(spark.table("stored_query")) == [(2,)]
     assert tables.first_existing_schema(spark, ["nowhere", "default"], "stored_query") == "default"
     assert tables.first_existing_schema(spark, ["nowhere"], "stored_query") is None

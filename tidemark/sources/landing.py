@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -96,28 +97,36 @@ def load_if_present(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def first_nonempty(candidates: Iterable[DataFrame], by=None) -> DataFrame:
-    """Rows of the first candidate that has any, for the whole table or for each ``by`` key.
+    """The first candidate that has rows; with ``by``, the choice is made for each key.
 
-    Candidates are ranked in one plan, without a job per candidate.
+    The plain choice looks for one row in each candidate, in a single job, so that the losers
+    are not read. The choice by key is one lazy plan over all candidates.
     """
-    ranked = [df.withColumn("__priority", F.lit(rank)) for rank, df in enumerate(candidates)]
-    if not ranked:
+    candidates = list(candidates)
+    if not candidates:
         raise ValueError("there are no candidates")
-    union = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), ranked)
-    best = F.min("__priority").alias("__best")
     if by is None:
-        return union.filter(F.col("__priority") == union.agg(best).scalar()).drop("__priority")
+        probes = [df.limit(1).select(F.lit(rank).alias("rank")) for rank, df in enumerate(candidates)]
+        found = reduce(DataFrame.unionAll, probes).agg(F.min("rank")).first()[0]
+        return candidates[-1 if found is None else found]
+
     keys = as_list(by)
-    winners = union.groupBy(*keys).agg(best).alias("winner")
+    ranked = [df.withColumn("__priority", F.lit(rank)) for rank, df in enumerate(candidates)]
+    union = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), ranked)
+    winners = union.groupBy(*keys).agg(F.min("__priority").alias("__best")).alias("winner")
+    # Null-safe keys put a shuffle of their own right below the join on both sides,
+    # which is the shape in which AQE can split a hot key.
     same_key = reduce(lambda a, b: a & b, [F.col(f"rows.{key}").eqNullSafe(F.col(f"winner.{key}")) for key in keys])
     is_best = same_key & (F.col("rows.__priority") == F.col("winner.__best"))
     return union.alias("rows").join(winners, is_best, "left_semi").drop("__priority")
 
 
-def landed_rows(spark: SparkSession, pattern: str) -> DataFrame:
-    """Data rows per landing file, whatever columns each file has."""
-    lines = spark.read.csv(pattern, schema="first_field string", header=True)
-    return lines.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+def landed_rows(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """Data rows per ``*.csv`` in the landing folder, be it a file or a folder of parts."""
+    lines = spark.read.csv(f"{raw_dir}/*.csv", schema="first_field string", header=True)
+    below = re.escape(f"/{raw_dir.rstrip('/').rsplit('/', 1)[-1]}/") + r"([^/]+\.csv)(?:/[^/]+)?$"
+    name = F.regexp_extract("_metadata.file_path", below, 1)
+    return lines.groupBy(name.alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def gate_rows(file_counts: DataFrame, sources, min_records: int = MIN_LANDED_ROWS) -> DataFrame:
@@ -144,8 +153,7 @@ def gate_rows(file_counts: DataFrame, sources, min_records: int = MIN_LANDED_ROW
 
 def gated_sources(spark: SparkSession, raw_dir: str, sources, min_records: int = MIN_LANDED_ROWS) -> set[str]:
     """The sources whose landing files pass the gate."""
-    pattern = f"{raw_dir}/*.csv"
-    if not path_exists(spark, pattern):
+    if not path_exists(spark, f"{raw_dir}/*.csv"):
         return set()
-    gate = gate_rows(landed_rows(spark, pattern), sources, min_records)
+    gate = gate_rows(landed_rows(spark, raw_dir), sources, min_records)
     return {row.source for row in gate.filter("passed").collect()}

@@ -58,11 +58,14 @@ def register_view(spark: SparkSession, name: str, path: str) -> DataFrame:
     return df
 
 
-def create_table_as(df: DataFrame, name: str) -> None:
-    """Store a query as a catalog table, built aside and then put in place."""
+def create_table_as(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Store a query as a catalog table, built aside and then put in place.
+
+    With a ``path`` (a fresh one) the data lies there instead of in the warehouse.
+    """
     spark = df.sparkSession
     building = f"{name}__building"
-    df.write.mode("overwrite").saveAsTable(building)
+    df.write.mode("overwrite").saveAsTable(building, path=path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {building} RENAME TO {name}")
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from tidemark.plans import medallion
 from tidemark.session import scratch_path
 from tidemark.sources import landing, payloads, tables
-from tidemark.sources.schemas import GDP_FIELDS, SERIES_SCHEMA
-from workloads.inputs import FIRST_LOAD, monthly_landing, table
+from tidemark.sources.schemas import GDP_FIELDS, GDP_SCHEMA, SERIES_SCHEMA
+from workloads.inputs import FIRST_LOAD, monthly_landing, quarterly_landing, table
 from workloads.registry import query
 
 LANDING_COLUMNS = [name for name in SERIES_SCHEMA.names]
@@ -169,14 +170,10 @@ SELECT source, n_files, n_rows, n_rows >= 10 AS passed FROM (
   UNION ALL SELECT 'absent', 0, 0)
 """)
 def rowcount_gate(spark, sf_dir):
-    """Landing files are folders of parts here, so the folder name stands for the file name."""
-    base = scratch_path(spark, "gate")
+    raw_dir = scratch_path(spark, "gate")
     for name, source in (("orders_a", "orders"), ("orders_b", "customer"), ("region_a", "region")):
-        landing.write_csv(table(spark, sf_dir, source), f"{base}/{name}.csv")
-    parts = spark.read.csv(f"{base}/*", schema="first_field string", header=True)
-    folder = F.element_at(F.split("_metadata.file_path", "/"), -2).alias("file_name")
-    counts = parts.groupBy(folder).agg(F.count(F.lit(1)).alias("n_rows"))
-    return landing.gate_rows(counts, ["orders", "region", "absent"])
+        landing.write_csv(table(spark, sf_dir, source), f"{raw_dir}/{name}.csv")
+    return landing.gate_rows(landing.landed_rows(spark, raw_dir), ["orders", "region", "absent"])
 
 
 # --- bronze ---
@@ -275,3 +272,65 @@ def exported_view(spark, sf_dir):
     tables.export_parquet(table(spark, sf_dir, "supplier"), path)
     tables.register_view(spark, "exported_supplier", path)
     return spark.sql("SELECT s_nationkey, count(*) AS n_suppliers FROM exported_supplier GROUP BY s_nationkey")
+
+
+@query("SELECT l_suppkey, count(*) AS n_lines FROM lineitem GROUP BY l_suppkey")
+def stored_query(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    tables.create_table_as(lines, "tidemark_stored_query", scratch_path(spark, "stored"))
+    return spark.table("tidemark_stored_query")
+
+
+# --- the whole run: landing files to marts ---
+
+# Which orders stand for which source, moved to the years that the marts cover.
+STAND_INS = {
+    "bcb_selic": ("1-URGENT", "selic_mensal"),
+    "bcb_ipca": ("2-HIGH", "ipca_mensal"),
+    "bcb_cambio": ("3-MEDIUM", "cambio_usd_brl"),
+    "ipea_desemprego": ("4-NOT SPECIFIED", "desemprego_pct"),
+}
+YEARS_LATER = 20
+WHOLE_RUN_SQL = f"""
+WITH monthly AS (
+  SELECT o_orderpriority AS p, year(o_orderdate) + {YEARS_LATER} AS ano, month(o_orderdate) AS mes,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS valor
+  FROM orders GROUP BY ALL),
+quarterly AS (
+  SELECT year(l_shipdate) + {YEARS_LATER} AS ano, quarter(l_shipdate) AS q,
+         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS valor
+  FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL),
+means AS (SELECT ano, p, round(avg(valor), 4) AS m FROM monthly GROUP BY ano, p
+          UNION ALL SELECT ano, 'pib', round(avg(valor), 4) FROM quarterly GROUP BY ano),
+panel AS (
+  SELECT CAST(ano AS INTEGER) AS ano, max(CASE WHEN p = '1-URGENT' THEN m END) AS selic_media,
+         max(CASE WHEN p = '2-HIGH' THEN m END) AS ipca_media, max(CASE WHEN p = '3-MEDIUM' THEN m END) AS cambio_medio,
+         max(CASE WHEN p = 'pib' THEN m END) AS pib_variacao_media,
+         max(CASE WHEN p = '4-NOT SPECIFIED' THEN m END) AS desemprego_medio, CAST(NULL AS DOUBLE) AS renda_media_pc
+  FROM means WHERE ano >= 2015 GROUP BY ano),
+wide AS (SELECT ano, mes, max(CASE WHEN p = '2-HIGH' THEN valor END) AS ipca, max(CASE WHEN p = '3-MEDIUM' THEN valor END) AS cambio
+         FROM monthly WHERE p <> '5-LOW' GROUP BY ano, mes),
+gaps AS (SELECT ano, round(avg(cambio - before), 2) AS cambio_vs_ipca_defasado FROM (
+           SELECT *, lag(ipca) OVER (ORDER BY ano, mes) AS before FROM wide) GROUP BY ano)
+SELECT panel.*, cambio_vs_ipca_defasado FROM panel LEFT JOIN gaps USING (ano)
+"""
+
+
+@query(WHOLE_RUN_SQL)
+def whole_run(spark, sf_dir):
+    base = scratch_path(spark, "whole-run")
+    later = F.col("ano") + YEARS_LATER
+    monthly = monthly_landing(table(spark, sf_dir, "orders")).withColumn("ano", later)
+    monthly = monthly.withColumn("data", F.make_date("ano", "mes", F.lit(1)).cast("string")).withColumn("fonte", F.lit("bcb"))
+    for source, (priority, name) in STAND_INS.items():
+        rows = monthly.filter(F.col("indicador") == priority).withColumn("indicador", F.lit(name))
+        landing.write_csv(rows.select(*LANDING_COLUMNS), f"{base}/raw/{source}.csv")
+    quarterly = quarterly_landing(table(spark, sf_dir, "lineitem").filter("l_returnflag = 'A'")).withColumn("ano", later)
+    quarterly = quarterly.withColumn("periodo", F.concat_ws("-T", "ano", "trimestre")).withColumn("fonte", F.lit("ibge"))
+    gdp = quarterly.withColumn("indicador", F.lit("pib_variacao_pct")).select(*GDP_SCHEMA.names)
+    landing.write_csv(gdp, f"{base}/raw/ibge_pib.csv")
+    report = medallion.run(spark, f"{base}/raw", base)
+    if not report.filter("status <> 'pass'").isEmpty():
+        raise AssertionError("the marts fail their checks")
+    panel, lagged = (tables.load(spark, f"{base}/gold/{name}") for name in ("gld_painel_macro", "gld_correlacoes"))
+    return panel.join(lagged.select("ano", "cambio_vs_ipca_defasado"), "ano", "left")
