@@ -64,10 +64,13 @@ def create_table_as(df: DataFrame, name: str, path: str | None = None) -> None:
     With a ``path`` (a fresh one) the data lies there instead of in the warehouse.
     """
     spark = df.sparkSession
-    building = f"{name}__building"
-    df.write.mode("overwrite").saveAsTable(building, path=path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    building, replaced = f"{name}__building", f"{name}__replaced"
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(building)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {replaced}")
     spark.sql(f"ALTER TABLE {building} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {replaced}")
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
