@@ -25,7 +25,7 @@ def test_pivot_options(sizes, rows):
     assert rows(pivoted) == [("M", None), ("S", 3)]
 
 
-def test_pivot_distinct_does_not_copy_rows_per_value(sizes, rows):
+def test_pivot_distinct(sizes, rows):
     pivoted = reshape.pivot(sizes, ["size"], "color", ["red", "blue"], then_value="amount", else_value="null", agg="count", distinct=True)
     assert rows(pivoted) == [("M", 1, 0), ("S", 1, 1)]
 

@@ -79,26 +79,9 @@ def pivot_columns(
     return pivoted
 
 
-def pivot(df: DataFrame, group_by, column: str, values, then_value="1", else_value="0", distinct: bool = False, **options) -> DataFrame:
-    """Rows to columns in one aggregation per group.
-
-    A distinct pivot first reduces the table to its distinct inputs. Spark would otherwise
-    copy every row once for each value before the shuffle.
-    """
-    group_by = [as_column(name) for name in as_list(group_by)]
-    if distinct:
-        names = [f"__group{i}" for i in range(len(group_by))]
-        inputs = df.select(
-            *[term.alias(name) for term, name in zip(group_by, names)],
-            F.expr(column).alias("__column"),
-            F.expr(str(then_value)).alias("__then"),
-            F.expr(str(else_value)).alias("__else"),
-        ).distinct()
-        aggregates = pivot_columns("__column", values, then_value="__then", else_value="__else", distinct=True, **options)
-        labels = df.select(*group_by).columns
-        pivoted = inputs.groupBy(*names).agg(*aggregates)
-        return pivoted.toDF(*labels, *pivoted.columns[len(names):])
-    return df.groupBy(*group_by).agg(*pivot_columns(column, values, then_value=then_value, else_value=else_value, **options))
+def pivot(df: DataFrame, group_by, column: str, values, **options) -> DataFrame:
+    """Rows to columns in one aggregation per group; options as in ``pivot_columns``."""
+    return df.groupBy(*as_list(group_by)).agg(*pivot_columns(column, values, **options))
 
 
 def pivot_fixed(df: DataFrame, group_by, column: str, value, names: Mapping[str, str]) -> DataFrame:
