@@ -43,6 +43,13 @@ def test_percent_change_uses_the_size_of_the_previous_value(one, current, previo
     assert value(one("c double, p double", current, previous), fn.percent_change("c", "p")) == expected
 
 
+@pytest.mark.parametrize("x, scaled, printed", [(273827.06625, 273827.0662, 273827.0663), (-2.5, -2.5, -2.5), (0.00005, 0.0001, 0.0001), (None, None, None)])
+def test_round_scaled_looks_at_the_stored_number(one, x, scaled, printed):
+    df = one("x double", x)
+    assert value(df, fn.round_scaled("x", 4)) == scaled
+    assert value(df, F.round("x", 4)) == printed
+
+
 @pytest.mark.parametrize("x, bucket", [(-3.0, 0), (0.0, 1), (1.99, 1), (2.0, 2), (9.99, 5), (10.0, 6), (14.0, 6), (None, None)])
 def test_width_bucket(one, x, bucket):
     assert value(one("x double", x), fn.width_bucket("x", 0.0, 10.0, 5)) == bucket

@@ -4,6 +4,7 @@ from tidemark.functions.maths import (
     haversine,
     percent_change,
     radians,
+    round_scaled,
     safe_add,
     safe_divide,
     safe_subtract,
@@ -23,6 +24,7 @@ __all__ = [
     "month_start",
     "percent_change",
     "radians",
+    "round_scaled",
     "safe_add",
     "safe_cast",
     "safe_divide",

@@ -39,6 +39,17 @@ def percent_change(current, previous, digits: int = 2) -> Column:
     return F.round(F.try_divide(current - previous, F.abs(previous)) * 100, digits)
 
 
+def round_scaled(value, digits: int) -> Column:
+    """Round the number scaled by 10^digits, ties away from zero.
+
+    ``F.round`` rounds the shortest decimal that prints as the number, so the two differ where
+    that decimal ends in 5 and the stored number lies just below it. The marts were defined on
+    an engine that rounds this way.
+    """
+    scale = float(10**digits)
+    return F.round(as_column(value) * scale) / scale
+
+
 def width_bucket(value, low, high, buckets) -> Column:
     """Equal-width bucket 1..n; 0 below ``low``, n + 1 at or above ``high``."""
     return F.width_bucket(as_operand(value), as_operand(low), as_operand(high), as_operand(buckets))

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.maths import round_scaled
 from tidemark.functions.text import trend_label
 from tidemark.operators.neighbours import lag_columns
 from tidemark.operators.reshape import pivot_fixed
@@ -39,9 +40,9 @@ def annual_summary(observations: DataFrame, since: int = PANEL_FIRST_YEAR) -> Da
     """Rounded mean, minimum and maximum, and the number of observations, per year and indicator."""
     recent = observations.filter((F.col("ano") >= since) & F.col("valor").isNotNull())
     return recent.groupBy("ano", "indicador").agg(
-        F.round(F.avg("valor"), 4).alias("valor_medio"),
-        F.round(F.min("valor"), 4).alias("valor_min"),
-        F.round(F.max("valor"), 4).alias("valor_max"),
+        round_scaled(F.avg("valor"), 4).alias("valor_medio"),
+        round_scaled(F.min("valor"), 4).alias("valor_min"),
+        round_scaled(F.max("valor"), 4).alias("valor_max"),
         F.count(F.lit(1)).alias("n_observacoes"),
     )
 
@@ -62,9 +63,9 @@ def monthly_series(observations: DataFrame) -> DataFrame:
         "ano",
         "mes",
         "periodo",
-        F.round("valor", 4).alias("valor"),
+        round_scaled("valor", 4).alias("valor"),
         "unidade",
-        F.round("variacao_yoy", 2).alias("variacao_yoy"),
+        round_scaled("variacao_yoy", 2).alias("variacao_yoy"),
         trend_label("variacao_yoy").alias("tendencia"),
     )
 
@@ -78,6 +79,6 @@ def lagged_comparison(observations: DataFrame, columns: Mapping[str, str] = COMP
     monthly = observations.filter(F.col("mes").isNotNull() & F.col("valor").isNotNull())
     wide = pivot_fixed(monthly, ["ano", "mes"], "indicador", "valor", columns)
     lagged = lag_columns(wide, ["ipca"], ["ano", "mes"], split=False)
-    yearly = [F.round(F.avg(name), 2).alias(mean) for name, mean in means.items()]
-    gap = F.round(F.avg(F.col("cambio") - F.col("ipca_lag1")), 2).alias("cambio_vs_ipca_defasado")
+    yearly = [round_scaled(F.avg(name), 2).alias(mean) for name, mean in means.items()]
+    gap = round_scaled(F.avg(F.col("cambio") - F.col("ipca_lag1")), 2).alias("cambio_vs_ipca_defasado")
     return lagged.groupBy("ano").agg(*yearly, gap)
