@@ -71,6 +71,9 @@ def test_not_constant(table, rows):
     assert rows(checks.not_constant(df, "v", ["g"])) == [("b", 1)]
     assert failing(checks.not_constant(df, "n")) == 0
     assert rows(checks.not_constant(df, "v", where="g = 'b'")) == [(1,)]
+    assert failing(checks.not_constant(df, "g")) == 0
+    assert rows(checks.not_constant(df, "g", ["v"])) == [(1, 1), (2, 1), (3, 1)]
+    assert failing(checks.not_constant(df.withColumn("t", F.col("n").cast("string")), "t")) == 0
 
 
 def test_not_null_proportion(table, rows):

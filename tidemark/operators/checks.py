@@ -10,7 +10,18 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tidemark.functions._columns import as_column, as_list, as_predicate
 from tidemark.functions.dates import check_unit, shift
@@ -20,6 +31,9 @@ from tidemark.operators.copies import repeat_rows
 from tidemark.operators.neighbours import MAX_GROUP_ROWS, distinct_steps
 from tidemark.operators.reshape import filtered_columns
 
+# Types that a hash aggregation can hold a minimum and maximum of.
+FIXED_WIDTH = (NumericType, DateType, TimestampType, TimestampNTZType)
+
 # How the upper bound of a range must compare with the next lower bound, by kind of gap.
 GAP_RULES = {
     "not_allowed": ("equal_to", lambda upper, following: upper == following),
@@ -137,14 +151,16 @@ def at_least_one(df: DataFrame, column, group_by=(), where=None) -> DataFrame:
 
 
 def not_constant(df: DataFrame, column, group_by=(), where=None) -> DataFrame:
-    """Groups (or the whole table) with a single distinct value; all-null passes.
-
-    Equal minimum and maximum say the same as one distinct value, and combine in every
-    task before the shuffle.
-    """
-    value = as_column(column)
-    ends = _rows(df, where).groupBy(*group_by).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
-    return ends.filter("__low = __high").select(*group_by, F.lit(1).cast("bigint").alias("filler_column"))
+    """Groups (or the whole table) with a single distinct value; all-null passes."""
+    rows, value = _rows(df, where), as_column(column)
+    if isinstance(rows.select(value).schema[0].dataType, FIXED_WIDTH):
+        # Equal minimum and maximum say the same, and each task sends one row per group.
+        ends = rows.groupBy(*group_by).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+        constant = ends.filter("__low = __high").withColumn("filler_column", F.lit(1).cast("bigint"))
+    else:
+        # Text cannot be compared in a hash aggregation; distinct pairs can be counted in one.
+        constant = rows.groupBy(*group_by).agg(F.count_distinct(value).alias("filler_column")).filter("filler_column = 1")
+    return constant.select(*group_by, "filler_column")
 
 
 def not_null_proportion(df: DataFrame, column, at_least: float, at_most: float = 1, group_by=(), where=None) -> DataFrame:

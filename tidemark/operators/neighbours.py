@@ -119,7 +119,8 @@ def distinct_steps(df: DataFrame, keys, order_columns, columns, offset: int, spl
         split = needs_split(rows, keys, max_group_rows)
     if not split:
         return add_neighbour(rows, "near", columns, order, keys, offset, split=False)
-    counted = rows.groupBy(*keys, *order_columns).agg(F.count(F.lit(1)).alias("__count"))
+    # Sized, sampled and shuffled below: aggregate once, not once per step.
+    counted = materialise(rows.groupBy(*keys, *order_columns).agg(F.count(F.lit(1)).alias("__count")), "distinct")
     stepped = add_neighbour(counted, "__next", columns, order, keys, offset, split=True, max_group_rows=max_group_rows)
     # Of n equal rows one borders on another value, the rest border on each other.
     own = F.struct(*columns)
