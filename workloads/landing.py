@@ -193,7 +193,7 @@ def bronze_evolution(spark, sf_dir):
     )
     landing.append_bronze(landing.stamp(suppliers, "supplier", "2024-02-01 00:00:00"), path)
     landing.append_bronze(landing.stamp(customers, "customer", "2024-01-01 00:00:00"), path)
-    return landing.read_bronze(spark, path)
+    return landing.read_bronze(spark, path).withColumn("_loaded_at", F.col("_loaded_at").cast("timestamp_ntz"))
 
 
 @query("""
