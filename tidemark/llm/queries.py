@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import read_table
+from tidemark.llm.lines import dedup_lines
 from tidemark.llm.ring import shard_documents
+from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.winnow import contamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +29,68 @@ def query(sql: str | None = None):
     return register
 
 
+# Words of whole texts, every window of 13 (or all) item words, and each document word inside an occurrence.
+OP2_SQL = r"""
+WITH tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS span
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS span
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM tokens, lengths WHERE len(w) >= n)),
+found AS (SELECT doc_id, p.n, i, item_id FROM places p JOIN windows v ON p.n = v.n AND p.span = v.span),
+hit AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS spot FROM (SELECT DISTINCT doc_id, n, i FROM found)) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM tokens t LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query(OP2_SQL)
+def op2_winnowed_contamination(spark, sf_dir):
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
+OP4_SQL = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS spot FROM split),
+keyed AS (
+  SELECT doc_id, line, spot, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+frequent AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keeper > doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY spot) FILTER (WHERE keeper IS NULL OR keeper <= doc_id), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent USING (key) GROUP BY doc_id
+"""
+
+
+@query(OP4_SQL)
+def op4_line_dedup(spark, sf_dir):
+    kept = dedup_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op6_simhash_near_dedup(spark, sf_dir):
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 @query()
 def op9_ring_shards(spark, sf_dir):
     return shard_documents(read_table(spark, sf_dir, "documents"))

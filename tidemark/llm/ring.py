@@ -70,10 +70,10 @@ def _walk(home: DataFrame, shards: int) -> DataFrame:
 
     The fold is over points, with one number per shard as its state; overflowing rows keep their order.
     """
-    room = home.groupBy("shard").agg(F.first("capacity").alias("capacity"), (F.first("capacity") - F.sum("kept")).alias("room"))
-    room = room.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "room"))), lambda x: x["room"]).alias("room"))
-    entry = F.struct("arc", "shard", "capacity", (F.col("rows") - F.col("kept")).alias("over"))
-    around = home.groupBy().agg(F.array_sort(F.collect_list(entry)).alias("arcs"))
+    room = F.col("capacity") - F.sum("kept").over(Window.partitionBy("shard"))
+    entry = F.struct("arc", "shard", "capacity", (F.col("rows") - F.col("kept")).alias("over"), "room")
+    around = home.withColumn("room", room).groupBy().agg(F.array_sort(F.collect_list(entry)).alias("arcs"))
+    rooms = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.filter("arcs", lambda x: x["shard"] == s)[0]["room"])
     steps = F.concat("arcs", F.transform("arcs", lambda x: x.withField("over", F.lit(0).cast("long"))))
     zero = F.lit(0).cast("long")
 
@@ -92,8 +92,8 @@ def _walk(home: DataFrame, shards: int) -> DataFrame:
         return F.when(take > 0, moved).otherwise(passed)
 
     none = F.expr("CAST(array() AS array<struct<from_rank: bigint, shard: int, slot: bigint>>)")
-    start = F.struct(zero.alias("waiting"), F.col("room"), zero.alias("placed"), none.alias("takes"))
-    return around.join(F.broadcast(room)).select(F.inline(F.aggregate(steps, start, step)["takes"]))
+    start = F.struct(zero.alias("waiting"), rooms.alias("room"), zero.alias("placed"), none.alias("takes"))
+    return around.select(F.inline(F.aggregate(steps, start, step)["takes"]))
 
 
 def _pieces(home: DataFrame, takes: DataFrame) -> DataFrame:
