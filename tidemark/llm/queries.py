@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import read_table
+from tidemark.llm.language import languages
 from tidemark.llm.lines import dedup_lines
+from tidemark.llm.quality import quality
 from tidemark.llm.ring import shard_documents
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.toxicity import toxicity
 from tidemark.llm.winnow import contamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +94,22 @@ def op6_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@query()
+def op7_toxicity(spark, sf_dir):
+    scored = toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
+@query()
+def op8_language_id(spark, sf_dir):
+    return languages(read_table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_ring_shards(spark, sf_dir):
     return shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_quality(spark, sf_dir):
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
