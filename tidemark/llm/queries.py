@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 from tidemark.llm.language import languages
 from tidemark.llm.lines import dedup_lines
+from tidemark.llm.mixing import mixed
 from tidemark.llm.quality import quality
 from tidemark.llm.ring import shard_documents
+from tidemark.llm.segments import top_pairs
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.winnow import contamination
@@ -32,6 +34,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_raked_mix(spark, sf_dir):
+    return mixed(read_table(spark, sf_dir, "documents"))
+
+
 # Words of whole texts, every window of 13 (or all) item words, and each document word inside an occurrence.
 OP2_SQL = r"""
 WITH tokens AS (
@@ -68,6 +75,25 @@ def op2_winnowed_contamination(spark, sf_dir):
     return found.drop("text_key")
 
 
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 10
+"""
+
+
+@query(OP3_SQL)
+def op3_topk_segments(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_pairs(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 OP4_SQL = r"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 lines AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS spot FROM split),
