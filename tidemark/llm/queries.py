@@ -12,6 +12,7 @@ from tidemark.llm.language import languages
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mixed
 from tidemark.llm.quality import quality
+from tidemark.llm.quotes import linked_conversations
 from tidemark.llm.ring import shard_documents
 from tidemark.llm.segments import top_pairs
 from tidemark.llm.simhash import near_duplicates
@@ -115,6 +116,11 @@ def op4_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query()
+def op5_quote_links(spark, sf_dir):
+    return linked_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op6_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
