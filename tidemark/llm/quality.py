@@ -223,10 +223,12 @@ def quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> D
     chosen = in_batches(sampled_rows(docs, sample, 2 * per_class), _pooled(vectors), f"doc_id {kind}, label string, pooled array<double>")
     found = sorted(chosen.collect())
     y = np.array([int(row.label) for row in found])
-    weights = np.array([counts[row.label] for row in found], float) / np.maximum(1, np.bincount(y, minlength=2))[y] if len(y) else np.zeros(0)
-    # Rows in an order of their own, so that every fifth is a fair part of both labels.
-    order = np.argsort([xxhash.xxh64_intdigest(str(row.doc_id)) for row in found]).astype(int)
-    model = fit(np.array([row.pooled for row in found]).reshape(len(found), -1)[order], y[order], weights[order])
+    model = None
+    if found:
+        weights = np.array([counts[row.label] for row in found]) / np.bincount(y, minlength=2)[y]  # back to the shares of all labels
+        # Rows in an order of their own, so that every fifth is a fair part of both labels.
+        order = np.argsort([xxhash.xxh64_intdigest(str(row.doc_id)) for row in found])
+        model = fit(np.array([row.pooled for row in found])[order], y[order], weights[order])
     scored = in_batches(rows, _scored(context.broadcast(model), vectors), f"doc_id {kind}, score double")
     held_out = F.coalesce(fold_of("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
