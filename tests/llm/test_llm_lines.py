@@ -1,0 +1,106 @@
+"""Line dedup against the definition, cuckoo filters, and reversal of insertions."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.llm import lines
+
+
+def key_of(line):
+    key = line.strip(" \t\n\x0b\x0c\r")
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in key)
+
+
+def cleaned(rows, min_docs=3):
+    held = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if doc_id is not None and len(key_of(line)) >= 20:
+                held[key_of(line)].add(doc_id)
+    out = []
+    for doc_id, text in rows:
+        own = (text or "").split("\n")
+        kept = [x for x in own if doc_id is None or len(held[key_of(x)]) < min_docs or doc_id == max(held[key_of(x)])]
+        out.append((str(doc_id), len(own), len(own) - len(kept), "\n".join(kept)))
+    return sorted(out)
+
+
+def found(docs, **more):
+    return sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.kept) for r in lines.dedup_lines(docs, **more).collect())
+
+
+def corpus(count, seed=1):
+    chance = random.Random(seed)
+    pool = [f"Line number {i} of the shared ones" + chance.choice(["", " ", "\t", "\r"]) for i in range(30)] + ["short", "", "ÀÉ" * 10, "ß" * 19, "x" * 20]
+    return [(i, "\n".join(chance.choice(pool).swapcase() if chance.random() < 0.3 else chance.choice(pool) for _ in range(chance.randint(0, 9)))) for i in range(count)]
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_against_the_definition(documents, batches):
+    rows = [*corpus(120), (3, "Line number 3 of the shared ones"), (500, "Line number 3 of the shared ones\n" * 3)]
+    assert found(documents(rows), batches=batches) == cleaned(rows)
+
+
+def test_edges(edge_documents, no_documents):
+    rows = [(r.doc_id, r.text) for r in edge_documents.collect()]
+    assert found(edge_documents) == cleaned(rows)
+    assert found(no_documents) == []
+    assert found(edge_documents, min_docs=1) == cleaned(rows, 1)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 3000), st.integers(0, 99))
+def test_filters_hold_all_keys_and_give_them_back(count, seed):
+    hi, lo = np.random.default_rng(seed).integers(0, 1 << 63, (2, count)).astype(np.uint64)
+    table = lines.build_filter(hi, lo)
+    assert lines.probe(table, hi, lo).all()
+    others = np.random.default_rng(seed + 100).integers(0, 1 << 63, (2, 3000)).astype(np.uint64)
+    assert lines.probe(table, *others).mean() < 0.01
+    half = count // 2
+    assert lines.remove(table, hi[:half], lo[:half]).all()
+    assert lines.probe(table, hi[half:], lo[half:]).all() and (table != 0).sum() == count - half
+
+
+def test_filters_grow_when_keys_collide():
+    hi, lo = np.zeros(9, np.uint64), np.arange(9).astype(np.uint64) << np.uint64(16)
+    assert lines.probe(lines.build_filter(hi, lo), hi, lo).all()
+
+
+def state(store):
+    refs = sorted(tuple(r) for r in store.refs.select("hi", "lo", "n", "keeper").collect())
+    postings = sorted(tuple(r) for r in store.postings.select("hi", "lo", "doc_id").collect())
+    marks = sum(int((np.frombuffer(r.slots, np.uint16) != 0).sum()) for r in store.filters.collect())
+    return refs, postings, marks
+
+
+def test_deleting_what_was_inserted_restores_the_store(documents, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 10)
+    first, second = corpus(40, 1), [(i + 100, t) for i, t in corpus(30, 2)]
+    a = lines.LineStore().insert(lines.line_keys(documents(first)))
+    before = state(a)
+    b = a.insert(lines.line_keys(documents(second)))
+    both = lines.LineStore().insert(lines.line_keys(documents(first + second)))
+    assert state(b)[:2] == state(both)[:2] and b.shards > 1
+    assert state(b.delete(documents([(i, None) for i, _ in second]))) == before
+    assert state(a.insert(lines.line_keys(documents(first)))) == before
+    assert state(a.delete(documents([(999, None)]))) == before
+
+
+def test_the_largest_remaining_document_keeps_the_line(documents):
+    text = "a line that several documents share"
+    rows = [(i, text) for i in range(1, 7)]
+    docs = documents(rows)
+    postings = lines.line_keys(docs)
+    store = lines.LineStore().insert(postings).delete(docs.filter("doc_id > 4").select("doc_id"))
+    left = docs.filter(F.col("doc_id") <= 4)
+    kept = lines.cleaned(left, store.dropped(lines.line_keys(left)))
+    assert sorted((r.doc_id, r.n_dropped) for r in kept.collect()) == [(1, 1), (2, 1), (3, 1), (4, 0)]
+    assert store.delete(docs.filter("doc_id > 2").select("doc_id")).dropped(postings).count() == 0
