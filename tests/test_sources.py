@@ -149,6 +149,24 @@ def test_csv_roundtrip_and_inference(spark, table, tmp_path, rows):
     assert rows(back) == rows(df) and dict(back.dtypes)["n"] == "int"
 
 
+def test_values_with_newlines_quotes_and_nothing_survive_csv(spark, table, tmp_path, rows):
+    df = table("k string, v string", ("a\nb", 'say "x"'), ("", None), (None, ""), ("c,d", "\\"), ('"', "e\r\nf"))
+    landing.write_csv(df, str(tmp_path / "out.csv"))
+    schema = df.schema
+    assert rows(landing.read_series_csv(spark, str(tmp_path / "out.csv"), schema)) == rows(df)
+    assert rows(landing.read_series_csv(spark, str(tmp_path / "out.csv"), schema, bind="position")) == rows(df)
+    assert rows(landing.landed_rows(spark, str(tmp_path))) == [("out.csv", 5)]
+
+
+def test_the_gate_counts_records_of_files_that_parse(spark, tmp_path, rows):
+    write(tmp_path / "a_quoted.csv", 'k,v\n"x\ny",1\n"z",2\n')
+    write(tmp_path / "b_ragged.csv", "k,v\n" + "1,2\n" * 20 + "1,2,\n")
+    write(tmp_path / "c_short.csv", "k,v\n1\n2,3\n")
+    write(tmp_path / "d_empty.csv", "")
+    assert rows(landing.landed_rows(spark, str(tmp_path))) == [("a_quoted.csv", 2), ("b_ragged.csv", 0), ("c_short.csv", 2), ("d_empty.csv", 0)]
+    assert landing.landed_rows(spark, str(tmp_path / "none")).collect() == []
+
+
 def test_gate(spark, tmp_path, rows):
     lines = lambda n: "a,b\n" + "1,2\n" * n
     write(tmp_path / "bcb_selic.csv", lines(7))
@@ -236,21 +254,55 @@ def test_upsert_refuses_repeated_keys(spark, table, tmp_path):
         tables.upsert(spark, str(tmp_path / "silver"), batch, ["chave"], ["fonte", "ano"])
 
 
-def test_failed_publication_names_the_finished_merge(spark, table, tmp_path, rows, monkeypatch):
+@pytest.mark.parametrize("step", ["publish", "remove_path"])
+def test_an_upsert_that_breaks_off_is_completed_by_the_next_one(spark, table, tmp_path, rows, monkeypatch, step):
     path = str(tmp_path / "silver")
-    tables.upsert(spark, path, table(TABLE, ("a", "x", 1, 1.0)), ["chave"], ["fonte", "ano"])
+    tables.upsert(spark, path, table(TABLE, ("a", "x", 1, 1.0), ("b", "y", 1, 1.0)), ["chave"], ["fonte", "ano"])
 
     def fail(*_):
         raise OSError("disk")
 
     with monkeypatch.context() as patched:
-        patched.setattr(tables, "publish", fail)
-        with pytest.raises(OSError) as caught:
-            tables.upsert(spark, path, table(TABLE, ("a", "x", 1, 2.0)), ["chave"], ["fonte", "ano"])
-    assert rows(stored(spark, path)) == [("a", "x", 1, 1.0)]
-    merged = caught.value.__notes__[0].split(" at ")[1].split(";")[0]
-    tables.publish(spark.read.schema(TABLE).parquet(merged), path, ["fonte", "ano"])
-    assert rows(stored(spark, path)) == [("a", "x", 1, 2.0)]
+        patched.setattr(tables, step, fail)
+        with pytest.raises(OSError):
+            tables.upsert(spark, path, table(TABLE, ("a", "z", 2, 2.0)), ["chave"], ["fonte", "ano"])
+    if step == "publish":
+        assert rows(stored(spark, path)) == [("a", "x", 1, 1.0), ("b", "y", 1, 1.0)]
+    tables.upsert(spark, path, table(TABLE, ("c", "y", 1, 3.0)), ["chave"], ["fonte", "ano"])
+    assert rows(stored(spark, path)) == [("a", "z", 2, 2.0), ("b", "y", 1, 1.0), ("c", "y", 1, 3.0)]
+    assert not tables.finish_upsert(spark, path)
+
+
+def test_upsert_with_null_and_empty_partitions(spark, table, tmp_path, rows):
+    """Both lie in one folder, so neither may push the other out."""
+    path = str(tmp_path / "silver")
+    tables.upsert(spark, path, table(TABLE, ("a", None, 1, 1.0), ("b", "x", 1, 2.0), ("c", "", 1, 3.0)), ["chave"], ["fonte", "ano"])
+    tables.upsert(spark, path, table(TABLE, ("d", "", 1, 4.0)), ["chave"], ["fonte", "ano"])
+    assert rows(stored(spark, path)) == [("a", None, 1, 1.0), ("b", "x", 1, 2.0), ("c", None, 1, 3.0), ("d", None, 1, 4.0)]
+    tables.upsert(spark, path, table(TABLE, ("a", "x", 1, 5.0)), ["chave"], ["fonte", "ano"])
+    assert rows(stored(spark, path)) == [("a", "x", 1, 5.0), ("b", "x", 1, 2.0), ("c", None, 1, 3.0), ("d", None, 1, 4.0)]
+
+
+def test_upsert_keeps_columns_that_the_batch_lacks(spark, table, tmp_path, rows):
+    path = str(tmp_path / "silver")
+    tables.upsert(spark, path, table(TABLE + ", nota string", ("a", "x", 1, 1.0, "n"), ("b", "x", 1, 1.0, "m")), ["chave"], ["fonte", "ano"])
+    tables.upsert(spark, path, table(TABLE, ("a", "y", 1, 2.0), ("c", "x", 1, 3.0)), ["chave"], ["fonte", "ano"])
+    found = spark.read.option("mergeSchema", True).parquet(path).select("chave", "fonte", "valor", "nota")
+    assert rows(found) == [("a", "y", 2.0, "n"), ("b", "x", 1.0, "m"), ("c", "x", 3.0, None)]
+
+
+def test_equal_rows_rewrite_no_partition(spark, table, tmp_path, rows):
+    path, schema = str(tmp_path / "silver"), TABLE + ", _at int"
+    tables.upsert(spark, path, table(schema, ("a", "x", 1, None, 1), ("b", "y", 1, 2.0, 1)), ["chave"], ["fonte", "ano"])
+    files = lambda: {(d, n, os.stat(os.path.join(d, n)).st_mtime_ns) for d, _, names in os.walk(path) for n in names if "part-" in n}
+    before = files()
+    tables.upsert(spark, path, table(schema, ("a", "x", 1, None, 2), ("b", "y", 1, 2.0, 2)), ["chave"], ["fonte", "ano"], ignore=["_at"])
+    assert files() == before
+    tables.upsert(spark, path, table(schema, ("a", "x", 1, None, 2), ("b", "y", 1, 3.0, 2)), ["chave"], ["fonte", "ano"], ignore=["_at"])
+    assert {f for f in files() if "fonte=x" in f[0]} == {f for f in before if "fonte=x" in f[0]}
+    assert rows(stored(spark, path)) == [("a", "x", 1, None), ("b", "y", 1, 3.0)]
+    with pytest.raises(ValueError, match="'b'"):
+        tables.upsert(spark, path, table(schema, ("b", "y", 1, 3.0, 2), ("b", "y", 1, 4.0, 2)), ["chave"], ["fonte", "ano"], ignore=["_at"])
 
 
 def test_export_view_and_stored_query(spark, table, tmp_path, rows):
@@ -272,38 +324,69 @@ def test_partition_filters_reach_the_scan(spark, table, tmp_path):
     assert "PartitionFilters: [isnotnull(ano" in plan
 
 
-def test_shared_folder_is_the_configured_one(spark):
-    assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+def test_a_stored_query_survives_a_run_that_broke_off(spark, table, rows):
+    tables.create_table_as(table("a int", (1,)), "broken_off")
+    spark.sql("ALTER TABLE broken_off RENAME TO broken_off__replaced")
+    tables.create_table_as(table("a int", (2,)), "broken_off")
+    tables.create_table_as(table("a int", (0,)), "broken_off__replaced")
+    tables.create_table_as(table("a int", (3,)), "broken_off")
+    assert rows(spark.table("broken_off")) == [(3,)]
+    assert not spark.catalog.tableExists("broken_off__replaced")
+    spark.sql("DROP TABLE broken_off")
+
+
+def test_shared_folder_is_the_configured_one(spark, table, tmp_path, monkeypatch):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert session.scratch_path(spark, "x").startswith(configured)
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    session.materialise(table("a int", (1,)), "x")
+    assert os.listdir(tmp_path / spark.sparkContext.applicationId)
+    session.clear_scratch(spark)
+    assert not (tmp_path / spark.sparkContext.applicationId).exists()
 
 
 # --- new files only ---
 
 
-def test_stream_appends_each_file_once(spark, tmp_path):
+def test_stream_and_batch_appends_make_one_table(spark, tmp_path, rows):
     raw, bronze, state = tmp_path / "raw", str(tmp_path / "bronze"), str(tmp_path / "state")
+    batch = landing.read_series_csv(spark, write(tmp_path / "old.csv", MONTHLY_CSV), schemas.SERIES_SCHEMA)
+    landing.append_bronze(landing.stamp(batch, "bcb_selic"), bronze)
     write(raw / "a.csv", MONTHLY_CSV)
 
     def load():
-        rows_in = stream.landing_stream(spark, str(raw), schemas.SERIES_SCHEMA, "ibge_pib")
-        stream.append_new(rows_in, bronze, state).awaitTermination()
-        return spark.read.parquet(bronze).count()
+        stream.append_new(stream.landing_files(spark, str(raw)), bronze, schemas.SERIES_SCHEMA, "ibge_pib", state).awaitTermination()
+        return landing.read_bronze(spark, bronze).count()
 
-    assert load() == 2
-    assert load() == 2
-    write(raw / "b.csv", MONTHLY_CSV)
     assert load() == 4
+    assert load() == 4
+    # Another column order: bound by header, not by position.
+    write(raw / "b.csv", "valor,data,fonte,indicador\n7.5,2021-01-01,bcb,pib_variacao_pct\n")
+    assert load() == 5
+    assert rows(landing.read_bronze(spark, bronze).filter("ano is null").select("data", "valor", "_source")) == [("2021-01-01", 7.5, "ibge_pib")]
+
+
+def test_a_repeated_batch_is_not_appended_again(spark, tmp_path):
+    raw, bronze = tmp_path / "raw", str(tmp_path / "bronze")
+    write(raw / "a.csv", MONTHLY_CSV)
+    state = tmp_path / "state"
+    stream.append_new(stream.landing_files(spark, str(raw)), bronze, schemas.SERIES_SCHEMA, "s", str(state)).awaitTermination()
+    for name in ("commits/0", "commits/.0.crc"):  # as if it had failed after the append
+        (state / name).unlink()
+    stream.append_new(stream.landing_files(spark, str(raw)), bronze, schemas.SERIES_SCHEMA, "s", str(state)).awaitTermination()
+    assert landing.read_bronze(spark, bronze).count() == 2
 
 
 def test_stream_upserts_by_key(spark, tmp_path, rows):
     raw, path, state = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "state")
-    header = "chave,fonte,ano,valor\n"
+    schema = spark.createDataFrame([], TABLE).schema
 
     def load():
-        source = spark.readStream.schema(TABLE).option("header", True).csv(str(raw))
-        stream.upsert_new(source, path, ["chave"], ["valor"], ["fonte", "ano"], state).awaitTermination()
+        files = stream.landing_files(spark, str(raw))
+        stream.upsert_new(files, path, schema, "s", ["chave"], ["valor"], ["fonte", "ano"], state).awaitTermination()
         return rows(stored(spark, path))
 
-    write(raw / "a.csv", header + "a,x,2020,1\na,x,2020,2\nb,x,2020,3\n")
+    write(raw / "a.csv", "chave,fonte,ano,valor\na,x,2020,1\na,x,2020,2\nb,x,2020,3\n")
     assert load() == [("a", "x", 2020, 2.0), ("b", "x", 2020, 3.0)]
-    write(raw / "b.csv", header + "b,y,2021,4\n")
+    write(raw / "b.csv", "ano,valor,chave,fonte\n2021,4,b,y\n")
     assert load() == [("a", "x", 2020, 2.0), ("b", "y", 2021, 4.0)]

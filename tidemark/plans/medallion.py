@@ -76,7 +76,7 @@ def run(spark: SparkSession, raw_dir: str, base_dir: str, names=None) -> DataFra
     """Every stage in order; returns the check report."""
     ingest_bronze(spark, raw_dir, base_dir, names)
     observations = build_silver(spark, base_dir, split=None)
-    upsert(spark, silver_path(base_dir), observations, [OBSERVATION_KEY], PARTITION_COLUMNS)
+    upsert(spark, silver_path(base_dir), observations, [OBSERVATION_KEY], PARTITION_COLUMNS, ignore=["_silver_at"])
     exported = f"{base_dir}/parquet/silver_indicadores"
     export_parquet(load(spark, silver_path(base_dir)), exported)
     register_view(spark, "silver_indicadores", exported)

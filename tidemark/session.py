@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,23 +26,29 @@ def build_session(app_name: str = "tidemark", master: str | None = None, conf: d
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, as the cluster sets it.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or one below the warehouse, which a cluster shares as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_tidemark").rstrip("/")
 
-    Only a local-mode session without that setting gets a folder of its own.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return context.getCheckpointDir().rstrip("/")
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder; nothing is created yet."""
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, on any Hadoop file system; an absent one is no error."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has written aside; tables that were read from it can no longer be read."""
+    remove_path(spark, _application_dir(spark))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tidemark.functions._columns import as_list
 
 MIN_LANDED_ROWS = 10
+# Quotes are doubled within quotes, and a quoted value may hold newlines. A file with such values can only be read
+# from its start, so each file is one task: large tables land as many files.
+CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
+# Stands for a quoted empty value while reading, since an empty field without quotes is null.
+_EMPTY = "\u0001"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -23,6 +27,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _header(spark: SparkSession, path: str) -> list[str]:
+    return spark.read.csv(path, **CSV_OPTIONS).columns
+
+
+def _with_empty(df: DataFrame) -> DataFrame:
+    strings = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
+    return df.withColumns({name: F.when(F.col(f"`{name}`") == _EMPTY, "").otherwise(F.col(f"`{name}`")) for name in strings})
+
+
 def read_series_csv(spark: SparkSession, path: str, schema: StructType, bind: str = "name") -> DataFrame:
     """Files with a header, as the declared columns; unreadable values become null.
 
@@ -30,15 +43,15 @@ def read_series_csv(spark: SparkSession, path: str, schema: StructType, bind: st
     out. ``bind='position'`` takes columns in file order whatever the header says.
     """
     if bind == "position":
-        return spark.read.csv(path, schema=schema, header=True)
+        return _with_empty(spark.read.csv(path, schema=schema, emptyValue=_EMPTY, **CSV_OPTIONS))
     if bind != "name":
         raise ValueError(f"bind must be 'name' or 'position', got {bind!r}")
-    header = spark.read.csv(path, header=True).columns
+    header = _header(spark, path)
     if not header:
         return spark.createDataFrame([], schema)
     # All text first; files under one path must agree on their header.
     text_schema = ", ".join(f"`{name}` string" for name in header)
-    text = spark.read.csv(path, schema=text_schema, header=True, enforceSchema=False)
+    text = _with_empty(spark.read.csv(path, schema=text_schema, enforceSchema=False, emptyValue=_EMPTY, **CSV_OPTIONS))
     own = {name.lower(): name for name in header}
     return text.select(
         *[
@@ -52,11 +65,12 @@ def read_series_csv(spark: SparkSession, path: str, schema: StructType, bind: st
 
 def read_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
     """Files with a header, types guessed from the data (reads it once more)."""
-    return spark.read.csv(path, header=True, inferSchema=True)
+    return spark.read.csv(path, inferSchema=True, **CSV_OPTIONS)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.csv(path, header=True, mode=mode)
+    """Files that the readers above read back as they were, also values with quotes and newlines."""
+    df.write.csv(path, header=True, escape='"', mode=mode)
 
 
 def stamp(df: DataFrame, source: str, loaded_at=None) -> DataFrame:
@@ -114,19 +128,34 @@ def first_nonempty(candidates: Iterable[DataFrame], by=None) -> DataFrame:
     ranked = [df.withColumn("__priority", F.lit(rank)) for rank, df in enumerate(candidates)]
     union = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), ranked)
     winners = union.groupBy(*keys).agg(F.min("__priority").alias("__best")).alias("winner")
-    # Null-safe keys put a shuffle of their own right below the join on both sides,
-    # which is the shape in which AQE can split a hot key.
+    # An inner join with the one winner of each key: unlike a semi join it stays above the union, so that there is one join for
+    # any number of candidates. Null-safe keys put a shuffle of their own right below the join on both sides, which is the
+    # shape in which AQE can split a hot key.
     same_key = reduce(lambda a, b: a & b, [F.col(f"rows.{key}").eqNullSafe(F.col(f"winner.{key}")) for key in keys])
     is_best = same_key & (F.col("rows.__priority") == F.col("winner.__best"))
-    return union.alias("rows").join(winners, is_best, "left_semi").drop("__priority")
+    return union.alias("rows").join(winners, is_best).select("rows.*").drop("__priority")
 
 
 def landed_rows(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Data rows per ``*.csv`` in the landing folder, be it a file or a folder of parts."""
-    lines = spark.read.csv(f"{raw_dir}/*.csv", schema="first_field string", header=True)
-    below = re.escape(f"/{raw_dir.rstrip('/').rsplit('/', 1)[-1]}/") + r"([^/]+\.csv)(?:/[^/]+)?$"
-    name = F.regexp_extract("_metadata.file_path", below, 1)
-    return lines.groupBy(name.alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Records per ``*.csv`` in the landing folder, be it a file or a folder of parts; 0 if one has more fields than the header."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{raw_dir}/*.csv")
+    found = files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files)
+    counts = [_records(spark, f"{raw_dir}/{name}", name) for name in sorted(status.getPath().getName() for status in found or ())]
+    return reduce(DataFrame.unionAll, counts) if counts else spark.createDataFrame([], "file_name string, n_rows bigint")
+
+
+def _records(spark: SparkSession, path: str, name: str) -> DataFrame:
+    width = len(_header(spark, path))
+    if not width:
+        return spark.range(1).select(F.lit(name).alias("file_name"), F.lit(0).cast("bigint").alias("n_rows"))
+    # Read with one field more than the header has: records of the header's width are then marked as too short, and one
+    # that fits, or holds a value there, is too long. (Two or more extra fields that are all empty go unseen.)
+    extra = f"field_{width}"
+    fields = ", ".join(f"field_{i} string" for i in range(width + 1))
+    records = spark.read.csv(path, schema=f"{fields}, __short string", columnNameOfCorruptRecord="__short", **CSV_OPTIONS)
+    too_long = F.count_if(F.col("__short").isNull() | F.col(extra).isNotNull())
+    n_rows = F.when(too_long == 0, F.count(F.lit(1))).otherwise(0)
+    return records.agg(n_rows.alias("n_rows")).select(F.lit(name).alias("file_name"), "n_rows")
 
 
 def gate_rows(file_counts: DataFrame, sources, min_records: int = MIN_LANDED_ROWS) -> DataFrame:

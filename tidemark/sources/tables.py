@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from copy import copy
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions._columns import as_list
-from tidemark.session import materialise, scratch_path
+from tidemark.session import materialise, remove_path, scratch_path
 from tidemark.sources.landing import path_exists
 
 MAX_LISTED_PARTITIONS = 500
@@ -36,6 +37,12 @@ def _by_partition(df: DataFrame, columns) -> DataFrame:
     return df.hint("rebalance", *[F.col(name) for name in columns])
 
 
+def _without_empty(df: DataFrame, columns) -> DataFrame:
+    """Empty strings in partition columns as null: both lie in the same folder and are read back as null."""
+    strings = [name for name in columns if isinstance(df.schema[name].dataType, StringType)]
+    return df.withColumns({name: F.nullif(F.col(name), F.lit("")) for name in strings})
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by, mode: str = "overwrite") -> None:
     """Write one folder per partition value.
 
@@ -43,7 +50,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by, mode: str = "overw
     much larger than the others is split over several tasks.
     """
     columns = as_list(partition_by)
-    _by_partition(df, columns).write.partitionBy(*columns).mode(mode).parquet(path)
+    _by_partition(_without_empty(df, columns), columns).write.partitionBy(*columns).mode(mode).parquet(path)
 
 
 def export_parquet(df: DataFrame, path: str) -> None:
@@ -68,17 +75,41 @@ def create_table_as(df: DataFrame, name: str, path: str | None = None) -> None:
     writer = df.write.mode("overwrite")
     (writer.option("path", path) if path else writer).saveAsTable(building)
     if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {replaced}")  # left by a run that broke off here
         spark.sql(f"ALTER TABLE {name} RENAME TO {replaced}")
     spark.sql(f"ALTER TABLE {building} RENAME TO {name}")
     spark.sql(f"DROP TABLE IF EXISTS {replaced}")
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
-    """``target`` with the rows of ``source`` in place of rows with the same key, or added."""
-    kept = target.join(source.select(*as_list(keys)), as_list(keys), "left_anti")
+    """``target`` with the rows of ``source`` in place of rows with the same key, or added.
+
+    Columns that ``source`` lacks keep their stored values; added rows have null there.
+    """
+    keys = as_list(keys)
+    kept = target.join(source.select(*keys), keys, "left_anti")
+    lacking = [name for name in target.columns if name not in source.columns]
+    if lacking:
+        source = source.join(target.select(*keys, *lacking), keys, "left")
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def changed_rows(target: DataFrame, source: DataFrame, keys, ignore=()) -> DataFrame:
+    """The rows of ``source`` that are new or differ from the stored row with their key, in columns other than ``ignore``.
+
+    Rows that share their key with another one are kept, whatever they hold.
+    """
+    keys = as_list(keys)
+    compared = [name for name in source.columns if name not in (*keys, *ignore)]
+    if not set(compared) <= set(target.columns):
+        return source
+    stored = target.select(*keys, F.struct(*compared).alias("__stored") if compared else F.lit(True).alias("__stored"))
+    own = F.struct(*[F.col(name) for name in compared]) if compared else F.lit(True)
+    joined = source.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(*keys))).join(stored, keys, "left")
+    changed = F.col("__stored").isNull() | ~F.col("__stored").eqNullSafe(own) | (F.col("__rows") > 1)
+    return joined.filter(changed).select(*source.columns)
+
+
 def reject_repeated_keys(df: DataFrame, keys) -> None:
     """Two source rows for one key would make the outcome a matter of chance."""
     keys = as_list(keys)
@@ -87,23 +118,39 @@ def reject_repeated_keys(df: DataFrame, keys) -> None:
         raise ValueError(f"more than one source row for key {tuple(repeated)}")
 
 
-def upsert(spark: SparkSession, path: str, source: DataFrame, keys, partition_by, format: str = "parquet") -> None:
+def upsert(spark: SparkSession, path: str, source: DataFrame, keys, partition_by, format: str = "parquet", ignore=()) -> None:
     """Update or insert ``source`` by key into the partitioned table at ``path``.
 
-    Delta tables take a MERGE, if the session has Delta. A Parquet table has only those
-    partitions rewritten that receive rows or hold a matching key; a key may move to another
-    partition. The merged partitions are first completed in the shared folder and then
-    published over the old ones, so a run that fails while merging leaves the table as it
-    was, and repeating a run gives the same table.
+    Rows that equal the stored ones (apart from the columns in ``ignore``, say a time stamp) are left alone, and only the
+    partitions that receive other rows, or hold their keys now, are rewritten; a key may move to another partition. Columns that ``source``
+    lacks keep their values. Keys are unique on both sides.
+
+    The merged partitions are first completed in the shared folder. What is to happen is then noted in the table's folder,
+    done, and the note removed: a run that fails before leaves the table as it was, and one that fails after is completed by the
+    next one, or by ``finish_upsert``. Until then a moved key can be read twice.
+
+    ``format='delta'`` passes the rows to a Delta MERGE. That branch is experimental: it has not been run.
     """
     keys, columns = as_list(keys), as_list(partition_by)
-    source = materialise(source, "upsert-source")
-    reject_repeated_keys(source, keys)
+    source = _without_empty(source, columns)
     if format == "delta":
+        source = materialise(source, "upsert-source")
+        reject_repeated_keys(source, keys)
         _merge_delta(spark, path, source, keys, columns)
-    elif table_exists(spark, path):
-        _replace_partitions(spark, path, source, keys, columns)
+        return
+    finish_upsert(spark, path)
+    if table_exists(spark, path):
+        target = _typed_target(spark, path, source, columns)
+        source_path = scratch_path(spark, "upsert-source")
+        changed_rows(target, source, keys, ignore).write.parquet(source_path)
+        source = spark.read.schema(source.schema).parquet(source_path)
+        if not source.isEmpty():
+            reject_repeated_keys(source, keys)
+            _replace_partitions(spark, path, target, source, keys, columns)
+        remove_path(spark, source_path)
     else:
+        source = materialise(source, "upsert-source")
+        reject_repeated_keys(source, keys)
         write_partitioned(source, path, columns)
 
 
@@ -119,8 +166,7 @@ def _merge_delta(spark, path, source, keys, columns) -> None:
     )
 
 
-def _replace_partitions(spark, path, source, keys, columns) -> None:
-    target = _typed_target(spark, path, source, columns)
+def _replace_partitions(spark, path, target, source, keys, columns) -> None:
     # Key and partition columns only: where do matching keys live today?
     matched = target.select(*dict.fromkeys([*keys, *columns])).join(source.select(*keys), keys, "left_semi")
     touched = _PartitionList(source.select(*columns).union(matched.select(*columns)), columns)
@@ -129,12 +175,38 @@ def _replace_partitions(spark, path, source, keys, columns) -> None:
     merge_rows(touched.rows_of(target), source, keys).write.parquet(merged_path)
     merged = spark.read.parquet(merged_path)
     stale = _folders(touched.without(merged).rows_of(target))
-    try:
-        publish(merged, path, columns)
-        _remove_folders(spark, stale)
-    except Exception as error:
-        error.add_note(f"the merged partitions are complete at {merged_path}; publish() them again")
-        raise
+    _write_note(spark, path, {"merged": merged_path, "columns": columns, "stale": stale})
+    finish_upsert(spark, path)
+
+
+NOTE = "_unfinished_upsert.json"
+
+
+def finish_upsert(spark: SparkSession, path: str) -> bool:
+    """Complete an upsert that was noted but broke off; whether there was one. Doing it twice changes nothing."""
+    note = f"{path}/{NOTE}"
+    if not path_exists(spark, note):
+        return False
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(note)  # names with an underscore are hidden from Spark's readers
+    stream = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(jvm_path)
+    todo = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    publish(spark.read.parquet(todo["merged"]), path, todo["columns"])
+    for folder in todo["stale"]:
+        remove_path(spark, folder)
+    remove_path(spark, note)
+    remove_path(spark, todo["merged"])
+    return True
+
+
+def _write_note(spark: SparkSession, path: str, note: dict) -> None:
+    """The note appears whole or not at all: written under another name, then renamed."""
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{NOTE}.draft")
+    files = draft.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(draft, True)
+    stream.write(bytearray(json.dumps(note).encode()))
+    stream.close()
+    files.rename(draft, spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{NOTE}"))
 
 
 def _typed_target(spark, path, source, columns) -> DataFrame:
@@ -197,12 +269,6 @@ def _folders(df: DataFrame) -> list[str]:
     return [row[0] for row in df.select(folder.alias("folder")).distinct().collect()]
 
 
-def _remove_folders(spark: SparkSession, folders) -> None:
-    for folder in folders:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
-        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
-
-
 def publish(df: DataFrame, path: str, partition_by) -> None:
     """Replace just the partitions that ``df`` holds."""
     columns = as_list(partition_by)
