@@ -138,27 +138,21 @@ def test_recency_against_now(spark):
 
 # --- row order ---
 
-SPLITS = [{"split": False}, {"split": True, "max_group_rows": 4}]
-
-
-@pytest.mark.parametrize("how", SPLITS)
-def test_sequential_values(table, rows, how):
+def test_sequential_values(table, rows):
     even = table("g string, n int", *[("a", i) for i in range(0, 20, 2)], *[("b", i) for i in (1, 3, 3, 3, 9)])
-    assert failing(checks.sequential_values(even, "n", 2, where="g = 'a'", **how)) == 0
-    bad = checks.sequential_values(even, "n", 2, group_by=["g"], **how)
+    assert failing(checks.sequential_values(even, "n", 2, where="g = 'a'")) == 0
+    bad = checks.sequential_values(even, "n", 2, group_by=["g"])
     assert bad.columns == ["g", "n", "previous_n"]
     assert rows(bad) == [("b", 3, 3), ("b", 3, 3), ("b", 9, 3)]
 
 
-@pytest.mark.parametrize("how", SPLITS)
-def test_sequential_timestamps(table, rows, how):
+def test_sequential_timestamps(table, rows):
     hours = [dt.datetime(2021, 1, 1, hour) for hour in (0, 1, 2, 4)]
     df = table("t timestamp_ntz", *[(hour,) for hour in hours])
-    assert rows(checks.sequential_values(df, "t", 1, "hour", **how)) == [(hours[3], hours[2])]
-    assert failing(checks.sequential_values(df, "t", 1, "hour", where="hour(t) < 3", **how)) == 0
+    assert rows(checks.sequential_values(df, "t", 1, "hour")) == [(hours[3], hours[2])]
+    assert failing(checks.sequential_values(df, "t", 1, "hour", where="hour(t) < 3")) == 0
 
 
-@pytest.mark.parametrize("how", SPLITS)
 @pytest.mark.parametrize(
     "ranges, options, bad",
     [
@@ -175,25 +169,41 @@ def test_sequential_timestamps(table, rows, how):
         ([(0, 1), (None, 3)], {}, 1),
     ],
 )
-def test_mutually_exclusive_ranges(table, how, ranges, options, bad):
+def test_mutually_exclusive_ranges(table, ranges, options, bad):
     df = table("a int, b int", *ranges)
-    assert failing(checks.mutually_exclusive_ranges(df, "a", "b", **options, **how)) == bad
+    assert failing(checks.mutually_exclusive_ranges(df, "a", "b", **options)) == bad
 
 
-@pytest.mark.parametrize("how", SPLITS)
-def test_open_ranges_by_group(table, rows, how):
+def test_open_ranges_by_group(table, rows):
     df = table("s int, a int, b int", (1, 0, 4), (1, 4, None), (2, 1, 2), (2, 1, 3))
-    bad = checks.mutually_exclusive_ranges(df, "a", "coalesce(b, 99)", partition_by="s", **how)
+    bad = checks.mutually_exclusive_ranges(df, "a", "coalesce(b, 99)", partition_by="s")
     assert rows(bad.select("partition_by_col", "lower_bound", "upper_bound", "next_lower_bound", "is_last_record")) == [(2, 1, 2, 1, False)]
     assert bad.columns[-1] == "upper_bound_less_than_or_equal_to_next_lower_bound"
 
 
-def test_ranges_agree_between_paths_on_random_data(spark, rows):
+def test_ranges_by_definition_on_random_data(spark, rows):
+    """One group holds most rows; there are ties and missing bounds on both sides."""
     pick = random.Random(11)
-    data = [("hot" if pick.random() < 0.6 else pick.choice("abc"), pick.randrange(40), pick.choice([None, pick.randrange(45)])) for _ in range(300)]
+    bound = lambda: pick.choice([None, *[pick.randrange(12) for _ in range(7)]])
+    data = [("hot" if pick.random() < 0.6 else pick.choice("abc"), bound(), bound()) for _ in range(300)]
     df = spark.createDataFrame(data, "g string, a int, b int")
-    plain, chunked = (rows(checks.mutually_exclusive_ranges(df, "a", "b", ["g"], **how)) for how in SPLITS)
-    assert plain == chunked and plain
+    wanted = []
+    for group in {g for g, _, _ in data}:
+        members = sorted((row for row in data if row[0] == group), key=lambda r: [(x is None, x or 0) for x in r[1:]])
+        top = max(range(len(members)), key=lambda i: ([(x is not None, x or 0) for x in members[i][1:]], i))
+        for i, (_, low, high) in enumerate(members):
+            following = members[i + 1][1] if i + 1 < len(members) else None
+            length = low is not None and high is not None and low < high
+            gap = high <= following if high is not None and following is not None else i == top
+            if not (length and gap):
+                wanted.append((group, low, high, following, i == top, length, gap))
+    bad = checks.mutually_exclusive_ranges(df, "a", "b", ["g"])
+    assert rows(bad) == sorted(wanted, key=lambda row: [(value is not None, str(value)) for value in row])
+
+
+def test_last_flag_with_a_missing_upper_bound(table, rows):
+    bad = checks.mutually_exclusive_ranges(table("a int, b int", (5, 9), (5, None)), "a", "b")
+    assert rows(bad.select("lower_bound", "upper_bound", "is_last_record")) == [(5, None, False), (5, 9, True)]
 
 
 def test_unknown_gap_rule(table):

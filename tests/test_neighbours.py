@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.copies import repeat_rows
-from tidemark.operators.neighbours import add_neighbour, distinct_steps, group_rows, lag_columns, needs_split
+from tidemark.operators import neighbours
+from tidemark.operators.neighbours import add_neighbour, distinct_steps, lag_columns
 
 
 def skewed(spark, n=600, hot=0.7, seed=3):
@@ -36,17 +37,18 @@ def expected_neighbours(df, offset):
 
 
 @pytest.mark.parametrize("offset", [1, -1, 3])
-@pytest.mark.parametrize("split, limit", [(False, 10), (True, 37), (True, 1), (True, 10_000), (None, 50)])
-def test_neighbour_matches_brute_force(spark, offset, split, limit):
-    df = skewed(spark, 40 if limit == 1 else 600)
-    found = add_neighbour(df, "near", ["t", "v"], ["t"], ["g"], offset, split, limit)
+@pytest.mark.parametrize("split, size, edges", [(False, 600, 9), (True, 600, 1 << 20), (True, 600, 0), (True, 20, 1 << 20), (True, 3, 0)])
+def test_neighbour_matches_brute_force(spark, offset, split, size, edges, monkeypatch):
+    monkeypatch.setattr(neighbours, "BROADCAST_EDGES", edges)
+    df = skewed(spark, size)
+    found = add_neighbour(df, "near", ["t", "v"], ["t"], ["g"], offset, split)
     got = [(r.g, r.t, r.v, None if r.near is None else (r.near.t, r.near.v)) for r in found.collect()]
     assert sorted(got, key=str) == expected_neighbours(df, offset)
 
 
 def test_neighbour_without_groups_and_in_descending_order(spark):
     df = spark.range(500).selectExpr("id", "id * 2 as v")
-    found = add_neighbour(df, "near", ["v"], [F.col("id").desc()], split=True, max_group_rows=60)
+    found = add_neighbour(df, "near", ["v"], [F.col("id").desc()], split=True)
     assert {(r.id, r.near and r.near.v) for r in found.collect()} == {(i, (i + 1) * 2 if i < 499 else None) for i in range(500)}
 
 
@@ -55,13 +57,6 @@ def test_chunks_survive_an_empty_table(spark):
     assert add_neighbour(df, "near", ["v"], ["id"], split=True).count() == 0
 
 
-def test_largest_group_decides(spark):
-    df = skewed(spark)
-    assert group_rows(df, ["g"]) == df.filter("g = 'hot'").count()
-    assert needs_split(df, ["g"], 100) and not needs_split(df, ["g"], 600)
-    assert group_rows(df, []) == 600
-
-
 def test_lag_columns(spark, rows):
     df = spark.createDataFrame([(2020, 1, 1.0), (2020, 3, 3.0), (2021, 1, 5.0)], "ano int, mes int, x double")
     assert rows(lag_columns(df, ["x"], ["ano", "mes"])) == [(2020, 1, 1.0, None), (2020, 3, 3.0, 1.0), (2021, 1, 5.0, 3.0)]
@@ -74,22 +69,23 @@ def test_zero_offset_is_refused(spark):
 
 @pytest.mark.parametrize("offset", [1, -1])
 def test_equal_rows_are_counted_not_lost(spark, offset):
-    """A value that fills a third of the table is one counted row on the chunked path."""
-    df = spark.createDataFrame([("g", v) for v in [5] * 40 + list(range(60)) + [59] * 20] + [("h", 1)], "g string, v int")
-
-    def steps(split, limit):
-        found = distinct_steps(df, ["g"], ["v"], ["v"], offset, split, limit)
-        counts = {}
-        for row in found.collect():
-            key = (row.g, row.v, row.near and row.near.v)
-            counts[key] = counts.get(key, 0) + (row.copies if split else 1)
-        return counts
-
-    plain = steps(False, 10)
-    assert steps(True, 7) == plain
-    assert sum(plain.values()) == 121
-    chunked = distinct_steps(df, ["g"], ["v"], ["v"], offset, True, 7)
-    assert chunked.count() < 121
+    """A value that fills a third of the table is one counted row."""
+    values = [("g", v) for v in [5] * 40 + list(range(60)) + [59] * 20] + [("h", 1), ("h", None), ("h", None)]
+    df = spark.createDataFrame(values, "g string, v int")
+    counts = {}
+    steps = distinct_steps(df, ["g"], ["v"], ["v"], offset).collect()
+    for row in steps:
+        key = (row.g, row.v, row.near and (row.near.v,))
+        counts[key] = counts.get(key, 0) + row.copies
+        assert row.outer or row.near.v == row.v
+    wanted = {}
+    for group in "gh":
+        members = sorted((v for g, v in values if g == group), key=lambda v: (v is None, v or 0))
+        for i, v in enumerate(members):
+            j = i - offset
+            key = (group, v, (members[j],) if 0 <= j < len(members) else None)
+            wanted[key] = wanted.get(key, 0) + 1
+    assert counts == wanted and len(steps) < len(values)
 
 
 def test_repeat_rows(spark):

@@ -7,11 +7,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from workloads import QUERIES
 from tidemark.operators import checks, neighbours, reshape, suite
+from tidemark.operators.copies import repeat_rows
+from tidemark.sources import landing
 from workloads.inputs import table
 
 SF_DIR = "/root/testdata/sf0.001"
+# Queries whose plans join a single row, or a series made from a handful of bounds.
+BOUNDED_LOOPS = set()
 
 
 def plan(df):
@@ -58,13 +62,34 @@ def test_relationship_check_joins_distinct_values(spark, lines):
 
 
 def test_no_query_runs_python_per_row_or_a_cross_join(spark):
-    for name in ("mart_monthly", "mart_panel", "check_equality", "payload_sidra", "url_path", "pivot_counts"):
-        shape = plan(contract.queries()[name](spark, SF_DIR))
-        assert "Python" not in shape and "CartesianProduct" not in shape and "NestedLoop" not in shape
+    for name, function in QUERIES.items():
+        shape = plan(function(spark, SF_DIR))
+        assert "Python" not in shape and "CartesianProduct" not in shape, name
+        assert "NestedLoop" not in shape or name in BOUNDED_LOOPS, name
 
 
-def test_the_number_of_chunks_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "MAX_CHUNKS", 3)
-    df = spark.range(200).withColumn("v", F.col("id"))
-    found = neighbours.add_neighbour(df, "near", ["v"], ["id"], split=True, max_group_rows=1)
-    assert {(row.id, row.near and row.near.v) for row in found.collect()} == {(i, i - 1 if i else None) for i in range(200)}
+def test_choosing_a_source_by_key_takes_one_join(lines):
+    candidates = [lines.filter(F.col("l_returnflag") == flag).select("l_partkey", "l_tax") for flag in "ANR"]
+    shape = plan(landing.first_nonempty(candidates, by=["l_partkey"]))
+    assert count(shape, "(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin)") == 1 and count(shape, "Union") == 2
+
+
+def test_neighbours_write_once_and_read_twice(spark, lines):
+    shape = plan(neighbours.add_neighbour(lines.select("l_orderkey", "l_tax"), "near", ["l_tax"], ["l_orderkey"]))
+    assert count(shape, "FileScan") == 2 and shape.count("PushedFilters: [IsNotNull(__edge), EqualTo(__edge,true)") == 1
+
+
+def test_single_copies_are_not_shuffled(spark):
+    df = spark.range(10).selectExpr("id", "id AS n")
+    shape = plan(repeat_rows(df, "n"))
+    assert count(shape, "Exchange") == 1  # of the counts beyond one block
+
+
+def test_distinct_pivots_do_not_copy_the_table(spark, lines):
+    shape = plan(reshape.pivot(lines, ["l_suppkey"], "l_returnflag", ["A", "N", "R"], agg="count", then_value="l_tax", else_value="null", distinct=True))
+    assert "Expand" not in shape
+
+
+def test_row_checks_of_a_suite_share_a_scan(lines):
+    shape = plan(suite.run_suite([suite.RowCheck("a", checks.is_missing("l_tax"), table=lines), suite.RowCheck("b", checks.is_missing("l_partkey"), table=lines)]))
+    assert count(shape, "FileScan") == 1

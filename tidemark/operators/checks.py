@@ -7,6 +7,7 @@ conditions are SQL expressions or Columns.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from tidemark.functions.dates import check_unit, shift
 from tidemark.functions.keys import slug
 from tidemark.operators.compare import COUNT_A, COUNT_B, side_counts
 from tidemark.operators.copies import repeat_rows
-from tidemark.operators.neighbours import MAX_GROUP_ROWS, distinct_steps
+from tidemark.operators.neighbours import distinct_steps
 from tidemark.operators.reshape import filtered_columns
 
 # Types that a hash aggregation can hold a minimum and maximum of.
@@ -198,12 +199,10 @@ def sequential_values(
     datepart: str | None = None,
     group_by=(),
     where=None,
-    split: bool | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Rows that do not follow their predecessor by ``interval``; the first row is exempt."""
     group_by = list(group_by)
-    steps = distinct_steps(_rows(df, where), group_by, [column], [column], 1, split, max_group_rows)
+    steps = distinct_steps(_rows(df, where), group_by, [column], [column], 1).drop("outer")
     previous = F.col("near")[column]
     expected = shift(datepart, interval, previous) if datepart else previous + interval
     failing = steps.filter(~(F.col(column) == expected))
@@ -219,10 +218,11 @@ def mutually_exclusive_ranges(
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
     where=None,
-    split: bool | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Ranges that are empty, unbounded, or at odds with the next range of their group."""
+    """Ranges that are empty, unbounded, or at odds with the next range of their group.
+
+    ``is_last_record`` marks the range with the largest lower bound, then the largest upper bound, of its group; a null bound is smallest.
+    """
     if gaps not in GAP_RULES:
         raise ValueError(f"gaps must be one of {', '.join(GAP_RULES)}, got {gaps!r}")
     gap_words, fits = GAP_RULES[gaps]
@@ -238,21 +238,30 @@ def mutually_exclusive_ranges(
         *groups, _expression(lower_bound).alias("lower_bound"), _expression(upper_bound).alias("upper_bound")
     )
     keys = ranges.columns[: len(groups)]
-    steps = distinct_steps(ranges, keys, ["lower_bound", "upper_bound"], ["lower_bound"], -1, split, max_group_rows)
+    steps = distinct_steps(ranges, keys, ["lower_bound", "upper_bound"], ["lower_bound"], -1)
 
     lower, upper, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
-    last = following.isNull() & lower.isNotNull()
     ordered = lower <= upper if zero_length_range_allowed else lower < upper
     length_flag, gap_flag = f"lower_bound_{length_words}_upper_bound", f"upper_bound_{gap_words}_next_lower_bound"
+    # A range without a following lower bound ends its group, unless it lacks a bound itself, which fails the length rule anyway.
     judged = (
         steps.withColumn("next_lower_bound", F.col("near")["lower_bound"])
-        .withColumn("is_last_record", last)
         .withColumn(length_flag, F.coalesce(ordered, F.lit(False)))
-        .withColumn(gap_flag, F.coalesce(fits(upper, following), F.col("is_last_record"), F.lit(False)))
+        .withColumn(gap_flag, F.coalesce(fits(upper, following), following.isNull() & lower.isNotNull(), F.lit(False)))
         .filter(~(F.col(length_flag) & F.col(gap_flag)))
+        .drop("near")
     )
+    # Which record is last matters for failing rows only, so it is looked up for their groups.
+    top = ranges.groupBy(*keys).agg(F.max(F.struct("lower_bound", "upper_bound")).alias("top"))
+    if keys:
+        same = reduce(lambda a, b: a & b, [F.col(f"judged.{key}").eqNullSafe(F.col(f"tops.{key}")) for key in keys])
+        judged = judged.alias("judged").join(top.alias("tops"), same).select("judged.*", "top")
+    else:
+        judged = judged.withColumn("top", top.scalar())
+    last = F.col("outer") & F.struct("lower_bound", "upper_bound").eqNullSafe(F.col("top"))
+    judged = judged.withColumn("is_last_record", last).withColumn(gap_flag, F.coalesce(fits(upper, following), last, F.lit(False)))
     shown = [*keys, "lower_bound", "upper_bound", "next_lower_bound", "is_last_record", length_flag, gap_flag]
-    return repeat_rows(judged.drop("near"), "copies").select(*shown)
+    return repeat_rows(judged.drop("outer", "top"), "copies").select(*shown)
 
 
 # --- checks against another table ---

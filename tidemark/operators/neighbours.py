@@ -1,9 +1,8 @@
 """Values of the row before or after, also where one group is most of the table.
 
-A window hands each group to a single task. That is right while groups are small, so the
-largest group is measured first (or the caller states that it is bounded). Beyond the
-limit the table is cut into range-sorted chunks, the neighbour is found inside each chunk,
-and the few rows at chunk edges are completed from the chunks next to them.
+A window hands each group to a single task. Here the table is cut into range-sorted chunks instead, the neighbour is found
+inside each chunk, and the few rows at chunk edges are completed from the chunks next to them: the work is spread evenly whatever the
+sizes of the groups. Where groups are bounded by what they mean (a calendar, say), ``split=False`` states so and one window does it.
 """
 
 from __future__ import annotations
@@ -14,117 +13,73 @@ from pyspark.sql import functions as F
 from tidemark.functions._columns import as_column, as_list
 from tidemark.session import materialise
 
-MAX_GROUP_ROWS = 2_000_000
-# Bounds both the shuffle and the edge rows that are broadcast: at most MAX_CHUNKS * |offset|.
-MAX_CHUNKS = 20_000
+# Edge rows that may be broadcast; with more of them the join is left to Spark.
+BROADCAST_EDGES = 200_000
 
 
-def group_rows(df: DataFrame, keys) -> int:
-    """Rows in the largest group; counts are combined before they are shuffled."""
-    if not keys:
-        return df.count()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.agg(F.max("rows")).first()[0] or 0
-
-
-def needs_split(df: DataFrame, keys, limit: int) -> bool:
-    return group_rows(df, keys) > limit
-
-
-def add_neighbour(
-    df: DataFrame,
-    name: str,
-    columns,
-    order_by,
-    partition_by=(),
-    offset: int = 1,
-    split: bool | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def add_neighbour(df: DataFrame, name: str, columns, order_by, partition_by=(), offset: int = 1, split: bool = True) -> DataFrame:
     """Add struct ``name`` with ``columns`` of the row ``offset`` places back (ahead if negative).
 
-    The struct is null where the group has no such row. ``order_by`` should be total.
-    ``split=None`` measures the largest group (an action); ``False`` states that groups
-    are bounded, ``True`` forces chunks.
+    The struct is null where the group has no such row. ``order_by`` should be total. With ``split`` the table
+    is written once to the shared folder, when this is called.
     """
     if offset == 0:
         raise ValueError("offset must not be 0")
     keys = list(partition_by)
     columns, order = as_list(columns), [as_column(term) for term in as_list(order_by)]
-    if split is None:
-        split = needs_split(df, keys, max_group_rows)
     if split:
-        return _neighbour_by_chunk(df, name, columns, order, keys, offset, max_group_rows)
+        return _neighbour_by_chunk(df, name, columns, order, keys, offset)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.lag(F.struct(*columns), offset).over(window))
 
 
-def _neighbour_by_chunk(df, name, columns, order: list[Column], keys, offset, rows_per_chunk) -> DataFrame:
+def _neighbour_by_chunk(df, name, columns, order: list[Column], keys, offset) -> DataFrame:
     original, reach = df.columns, abs(offset)
-    chunks = min(MAX_CHUNKS, max(2, -(-df.count() // max(1, rows_per_chunk))))
-    ranged = df.repartitionByRange(chunks, *keys, *order).withColumn("__chunk", F.spark_partition_id())
+    ranged = df.repartitionByRange(*keys, *order).withColumn("__chunk", F.spark_partition_id())
     window = Window.partitionBy("__chunk").orderBy(*keys, *order)
-    carried = F.struct(F.struct(*keys).alias("group") if keys else F.lit(0).alias("group"), F.struct(*columns).alias("row"))
-    # Chunk ids and positions are written down once: the edge rows are matched on them below.
-    placed = materialise(
-        ranged.select(
-            "*",
-            F.row_number().over(window).alias("__position"),
-            F.lag(carried, offset).over(window).alias("__near"),
-        ),
-        "neighbours",
-    ).withColumn("__own", carried)
-
-    # One row per chunk: its size and the number of rows before it.
-    sizes = placed.groupBy("__chunk").agg(F.max("__position").alias("__size"))
-    before = F.sum("__size").over(Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.withColumn("__start", F.coalesce(before, F.lit(0)))
-
-    # At most |offset| rows at each end of each chunk.
-    head = F.col("__position") <= reach
-    tail = F.col("__position") > F.col("__size") - reach
-    located = placed.join(F.broadcast(sizes), "__chunk")
-    index = F.col("__start") + F.col("__position")
-    lacking = head if offset > 0 else tail
-    giving = tail if offset > 0 else head
-    wanted = located.filter(lacking).select("__chunk", "__position", (index - offset).alias("__index"))
-    given = located.filter(giving).select(index.alias("__index"), F.col("__own").alias("__edge"))
-    edges = wanted.join(given, "__index").drop("__index")
-
-    # The edge rows are bounded by chunks * |offset|, whatever the size of the table.
-    joined = placed.join(F.broadcast(edges), ["__chunk", "__position"], "left")
-    near = F.coalesce(F.col("__near"), F.col("__edge"))
-    same_group = near["group"].eqNullSafe(F.col("__own")["group"])
-    return joined.select(*original, F.when(same_group, near["row"]).alias(name))
-
-
-def lag_columns(df: DataFrame, columns, order_by, partition_by=(), n: int = 1, split: bool | None = None) -> DataFrame:
+    group = F.struct(*keys) if keys else F.lit(0)
+    carried = F.struct(group.alias("group"), F.struct(*columns).alias("row"))
+    position, size = F.row_number().over(window), F.count(F.lit(1)).over(Window.partitionBy("__chunk"))
+    # Chunks and positions are written down once: the edge rows are matched on them below.
+    placed = ranged.select("*", position.alias("__position"), size.alias("__size"), F.lag(carried, offset).over(window).alias("__near"))
+    edge = (F.col("__position") <= reach) | (F.col("__position") > F.col("__size") - reach)
+    placed = materialise(placed.withColumn("__edge", edge), "neighbours")
+
+    # At most 2 * |offset| rows of each chunk. In their order, the row |offset| places away from one that
+    # lacks its neighbour is the one it lacks: all rows between the two are edge rows as well.
+    edges = placed.filter("__edge").select("__chunk", "__position", "__size", carried.alias("__own"))
+    across = F.lag("__own", offset).over(Window.orderBy("__chunk", "__position"))
+    lacking = F.col("__position") <= reach if offset > 0 else F.col("__position") > F.col("__size") - reach
+    found = edges.select("__chunk", "__position", lacking.alias("__lacking"), across.alias("__across")).filter("__lacking").drop("__lacking")
+    chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if 2 * reach * chunks <= BROADCAST_EDGES:
+        found = F.broadcast(found)
+    joined = placed.join(found, ["__chunk", "__position"], "left")
+    near = F.coalesce(F.col("__near"), F.col("__across"))
+    return joined.select(*original, F.when(near["group"].eqNullSafe(group), near["row"]).alias(name))
+
+
+def lag_columns(df: DataFrame, columns, order_by, partition_by=(), n: int = 1, split: bool = True) -> DataFrame:
     """Add ``<column>_lag<n>`` for each column."""
     columns = as_list(columns)
     shifted = add_neighbour(df, "__previous", columns, order_by, partition_by, n, split)
     return shifted.select(*df.columns, *[F.col("__previous")[name].alias(f"{name}_lag{n}") for name in columns])
 
 
-def distinct_steps(df: DataFrame, keys, order_columns, columns, offset: int, split: bool | None, max_group_rows: int) -> DataFrame:
+def distinct_steps(df: DataFrame, keys, order_columns, columns, offset: int) -> DataFrame:
     """``keys`` and ``order_columns`` of every row with its neighbour, repeats counted.
 
-    Adds struct ``near``. On the chunked path equal rows are counted before the neighbour is
-    looked up, so a value that fills a third of the table is one row here; ``copies`` then
-    says how many rows stand behind each.
+    Adds struct ``near``, ``copies`` (how many rows stand behind this one) and ``outer`` (whether the neighbour differs). Equal rows are
+    counted before the neighbour is looked up, so a value that fills a third of the table is one row here.
     """
     keys, order_columns = list(keys), list(order_columns)
     order = [F.col(name).asc_nulls_last() for name in order_columns]
-    rows = df.select(*keys, *order_columns)
-    if split is None:
-        split = needs_split(rows, keys, max_group_rows)
-    if not split:
-        return add_neighbour(rows, "near", columns, order, keys, offset, split=False)
-    # Sized, sampled and shuffled below: aggregate once, not once per step.
-    counted = materialise(rows.groupBy(*keys, *order_columns).agg(F.count(F.lit(1)).alias("__count")), "distinct")
-    stepped = add_neighbour(counted, "__next", columns, order, keys, offset, split=True, max_group_rows=max_group_rows)
+    counted = df.select(*keys, *order_columns).groupBy(*keys, *order_columns).agg(F.count(F.lit(1)).alias("__count"))
+    stepped = add_neighbour(counted, "__next", columns, order, keys, offset)
     # Of n equal rows one borders on another value, the rest border on each other.
     own = F.struct(*columns)
-    edge = F.struct(F.col("__next").alias("near"), F.lit(1).cast("bigint").alias("copies"))
-    inner = F.struct(own.alias("near"), (F.col("__count") - 1).alias("copies"))
+    one = F.lit(1).cast("bigint")
+    edge = F.struct(F.col("__next").alias("near"), one.alias("copies"), F.lit(True).alias("outer"))
+    inner = F.struct(own.alias("near"), (F.col("__count") - 1).alias("copies"), F.lit(False).alias("outer"))
     sides = F.explode(F.when(F.col("__count") > 1, F.array(edge, inner)).otherwise(F.array(edge)))
-    return stepped.withColumn("__side", sides).select(*keys, *order_columns, "__side.near", "__side.copies")
+    return stepped.withColumn("__side", sides).select(*keys, *order_columns, "__side.near", "__side.copies", "__side.outer")

@@ -80,7 +80,20 @@ def pivot_columns(
 
 
 def pivot(df: DataFrame, group_by, column: str, values, **options) -> DataFrame:
-    """Rows to columns in one aggregation per group; options as in ``pivot_columns``."""
+    """Rows to columns in one aggregation per group; options as in ``pivot_columns``.
+
+    Distinct counts of a column against nothing reduce the table to distinct values once, however many values are pivoted.
+    """
+    plain = {"distinct": True, "agg": "count", "cmp": "=", "else_value": "null"}
+    if all(str(options.get(name, "=" if name == "cmp" else None)).lower() == str(wanted).lower() for name, wanted in plain.items()):
+        keys = as_list(group_by)
+        names = [f"__key{i}" for i in range(len(keys))]
+        then = options.get("then_value", "1")
+        rows = df.select(*[F.col(key).alias(name) if isinstance(key, str) else key.alias(name) for key, name in zip(keys, names)], F.expr(column).cast("string").alias("__column"), F.expr(str(then)).alias("__then"))
+        labels = df.select(*keys).columns
+        rest = {name: value for name, value in options.items() if name not in ("distinct", "then_value")}
+        counted = rows.distinct().groupBy(*names).agg(*pivot_columns("__column", values, then_value="__then", **rest))
+        return counted.withColumnsRenamed(dict(zip(names, labels)))
     return df.groupBy(*as_list(group_by)).agg(*pivot_columns(column, values, **options))
 
 

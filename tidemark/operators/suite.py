@@ -70,12 +70,13 @@ class Check:
 
 @dataclass(frozen=True)
 class RowCheck:
-    """A predicate that is true for a failing row, optionally within ``where``."""
+    """A predicate that is true for a failing row, optionally within ``where``; ``table`` names the rows in a mixed suite."""
 
     name: str
     failing: Column
     where: str | Column | None = None
     thresholds: Thresholds = Thresholds()
+    table: DataFrame | None = None
 
 
 def _report(df: DataFrame, name: str, failures: Column, thresholds: Thresholds) -> DataFrame:
@@ -87,12 +88,19 @@ def _report(df: DataFrame, name: str, failures: Column, thresholds: Thresholds)
 
 
 def run_suite(checks) -> DataFrame:
-    """One report row (check_name, failures, status) per check."""
-    reports = []
+    """One report row (check_name, failures, status) per check.
+
+    A suite may also hold ``RowCheck`` entries with a table; those of one table share a scan.
+    """
+    reports, by_table = [], {}
     for check in checks:
+        if isinstance(check, RowCheck):
+            by_table.setdefault(id(check.table), []).append(check)
+            continue
         weight = F.count(F.lit(1)) if check.weight is None else check.weight
         total = check.failing.agg(weight.alias("__failures"))
         reports.append(_report(total, check.name, F.col("__failures"), check.thresholds))
+    reports += [run_row_checks(group[0].table, group) for group in by_table.values()]
     if not reports:
         raise ValueError("there are no checks to run")
     return reduce(DataFrame.unionAll, reports)

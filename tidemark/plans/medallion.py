@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.text import TREND_LABELS
 from tidemark.operators import checks
-from tidemark.operators.suite import Check, run_suite
+from tidemark.operators.suite import Check, RowCheck, run_suite
 from tidemark.plans.marts import annual_panel, lagged_comparison, monthly_series
 from tidemark.plans.silver import OBSERVATION_KEY, silver
 from tidemark.sources.landing import append_bronze, gated_sources, load_if_present, path_exists, read_series_csv, stamp
@@ -61,12 +61,12 @@ def mart_checks(marts: dict[str, DataFrame]) -> DataFrame:
     panel, monthly, lagged = (marts[name] for name in MARTS)
     return run_suite(
         [
-            Check("panel_year_not_null", checks.not_null(panel, "ano")),
+            RowCheck("panel_year_not_null", checks.is_missing("ano"), table=panel),
             Check("panel_year_unique", checks.unique(panel, "ano")),
-            Check("monthly_indicator_not_null", checks.not_null(monthly, "indicador")),
-            Check("monthly_value_not_null", checks.not_null(monthly, "valor")),
+            RowCheck("monthly_indicator_not_null", checks.is_missing("indicador"), table=monthly),
+            RowCheck("monthly_value_not_null", checks.is_missing("valor"), table=monthly),
             Check("monthly_trend_accepted", checks.accepted_values(monthly, "tendencia", TREND_LABELS)),
-            Check("lagged_year_not_null", checks.not_null(lagged, "ano")),
+            RowCheck("lagged_year_not_null", checks.is_missing("ano"), table=lagged),
             Check("lagged_year_unique", checks.unique(lagged, "ano")),
         ]
     )
@@ -75,7 +75,7 @@ def mart_checks(marts: dict[str, DataFrame]) -> DataFrame:
 def run(spark: SparkSession, raw_dir: str, base_dir: str, names=None) -> DataFrame:
     """Every stage in order; returns the check report."""
     ingest_bronze(spark, raw_dir, base_dir, names)
-    observations = build_silver(spark, base_dir, split=None)
+    observations = build_silver(spark, base_dir)
     upsert(spark, silver_path(base_dir), observations, [OBSERVATION_KEY], PARTITION_COLUMNS, ignore=["_silver_at"])
     exported = f"{base_dir}/parquet/silver_indicadores"
     export_parquet(load(spark, silver_path(base_dir)), exported)

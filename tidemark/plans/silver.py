@@ -12,7 +12,6 @@ from tidemark.functions.keys import composite_key
 from tidemark.functions.maths import percent_change
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.neighbours import add_neighbour
-from tidemark.session import materialise
 
 OBSERVATION_KEY = "chave"
 OBSERVATION_COLUMNS = [
@@ -73,14 +72,13 @@ def yoy(
     keys=YOY_KEYS,
     order: str = "ano",
     strict: bool = False,
-    split: bool | None = False,
+    split: bool = True,
     ties=("periodo",),
 ) -> DataFrame:
     """Add ``variacao_yoy``: change in percent against the previous row of the same season.
 
-    ``strict`` accepts only the year just before. After deduplication a group holds one
-    row per period of the calendar, so by default each group is one window. ``split=None``
-    measures the groups and cuts a large one up.
+    ``strict`` accepts only the year just before. ``split=False`` states that groups are small, one row per period of the
+    calendar, and makes each group one window.
     """
     ties = [name for name in ties if name in df.columns]
     ordering = [F.col(name).asc_nulls_first() for name in (order, *ties)]
@@ -92,12 +90,9 @@ def yoy(
     return shifted.select(*df.columns, change.alias("variacao_yoy"))
 
 
-def silver(frames: Mapping[str, DataFrame], strict: bool = False, split: bool | None = False, built_at=None) -> DataFrame:
+def silver(frames: Mapping[str, DataFrame], strict: bool = False, split: bool = True, built_at=None) -> DataFrame:
     """Observations from landing tables by category."""
     harmonised = [harmonise(df, categoria) for categoria, df in frames.items()]
     newest = newest_observations(union_series(harmonised)).select(*OBSERVATION_COLUMNS)
-    if split is not False:
-        # Measured and cut up below: read the landing tables once, not once per step.
-        newest = materialise(newest, "observations")
     moment = F.current_timestamp() if built_at is None else F.lit(built_at).cast("timestamp")
     return yoy(newest, strict=strict, split=split).withColumn("_silver_at", moment)

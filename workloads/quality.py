@@ -8,10 +8,6 @@ from tidemark.operators import checks, suite
 from workloads.inputs import table
 from workloads.registry import query
 
-# Small enough to take the chunked path on the test tables.
-CHUNK_ROWS = 3_000
-
-
 # --- single rows ---
 
 
@@ -145,15 +141,23 @@ def check_sequential_values(spark, sf_dir):
     return checks.sequential_values(table(spark, sf_dir, "lineitem"), "l_linenumber", group_by=["l_orderkey"])
 
 
-@query(LINES_BY_ORDER)
+# One group for each flag holds a third of all rows, and most rows are ties; every seventh number is missing.
+@query(SEQUENCE_SQL.format(
+    keys="l_returnflag,",
+    column="number",
+    partition="PARTITION BY l_returnflag",
+    source="(SELECT l_returnflag, CASE WHEN l_orderkey % 7 <> 0 THEN l_orderkey % 500 END AS number FROM lineitem)",
+    following="previous + 1",
+))
 def check_sequential_values_chunked(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    return checks.sequential_values(lines, "l_linenumber", group_by=["l_orderkey"], split=True, max_group_rows=CHUNK_ROWS)
+    numbered = lines.select("l_returnflag", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_orderkey") % 500).alias("number"))
+    return checks.sequential_values(numbered, "number", group_by=["l_returnflag"])
 
 
 @query(KEYS_OF_ORDERS)
 def check_sequence_of_whole_table(spark, sf_dir):
-    return checks.sequential_values(table(spark, sf_dir, "lineitem"), "l_orderkey", split=True, max_group_rows=CHUNK_ROWS)
+    return checks.sequential_values(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
 @query(SEQUENCE_SQL.format(
@@ -167,31 +171,43 @@ def check_sequential_dates(spark, sf_dir):
     return checks.sequential_values(table(spark, sf_dir, "orders"), "o_orderdate", 1, "day", ["o_custkey"])
 
 
+# Every range is placed in its group once; the next one is the range at the following place, the last one the highest.
 RANGES_SQL = """
-WITH ranges AS (SELECT {partition} lower_bound, upper_bound FROM (
-  SELECT o_custkey AS partition_by_col, CAST(o_orderdate AS DATE) AS lower_bound,
-         CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INTEGER) AS upper_bound FROM orders)),
-stepped AS (
-  SELECT *, lead(lower_bound) OVER ({by} ORDER BY lower_bound NULLS LAST, upper_bound NULLS LAST) AS next_lower_bound,
-         row_number() OVER ({by} ORDER BY lower_bound DESC NULLS LAST, upper_bound DESC NULLS LAST) = 1 AS is_last_record
+WITH ranges AS (
+  SELECT o_orderkey AS id, {group} AS partition_by_col, {lower} AS lower_bound, {upper} AS upper_bound
+  FROM (SELECT *, CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INTEGER) AS later FROM orders)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY partition_by_col ORDER BY lower_bound NULLS LAST, upper_bound NULLS LAST, id) AS place,
+         row_number() OVER (PARTITION BY partition_by_col ORDER BY lower_bound NULLS FIRST, upper_bound NULLS FIRST, id) AS height
   FROM ranges),
-judged AS (
-  SELECT *, coalesce(lower_bound {length} upper_bound, false) AS {length_name},
-         coalesce(upper_bound {gap} next_lower_bound, is_last_record, false) AS {gap_name}
-  FROM stepped)
-SELECT * FROM judged WHERE NOT ({length_name} AND {gap_name})
+highest AS (SELECT partition_by_col, max(height) AS top FROM placed GROUP BY partition_by_col)
+SELECT {shown} FROM (
+  SELECT p.partition_by_col, p.lower_bound, p.upper_bound, n.lower_bound AS next_lower_bound, p.height = h.top AS is_last_record,
+         coalesce(p.lower_bound {length} p.upper_bound, false) AS {length_name},
+         coalesce(p.upper_bound {gap} n.lower_bound, p.height = h.top, false) AS {gap_name}
+  FROM placed p JOIN highest h USING (partition_by_col)
+  LEFT JOIN placed n ON n.partition_by_col = p.partition_by_col AND n.place = p.place + 1)
+WHERE NOT ({length_name} AND {gap_name})
 """
-RANGES = RANGES_SQL.format(
-    partition="partition_by_col,",
-    by="PARTITION BY partition_by_col",
-    length="<",
-    length_name="lower_bound_less_than_upper_bound",
-    gap="<=",
-    gap_name="upper_bound_less_than_or_equal_to_next_lower_bound",
+ALLOWED = {
+    "length": "<",
+    "length_name": "lower_bound_less_than_upper_bound",
+    "gap": "<=",
+    "gap_name": "upper_bound_less_than_or_equal_to_next_lower_bound",
+}
+RANGES = RANGES_SQL.format(group="o_custkey", lower="day", upper="later", shown="*", **ALLOWED)
+RANGES_WITH_NULLS = RANGES_SQL.format(
+    group="o_orderpriority",
+    lower="CASE WHEN o_orderkey % 17 <> 0 THEN date_trunc('month', day)::DATE END",
+    upper="CASE WHEN o_orderkey % 5 <> 0 THEN date_trunc('month', later)::DATE END",
+    shown="*",
+    **ALLOWED,
 )
 RANGES_WHOLE = RANGES_SQL.format(
-    partition="",
-    by="",
+    group="0",
+    lower="day",
+    upper="later",
+    shown="* EXCLUDE (partition_by_col)",
     length="<=",
     length_name="lower_bound_less_than_or_equal_to_upper_bound",
     gap="=",
@@ -212,24 +228,21 @@ def check_ranges(spark, sf_dir):
     return checks.mutually_exclusive_ranges(_ranges(spark, sf_dir), "valid_from", "valid_to", "o_custkey")
 
 
-@query(RANGES)
+@query(RANGES_WITH_NULLS)
 def check_ranges_chunked(spark, sf_dir):
-    return checks.mutually_exclusive_ranges(
-        _ranges(spark, sf_dir), "valid_from", "valid_to", "o_custkey", split=True, max_group_rows=CHUNK_ROWS
-    )
+    """A few large groups, with ties and bounds that are missing."""
+    month = lambda day: F.trunc(day, "month")
+    lower = F.when(F.col("o_orderkey") % 17 != 0, month(F.to_date("o_orderdate")))
+    later = F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 40).cast("int"))
+    upper = F.when(F.col("o_orderkey") % 5 != 0, month(later))
+    ranges = table(spark, sf_dir, "orders").select("o_orderpriority", lower.alias("valid_from"), upper.alias("valid_to"))
+    return checks.mutually_exclusive_ranges(ranges, "valid_from", "valid_to", "o_orderpriority")
 
 
 @query(RANGES_WHOLE)
 def check_ranges_of_whole_table(spark, sf_dir):
-    return checks.mutually_exclusive_ranges(
-        _ranges(spark, sf_dir),
-        "valid_from",
-        "valid_to",
-        gaps="not_allowed",
-        zero_length_range_allowed=True,
-        split=True,
-        max_group_rows=CHUNK_ROWS,
-    )
+    ranges = _ranges(spark, sf_dir)
+    return checks.mutually_exclusive_ranges(ranges, "valid_from", "valid_to", gaps="not_allowed", zero_length_range_allowed=True)
 
 
 # --- against another table ---
@@ -265,31 +278,33 @@ def check_cardinality_equality(spark, sf_dir):
 
 GROUP_COUNTS_SQL = """
   WITH a AS (SELECT o_custkey AS k, count(*) AS na FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-  b AS (SELECT o_custkey AS k, count(*) AS nb FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
+  b AS (SELECT o_custkey AS k, count(*) AS nb FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F' GROUP BY 1),
   counts AS (SELECT coalesce(a.k, b.k) AS o_custkey, coalesce(na, 0) AS na, coalesce(nb, 0) AS nb,
              a.k IS NOT NULL AND b.k IS NOT NULL AS both_sides FROM a FULL JOIN b ON a.k = b.k)
 """
 
 
-def _by_status(spark, sf_dir, status):
-    return table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status)
+def _settled_and_others(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    settled = F.col("o_orderstatus").eqNullSafe("F")
+    return orders.filter(settled), orders.filter(~settled)
 
 
 @query(f"{GROUP_COUNTS_SQL} SELECT o_custkey, na AS count_a, nb AS count_b, abs(na - nb) AS diff_count FROM counts WHERE na <> nb")
 def check_equal_rowcount(spark, sf_dir):
-    return checks.equal_rowcount(_by_status(spark, sf_dir, "F"), _by_status(spark, sf_dir, "O"), ["o_custkey"])
+    return checks.equal_rowcount(*_settled_and_others(spark, sf_dir), ["o_custkey"])
 
 
 @query(f"{GROUP_COUNTS_SQL} SELECT o_custkey, na AS count_a, nb AS count_b, abs(na - nb) AS diff_count FROM counts WHERE na <> nb AND both_sides")
 def check_equal_rowcount_shared(spark, sf_dir):
-    return checks.equal_rowcount(_by_status(spark, sf_dir, "F"), _by_status(spark, sf_dir, "O"), ["o_custkey"], strict=False)
+    return checks.equal_rowcount(*_settled_and_others(spark, sf_dir), ["o_custkey"], strict=False)
 
 
 @query(f"""{GROUP_COUNTS_SQL}
 SELECT o_custkey, na AS count_our_model, nb AS count_comparison_model, CASE WHEN na > nb THEN na - nb ELSE 1 END AS row_count_delta
 FROM counts WHERE na >= nb""")
 def check_fewer_rows_than(spark, sf_dir):
-    return checks.fewer_rows_than(_by_status(spark, sf_dir, "F"), _by_status(spark, sf_dir, "O"), ["o_custkey"])
+    return checks.fewer_rows_than(*_settled_and_others(spark, sf_dir), ["o_custkey"])
 
 
 @query("""
@@ -302,7 +317,7 @@ def check_fewer_rows_whole(spark, sf_dir):
 
 EQUALITY_SQL = """
 WITH a AS (SELECT l_partkey, CAST(l_discount AS DOUBLE) AS d FROM lineitem WHERE l_returnflag = 'A'),
-b AS (SELECT l_partkey, CAST(l_discount + 0.0001 AS DOUBLE) AS d FROM lineitem WHERE l_returnflag = 'R'),
+b AS (SELECT l_partkey, CAST(l_discount + 0.0001 AS DOUBLE) AS d FROM lineitem WHERE l_returnflag IS DISTINCT FROM 'A'),
 ra AS (SELECT l_partkey, round(d, 2) AS d FROM a), rb AS (SELECT l_partkey, round(d, 2) AS d FROM b)
 SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM ra EXCEPT{all} SELECT * FROM rb)
 UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM rb EXCEPT{all} SELECT * FROM ra)
@@ -311,8 +326,9 @@ UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM rb EXCEPT{all} SELECT * FROM
 
 def _discounts(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    a = lines.filter("l_returnflag = 'A'").select("l_partkey", F.col("l_discount").alias("d"), "l_tax")
-    b = lines.filter("l_returnflag = 'R'").select("l_partkey", (F.col("l_discount") + 0.0001).alias("d"), "l_quantity")
+    returned = F.col("l_returnflag").eqNullSafe("A")
+    a = lines.filter(returned).select("l_partkey", F.col("l_discount").alias("d"), "l_tax")
+    b = lines.filter(~returned).select("l_partkey", (F.col("l_discount") + 0.0001).alias("d"), "l_quantity")
     return a, b
 
 
