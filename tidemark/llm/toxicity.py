@@ -11,6 +11,7 @@ holds only words of that sample, so that it is small; every whole text is scored
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -49,32 +50,61 @@ class ToxicityModel:
     bias: float = BIAS
 
 
+def _bags(documents: list[bytes]):
+    """Sentences as numbers of distinct words: (word -> number, word numbers of all sentences, their lengths, their documents)."""
+    words, flat, lengths, owner = {}, array("i"), array("i"), array("i")
+    for doc, text in enumerate(documents):
+        for sentence in text.translate(_CUT).split(b"\n"):
+            found = [words.setdefault(word, len(words)) for word in set(sentence.split())]
+            if found:
+                flat.extend(found)
+                lengths.append(len(found))
+                owner.append(doc)
+    return words, *(np.array(x, np.int32) for x in (flat, lengths, owner))
+
+
+def _frequent(words: dict[bytes, int], flat, lengths, owner) -> list[bytes]:
+    """The features that at least MIN_DOCS documents hold."""
+    pairs = np.unique(np.repeat(owner, lengths).astype(np.int64) * len(words) + flat)
+    held, last = Counter(), {}
+    names = list(words)
+    for pair in pairs.tolist():
+        doc, word = divmod(pair, len(words))
+        for feature in features(names[word]):
+            if last.get(feature) != doc:
+                last[feature] = doc
+                held[feature] += 1
+    return sorted(f for f, n in held.items() if n >= MIN_DOCS)
+
+
 def fit(documents: list[bytes], labels: list[int]) -> ToxicityModel:
     """Adam on the noisy-or likelihood, with weights kept at or above zero; both labels weigh the same."""
     if len(set(labels)) < 2:
         return ToxicityModel({})
-    bags = [[set(s.split()) for s in text.translate(_CUT).split(b"\n")] for text in documents]
-    bags = [[s for s in bag if s] for bag in bags]
-    held = Counter(f for bag in bags for f in {f for s in bag for word in s for f in features(word)})
-    index = {f: i for i, f in enumerate(sorted(f for f, n in held.items() if n >= MIN_DOCS))}
-    flat, lengths, owner = [], [], []
-    for doc, bag in enumerate(bags):
-        for sentence in bag:
-            found = [index[f] for word in sentence for f in features(word) if f in index]
-            flat += found
-            lengths.append(len(found))
-            owner.append(doc)
-    if not owner or not index:
+    words, flat, lengths, owner = _bags(documents)
+    if not words:
+        return ToxicityModel({})
+    index = {f: i for i, f in enumerate(_frequent(words, flat, lengths, owner))}
+    if not index:
         return ToxicityModel({})
-    flat, owner, y = np.array(flat, np.int64), np.array(owner), np.array(labels)
-    sentence = np.repeat(np.arange(len(lengths)), lengths)
+    of_word = [[index[f] for f in features(word) if f in index] for word in words]
+    sizes = np.array([len(found) for found in of_word], np.int32)
+    starts = np.cumsum(sizes) - sizes
+    joined = np.array([f for found in of_word for f in found], np.int32)
+    del of_word, words
+    # Words of sentences to features of sentences.
+    sentence = np.repeat(np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), sizes[flat])
+    within = np.arange(len(sentence)) - np.repeat(np.cumsum(sizes[flat]) - sizes[flat], sizes[flat])
+    flat = joined[np.repeat(starts[flat], sizes[flat]) + within]
+    del within
+    y = np.array(labels)
     importance = np.where(y == 1, 1 / (2 * y.sum()), 1 / (2 * (1 - y).sum()))
     w, b = np.zeros(len(index)), BIAS
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for turn in range(1, ROUNDS + 1):
         z = b + np.bincount(sentence, w[flat], len(lengths))
         soft = np.logaddexp(0, z)
-        total = np.bincount(owner, soft, len(bags))
+        total = np.bincount(owner, soft, len(documents))
         # Per unit of soft: +1 for clean documents, -exp(-T) / (1 - exp(-T)) for toxic ones.
         pull = np.where(y == 1, -1 / np.expm1(np.clip(total, 1e-12, 700)), 1.0) * importance
         slope = (pull[owner] / (1 + np.exp(-z))).clip(-1, 1)
