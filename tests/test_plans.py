@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,7 +151,7 @@ def test_whole_run(spark, tmp_path, rows):
     report = medallion.run(spark, str(raw), base)
     assert {row.status for row in report.collect()} == {"pass"} and report.count() == 7
 
-    observed = spark.table("silver_indicadores")
+    observed = spark.table("observations")
     counts = {row.indicador: row["count"] for row in observed.groupBy("indicador").count().collect()}
     assert counts == {"selic_mensal": 24, "ipca_mensal": 24, "pib_variacao_pct": 12}
     assert observed.filter("indicador = 'pib_variacao_pct' and mes is null").isEmpty()
@@ -158,15 +159,29 @@ def test_whole_run(spark, tmp_path, rows):
     # A second load restates one indicator and keeps the history of the others.
     land(raw, "bcb_selic", series("bcb", "selic_mensal", (2020, 2021), lambda y, m: 100.0))
     medallion.run(spark, str(raw), base, ["bcb_selic"])
-    observed = spark.table("silver_indicadores")
+    observed = spark.table("observations")
     assert observed.groupBy("chave").count().filter("count > 1").isEmpty()
     by_year = rows(observed.filter("indicador = 'selic_mensal'").groupBy("ano").agg(F.avg("valor"), F.max("variacao_yoy")))
     assert [(row[0], row[1]) for row in by_year[1:]] == [(2020, 100.0), (2021, 100.0)]
     assert by_year[2][2] == 0.0
-    panel = spark.read.parquet(f"{base}/gold/gld_painel_macro").filter("ano = 2021")
+    panel = spark.read.parquet(f"{base}/gold/annual_panel").filter("ano = 2021")
     assert panel.first().selic_media == 100.0
 
 
+def test_the_same_files_again_rewrite_no_partition(spark, tmp_path):
+    raw, base = tmp_path / "raw", str(tmp_path / "lake")
+    land(raw, "bcb_selic", series("bcb", "selic_mensal", (2019, 2020)))
+
+    def files():
+        folder = medallion.silver_path(base)
+        return {(d, n, os.stat(os.path.join(d, n)).st_mtime_ns) for d, _, names in os.walk(folder) for n in names}
+
+    medallion.run(spark, str(raw), base)
+    before = files()
+    medallion.run(spark, str(raw), base)
+    assert files() == before
+
+
 def test_a_run_without_any_source_fails(spark, tmp_path):
     with pytest.raises(ValueError):
         medallion.run(spark, str(tmp_path), str(tmp_path / "lake"))

@@ -117,6 +117,8 @@ def test_relations_by_pattern(spark, table, rows):
     assert unions.relations_by_pattern(spark, "EVENTS_%", "data_events_2018%") == stored
     assert unions.relations_by_prefix(spark, "events_db", "data_events", exclude="%02") == ["data_events_view", stored[0]]
     assert unions.relations_by_pattern(spark, "nowhere", "data_events_2018%") == []
+    named = [f"spark_catalog.{name}" for name in stored]
+    assert unions.relations_by_pattern(spark, "events_%", "data_events_2018%", catalog="spark_catalog") == named
     assert unions.union_tables(spark, stored, include=["user_id"]).count() == 2
     spark.catalog.dropTempView("data_events_view")
     spark.sql("DROP DATABASE events_db CASCADE")
@@ -156,6 +158,9 @@ def test_column_values(fields):
     assert introspect.column_values(fields, "field", order_by="field desc", max_records=2) == ["g", "f"]
     assert introspect.column_values(fields, "field", order_by="count(*) asc", max_records=2) == ["a", "b"]
     assert introspect.column_values(fields, "field", where="condition = 'right'") == ["g"]
+    assert introspect.column_values(fields, "field", order_by="count(*) desc, max(concat(field, ',')) desc") == [*"gfedcba"]
+    placed = introspect.value_frequencies(fields, "field", "max(condition) desc, field desc", max_records=2, place="place")
+    assert [(row.value, row.place) for row in placed.collect()] == [("g", 1), ("f", 2)]
     assert introspect.column_values(fields, "field", where="false", default=["none"]) == ["none"]
     assert introspect.column_values(None, "field", default=[]) == []
     with pytest.raises(ValueError):

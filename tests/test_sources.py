@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.sources import landing, payloads, schemas, tables
+from tidemark.sources import candidates, landing, payloads, schemas, tables
 from tidemark.streaming import landing as stream
 
 LOADED = "2024-01-01T00:00:00"
@@ -104,6 +104,53 @@ def test_a_hot_key_is_split_when_choosing_by_key(spark):
     assert "skew=true" in chosen._jdf.queryExecution().executedPlan().toString()
 
 
+# --- candidates ---
+
+
+@pytest.fixture
+def payload(tmp_path):
+    def put(source, place, document):
+        return write(tmp_path / "payloads" / source / str(place) / "a.json", document if isinstance(document, str) else json.dumps(document))
+
+    return put
+
+
+def test_the_first_candidate_with_rows_is_landed(spark, tmp_path, payload, rows):
+    payload("ibge_pib", 0, [])
+    payload("ibge_pib", 1, "not json")
+    payload("ibge_pib", 2, sidra(("BR", {"202001": "1.5", "202002": "..."})))
+    payload("ibge_pib", 3, [{"data": "01/01/2020", "valor": "9"}])
+    payload("ipea_gini", 0, {"value": []})
+    payload("ipea_gini", 3, [{"data": "01/02/2020", "valor": "7"}, {"data": "01/03/2020", "valor": ""}])
+    payload("ibge_populacao", 1, sidra(("Acre", {"2021": "5"})))
+    payload("bcb_selic", 0, [])
+    raw = str(tmp_path / "raw")
+    landed = candidates.land_sources(spark, str(tmp_path / "payloads"), raw)
+    assert landed == ["ibge_pib", "ibge_populacao", "bcb_selic", "ipea_gini"]
+    read = lambda name, schema: landing.read_series_csv(spark, f"{raw}/{name}.csv", schema)
+    assert rows(read("ibge_pib", schemas.GDP_FIELDS).select("periodo", "trimestre", "valor", "mes")) == [("2020-T1", 1, 1.5, None)]
+    assert rows(read("ipea_gini", schemas.SERIES_SCHEMA).select("indicador", "data", "valor")) == [
+        ("renda_media_pc", "2020-02-01", 7.0),
+        ("renda_media_pc", "2020-03-01", None),
+    ]
+    assert rows(read("ibge_populacao", schemas.POPULATION_SCHEMA).select("uf", "ano", "valor")) == [("Acre", 2021, 5.0)]
+    assert read("bcb_selic", schemas.SERIES_SCHEMA).isEmpty()
+
+
+def test_the_last_resort_of_a_chain(spark, tmp_path, payload, rows):
+    payload("ibge_pib", 2, [{"resultados": []}])
+    payload("ibge_pib", 3, [{"data": "01/04/2020", "valor": "9"}])
+    raw = str(tmp_path / "raw")
+    assert candidates.land_sources(spark, str(tmp_path / "payloads"), raw, ["ibge_pib", "bcb_ipca"]) == ["ibge_pib"]
+    found = landing.read_series_csv(spark, f"{raw}/ibge_pib.csv", schemas.GDP_FIELDS)
+    assert rows(found.select("fonte", "indicador", "data", "mes", "periodo")) == [("bcb", "pib_variacao_pct", "2020-04-01", 4, None)]
+
+
+def test_long_periods_are_not_cut(documents, rows):
+    flat = payloads.flatten_sidra(documents(sidra(("BR", {"20200000000001": "1.0", "202099999999999999": "2.0"}))), "x", "%", loaded_at=LOADED)
+    assert rows(flat.select("periodo", "trimestre", "valor")) == [("2020", None, 2.0), ("2020-T1", 1, 1.0)]
+
+
 # --- landing files ---
 
 

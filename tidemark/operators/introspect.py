@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions._columns import as_column, as_predicate
@@ -12,21 +12,42 @@ from tidemark.functions._columns import as_column, as_predicate
 MAX_DRIVER_ROWS = 10_000
 
 
-def value_frequencies(df: DataFrame, column, order_by: str = "count(*) desc", max_records: int | None = None, where=None) -> DataFrame:
-    """Distinct values of ``column`` in the order of an aggregate, ties by value.
+def _order_terms(order_by: str) -> list[str]:
+    """The terms of an ORDER BY list: cut at commas outside of parentheses and quotes."""
+    terms, depth, quote = [""], 0, ""
+    for char in order_by:
+        quote = "" if char == quote else char if not quote and char in "'\"`" else quote
+        depth += (char == "(") - (char == ")") if not quote else 0
+        if char == "," and not depth and not quote:
+            terms.append("")
+        else:
+            terms[-1] += char
+    return [term.strip() for term in terms]
 
-    ``order_by`` is a SQL aggregate or the column itself, with an optional asc or desc.
+
+def value_frequencies(
+    df: DataFrame, column, order_by: str = "count(*) desc", max_records: int | None = None, where=None, place: str | None = None
+) -> DataFrame:
+    """Distinct values of ``column`` in the order of aggregates, ties by value.
+
+    ``order_by`` lists SQL aggregates or the column itself, each with an optional asc or desc. ``place`` names a column that
+    numbers the values in this order.
     """
     rows = df if where is None else df.filter(as_predicate(where))
-    expression, direction = re.fullmatch(r"(.*?)(?:\s+(asc|desc))?\s*", order_by, re.IGNORECASE | re.DOTALL).groups()
-    value = as_column(column)
-    grouped = rows.groupBy(value.alias("value"))
-    if isinstance(column, str) and expression.strip().strip("`").lower() == column.lower():
-        expression = f"max(`{column}`)"
-    counted = grouped.agg(F.count(F.lit(1)).alias("n_rows"), F.expr(expression).alias("__order"))
-    order = F.col("__order")
-    order = order.desc_nulls_last() if (direction or "").lower() == "desc" else order.asc_nulls_last()
-    ordered = counted.orderBy(order, F.col("value").asc_nulls_last()).drop("__order")
+    value, keys, order = as_column(column), [], []
+    for i, term in enumerate(_order_terms(order_by)):
+        expression, direction = re.fullmatch(r"(.*?)(?:\s+(asc|desc))?\s*", term, re.IGNORECASE | re.DOTALL).groups()
+        if isinstance(column, str) and expression.strip().strip("`").lower() == column.lower():
+            expression = f"max(`{column}`)"
+        keys.append(F.expr(expression).alias(f"__order{i}"))
+        key = F.col(f"__order{i}")
+        order.append(key.desc_nulls_last() if (direction or "").lower() == "desc" else key.asc_nulls_last())
+    order.append(F.col("value").asc_nulls_last())
+    counted = rows.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n_rows"), *keys)
+    if place:
+        counted = counted.withColumn(place, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+        order = [F.col(place)]
+    ordered = counted.orderBy(*order).drop(*[f"__order{i}" for i in range(len(keys))])
     return ordered if max_records is None else ordered.limit(max_records)
 
 

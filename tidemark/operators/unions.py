@@ -61,27 +61,29 @@ def _like(pattern: str) -> re.Pattern:
     return re.compile("".join(marks.get(char, re.escape(char)) for char in pattern), re.IGNORECASE | re.DOTALL)
 
 
-def relations_by_pattern(spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "") -> list[str]:
+def relations_by_pattern(spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "", catalog: str | None = None) -> list[str]:
     """Names of catalog tables and views that match LIKE patterns; reads metadata only.
 
-    Temporary views belong to no schema and are matched on the table pattern alone.
+    Temporary views belong to no schema and are matched on the table pattern alone. Another ``catalog`` than the current one is
+    searched for its own tables, which are named with it.
     """
     schemas, tables, unwanted = _like(schema_pattern), _like(table_pattern), _like(exclude)
+    where, prefix = (f" IN `{catalog}`", f"{catalog}.") if catalog else ("", "")
     found = []
-    databases = [database.name for database in spark.catalog.listDatabases()]
-    for database in databases:
-        for table in spark.catalog.listTables(database):
-            if not tables.fullmatch(table.name) or unwanted.fullmatch(table.name):
+    for database in [row[0] for row in spark.sql(f"SHOW NAMESPACES{where}").collect()]:
+        for table in spark.sql(f"SHOW TABLES IN {f'`{catalog}`.' if catalog else ''}`{database}`").collect():
+            if not tables.fullmatch(table.tableName) or unwanted.fullmatch(table.tableName):
                 continue
             if table.isTemporary:
-                found.append(table.name)
+                if not catalog:
+                    found.append(table.tableName)
             elif schemas.fullmatch(database):
-                found.append(f"{database}.{table.name}")
+                found.append(f"{prefix}{database}.{table.tableName}")
     return sorted(set(found))
 
 
-def relations_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "") -> list[str]:
-    return relations_by_pattern(spark, schema, f"{prefix}%", exclude)
+def relations_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "", catalog: str | None = None) -> list[str]:
+    return relations_by_pattern(spark, schema, f"{prefix}%", exclude, catalog)
 
 
 def union_tables(spark: SparkSession, names, **options) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Landing files to bronze, observations, marts and their checks."""
+"""Payloads to landing files, bronze, observations, marts and their checks."""
 
 from __future__ import annotations
 
@@ -9,20 +9,21 @@ from tidemark.operators import checks
 from tidemark.operators.suite import Check, RowCheck, run_suite
 from tidemark.plans.marts import annual_panel, lagged_comparison, monthly_series
 from tidemark.plans.silver import OBSERVATION_KEY, silver
+from tidemark.sources.candidates import land_sources
 from tidemark.sources.landing import append_bronze, gated_sources, load_if_present, path_exists, read_series_csv, stamp
 from tidemark.sources.schemas import CATEGORIES, select_sources
 from tidemark.sources.tables import export_parquet, load, register_view, upsert
 
 PARTITION_COLUMNS = ["fonte", "ano"]
 MARTS = {
-    "gld_painel_macro": annual_panel,
-    "gld_serie_mensal": monthly_series,
-    "gld_correlacoes": lagged_comparison,
+    "annual_panel": annual_panel,
+    "monthly_series": monthly_series,
+    "lagged_comparison": lagged_comparison,
 }
 
 
 def silver_path(base_dir: str) -> str:
-    return f"{base_dir}/silver/indicadores"
+    return f"{base_dir}/silver/observations"
 
 
 def ingest_bronze(spark: SparkSession, raw_dir: str, base_dir: str, names=None) -> dict[str, int]:
@@ -72,12 +73,14 @@ def mart_checks(marts: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def run(spark: SparkSession, raw_dir: str, base_dir: str, names=None) -> DataFrame:
-    """Every stage in order; returns the check report."""
+def run(spark: SparkSession, raw_dir: str, base_dir: str, names=None, payload_dir: str | None = None, view: str = "observations") -> DataFrame:
+    """Every stage in order; returns the check report. With ``payload_dir`` the landing files are first made from payloads."""
+    if payload_dir:
+        land_sources(spark, payload_dir, raw_dir, names)
     ingest_bronze(spark, raw_dir, base_dir, names)
     observations = build_silver(spark, base_dir)
     upsert(spark, silver_path(base_dir), observations, [OBSERVATION_KEY], PARTITION_COLUMNS, ignore=["_silver_at"])
-    exported = f"{base_dir}/parquet/silver_indicadores"
+    exported = f"{base_dir}/parquet/{view}"
     export_parquet(load(spark, silver_path(base_dir)), exported)
-    register_view(spark, "silver_indicadores", exported)
+    register_view(spark, view, exported)
     return mart_checks(build_gold(spark, base_dir))

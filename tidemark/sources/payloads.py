@@ -79,7 +79,7 @@ def flatten_sidra(raw: DataFrame, indicador, unidade: str, fonte: str = "ibge",
     serie = F.try_element_at(result["series"], F.lit(1))["serie"]
     entries = raw.select("*", F.explode(serie).alias("__period", "__text")).withColumn("__figure", _figure(F.col("__text")))
     year = safe_cast(F.substring("__period", 1, 4), "int")
-    quarter = safe_cast(F.nullif(F.substring("__period", 5, 9), F.lit("")), "int")
+    quarter = safe_cast(F.nullif(F.expr("substring(__period, 5)"), F.lit("")), "int")
     # A quarter of 0 counts as none.
     label = F.when(F.coalesce(quarter, F.lit(0)) != 0, F.concat(year.cast("string"), F.lit("-T"), quarter.cast("string")))
     return entries.filter("__figure is not null").select(

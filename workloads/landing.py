@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.plans import medallion
-from tidemark.session import scratch_path
-from tidemark.sources import landing, payloads, tables
-from tidemark.sources.schemas import GDP_FIELDS, GDP_SCHEMA, SERIES_SCHEMA
+from tidemark.session import materialise, scratch_path
+from tidemark.sources import candidates, landing, payloads, tables
+from tidemark.sources.schemas import GDP_FIELDS, SERIES_SCHEMA
 from workloads.inputs import FIRST_LOAD, monthly_landing, quarterly_landing, table
 from workloads.registry import query
 
@@ -197,15 +197,20 @@ def bronze_evolution(spark, sf_dir):
 
 
 @query("""
-SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
-UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+SELECT 'orders' AS table_name, (SELECT count(*) FROM (SELECT DISTINCT o_orderpriority, year(o_orderdate), month(o_orderdate) FROM orders)) AS n_rows
+UNION ALL
+SELECT 'lineitem', (SELECT count(*) FROM (SELECT DISTINCT l_returnflag, year(l_shipdate), quarter(l_shipdate) FROM lineitem))
 """)
 def written_row_metrics(spark, sf_dir):
-    counts = [
-        (name, landing.append_bronze(table(spark, sf_dir, name), scratch_path(spark, "metrics")))
-        for name in ("orders", "lineitem")
-    ]
-    return spark.createDataFrame(counts, "table_name string, n_rows bigint")
+    """The series that are landed anyway, with the counts that their writes report; they must agree with what is read back."""
+    path, observed = scratch_path(spark, "metrics"), 0
+    for name, landed in (("orders", monthly_landing), ("lineitem", quarterly_landing)):
+        observed += landing.append_bronze(landing.stamp(landed(table(spark, sf_dir, name)).drop("_loaded_at"), name), path)
+    counts = landing.read_bronze(spark, path).groupBy(F.col("_source").alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = counts.agg(F.sum("n_rows")).first()[0]
+    if total != observed:
+        raise AssertionError(f"{observed} rows were reported and {total} written")
+    return counts
 
 
 # --- tables ---
@@ -281,56 +286,91 @@ def stored_query(spark, sf_dir):
     return spark.table("tidemark_stored_query")
 
 
-# --- the whole run: landing files to marts ---
+# --- the whole run: payloads to marts ---
 
-# Which orders stand for which source, moved to the years that the marts cover.
+# Which orders stand for which source and candidate, moved to the years that the marts cover. Candidates before the
+# one with rows are empty documents.
 STAND_INS = {
-    "bcb_selic": ("1-URGENT", "selic_mensal"),
-    "bcb_ipca": ("2-HIGH", "ipca_mensal"),
-    "bcb_cambio": ("3-MEDIUM", "cambio_usd_brl"),
-    "ipea_desemprego": ("4-NOT SPECIFIED", "desemprego_pct"),
+    "bcb_selic": (0, "1-URGENT"),
+    "bcb_ipca": (0, "2-HIGH"),
+    "bcb_cambio": (0, "3-MEDIUM"),
+    "ipea_desemprego": (0, "4-NOT SPECIFIED"),
+    "ipea_gini": (3, "5-LOW"),
 }
 YEARS_LATER = 20
-WHOLE_RUN_SQL = f"""
-WITH monthly AS (
+MONTHLY_LATER_SQL = f"""
   SELECT o_orderpriority AS p, year(o_orderdate) + {YEARS_LATER} AS ano, month(o_orderdate) AS mes,
          CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS valor
-  FROM orders GROUP BY ALL),
-quarterly AS (
+  FROM orders GROUP BY ALL
+"""
+QUARTERLY_LATER_SQL = f"""
   SELECT year(l_shipdate) + {YEARS_LATER} AS ano, quarter(l_shipdate) AS q,
          CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS valor
-  FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL),
+  FROM lineitem GROUP BY ALL
+"""
+WHOLE_RUN_SQL = f"""
+WITH monthly AS ({MONTHLY_LATER_SQL}),
+quarterly AS ({QUARTERLY_LATER_SQL}),
 means AS (SELECT ano, p, round(avg(valor), 4) AS m FROM monthly GROUP BY ano, p
           UNION ALL SELECT ano, 'pib', round(avg(valor), 4) FROM quarterly GROUP BY ano),
 panel AS (
   SELECT CAST(ano AS INTEGER) AS ano, max(CASE WHEN p = '1-URGENT' THEN m END) AS selic_media,
          max(CASE WHEN p = '2-HIGH' THEN m END) AS ipca_media, max(CASE WHEN p = '3-MEDIUM' THEN m END) AS cambio_medio,
          max(CASE WHEN p = 'pib' THEN m END) AS pib_variacao_media,
-         max(CASE WHEN p = '4-NOT SPECIFIED' THEN m END) AS desemprego_medio, CAST(NULL AS DOUBLE) AS renda_media_pc
+         max(CASE WHEN p = '4-NOT SPECIFIED' THEN m END) AS desemprego_medio, max(CASE WHEN p = '5-LOW' THEN m END) AS renda_media_pc
   FROM means WHERE ano >= 2015 GROUP BY ano),
 wide AS (SELECT ano, mes, max(CASE WHEN p = '2-HIGH' THEN valor END) AS ipca, max(CASE WHEN p = '3-MEDIUM' THEN valor END) AS cambio
-         FROM monthly WHERE p <> '5-LOW' GROUP BY ano, mes),
+         FROM monthly GROUP BY ano, mes),
 gaps AS (SELECT ano, round(avg(cambio - before), 2) AS cambio_vs_ipca_defasado FROM (
            SELECT *, lag(ipca) OVER (ORDER BY ano, mes) AS before FROM wide) GROUP BY ano)
 SELECT panel.*, cambio_vs_ipca_defasado FROM panel LEFT JOIN gaps USING (ano)
 """
 
 
+def _write_payloads(spark, sf_dir, payload_dir: str) -> None:
+    """One document per source, from one aggregation of each table; earlier candidates are empty."""
+    later = F.col("ano") + YEARS_LATER
+    monthly = monthly_landing(table(spark, sf_dir, "orders")).select("indicador", F.make_date(later, "mes", F.lit(1)).alias("day"), "valor")
+    sgs = F.to_json(F.collect_list(F.struct(F.date_format("day", "dd/MM/yyyy").alias("data"), F.col("valor").cast("string").alias("valor"))))
+    items = F.collect_list(F.struct(F.col("valor").alias("VALVALOR"), F.date_format("day", "yyyy-MM-dd'T'00:00:00'-03:00'").alias("VALDATA")))
+    by_priority = monthly.groupBy("indicador").agg(sgs.alias("sgs"), F.to_json(F.struct(items.alias("value"))).alias("odata"))
+    by_priority = materialise(by_priority, "payloads")
+    for source, (place, priority) in STAND_INS.items():
+        document = by_priority.filter(F.col("indicador") == priority).select(candidates.CANDIDATES[source][place].kind)
+        document.write.text(candidates.payload_path(payload_dir, source, place))
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_returnflag", F.lit("all"))
+    period = F.concat(later.cast("string"), F.lit("0"), F.col("trimestre").cast("string"))
+    entries = F.map_from_entries(F.collect_list(F.struct(period, F.col("valor").cast("string"))))
+    serie = quarterly_landing(lines).groupBy().agg(entries.alias("serie"))
+    place = F.struct(F.lit("Brasil").alias("nome")).alias("localidade")
+    series = F.array(F.struct(place, F.col("serie")))
+    serie.select(_sidra_document(series)).write.text(candidates.payload_path(payload_dir, "ibge_pib", 1))
+    empty = spark.range(1)
+    empty.select(F.lit("[]")).write.text(candidates.payload_path(payload_dir, "ibge_pib", 0))
+    empty.select(F.lit('{"value": []}')).write.text(candidates.payload_path(payload_dir, "ipea_gini", 1))
+
+
 @query(WHOLE_RUN_SQL)
 def whole_run(spark, sf_dir):
     base = scratch_path(spark, "whole-run")
-    later = F.col("ano") + YEARS_LATER
-    monthly = monthly_landing(table(spark, sf_dir, "orders")).withColumn("ano", later)
-    monthly = monthly.withColumn("data", F.make_date("ano", "mes", F.lit(1)).cast("string")).withColumn("fonte", F.lit("bcb"))
-    for source, (priority, name) in STAND_INS.items():
-        rows = monthly.filter(F.col("indicador") == priority).withColumn("indicador", F.lit(name))
-        landing.write_csv(rows.select(*LANDING_COLUMNS), f"{base}/raw/{source}.csv")
-    quarterly = quarterly_landing(table(spark, sf_dir, "lineitem").filter("l_returnflag = 'A'")).withColumn("ano", later)
-    quarterly = quarterly.withColumn("periodo", F.concat_ws("-T", "ano", "trimestre")).withColumn("fonte", F.lit("ibge"))
-    gdp = quarterly.withColumn("indicador", F.lit("pib_variacao_pct")).select(*GDP_SCHEMA.names)
-    landing.write_csv(gdp, f"{base}/raw/ibge_pib.csv")
-    report = medallion.run(spark, f"{base}/raw", base)
+    _write_payloads(spark, sf_dir, f"{base}/payloads")
+    report = medallion.run(spark, f"{base}/raw", base, payload_dir=f"{base}/payloads")
     if not report.filter("status <> 'pass'").isEmpty():
         raise AssertionError("the marts fail their checks")
-    panel, lagged = (tables.load(spark, f"{base}/gold/{name}") for name in ("gld_painel_macro", "gld_correlacoes"))
+    panel, lagged = (tables.load(spark, f"{base}/gold/{name}") for name in ("annual_panel", "lagged_comparison"))
     return panel.join(lagged.select("ano", "cambio_vs_ipca_defasado"), "ano", "left")
+
+
+@query(f"""
+SELECT 'bcb_ipca' AS source, count(*) AS n_rows, sum(valor) IS NOT NULL AS has_values FROM ({MONTHLY_LATER_SQL}) WHERE p = '2-HIGH'
+UNION ALL SELECT 'ibge_pib', count(*), sum(valor) IS NOT NULL FROM ({QUARTERLY_LATER_SQL})
+""")
+def source_subset(spark, sf_dir):
+    """Only the chosen sources are landed and ingested, whatever payloads there are."""
+    base, names = scratch_path(spark, "subset"), ["bcb_ipca", "ibge_pib"]
+    _write_payloads(spark, sf_dir, f"{base}/payloads")
+    candidates.land_sources(spark, f"{base}/payloads", f"{base}/raw", names)
+    medallion.ingest_bronze(spark, f"{base}/raw", base, names)
+    bronze = [landing.read_bronze(spark, f"{base}/bronze/{group}").select("_source", "valor") for group in ("series_bcb", "pib")]
+    rows = bronze[0].unionByName(bronze[1]).groupBy(F.col("_source").alias("source"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), (F.count("valor") > 0).alias("has_values"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import boundary_count
 from tidemark.operators import dedupe, generate, introspect, reshape, unions
 from workloads.inputs import table
 from workloads.registry import query
@@ -278,9 +279,10 @@ SELECT u AS unit, date_diff(u, min(o_orderdate), max(o_orderdate)) AS n_interval
 FROM orders, (SELECT unnest(['year', 'quarter', 'month', 'day', 'hour']) AS u) GROUP BY u
 """)
 def intervals_between(spark, sf_dir):
-    first, last = _day_range(spark, sf_dir, "orders", "o_orderdate")
-    counts = [(u, generate.intervals_between(spark, first, last, u)) for u in ("year", "quarter", "month", "day", "hour")]
-    return spark.createDataFrame(counts, "unit string, n_intervals bigint")
+    days = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    units = ("year", "quarter", "month", "day", "hour")
+    counts = [F.struct(F.lit(u).alias("unit"), boundary_count(F.col("first"), F.col("last"), u).cast("bigint").alias("n_intervals")) for u in units]
+    return days.select(F.inline(F.array(*counts)))
 
 
 # --- small reads ---
@@ -296,10 +298,11 @@ def column_values(spark, sf_dir):
     return introspect.value_frequencies(orders, "o_custkey", max_records=20, where="o_orderstatus = 'O'")
 
 
-@query("SELECT o_orderpriority AS value, row_number() OVER (ORDER BY max(o_totalprice), o_orderpriority) AS place FROM orders GROUP BY 1")
+@query("SELECT o_orderpriority AS value, row_number() OVER (ORDER BY count(*) FILTER (WHERE o_totalprice > 100), max(o_totalprice) DESC, o_orderpriority) AS place FROM orders GROUP BY 1")
 def column_values_by_aggregate(spark, sf_dir):
-    values = introspect.column_values(table(spark, sf_dir, "orders"), "o_orderpriority", order_by="max(o_totalprice) asc")
-    return spark.createDataFrame([(value, i + 1) for i, value in enumerate(values)], "value string, place bigint")
+    orders = table(spark, sf_dir, "orders")
+    values = introspect.value_frequencies(orders, "o_orderpriority", order_by="count_if(o_totalprice > 100) asc, max(o_totalprice) desc", place="place")
+    return values.select("value", "place")
 
 
 @query("SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity >= (SELECT max(l_quantity) FROM lineitem)")
