@@ -279,8 +279,8 @@ def test_upsert_is_exact_and_repeatable(spark, table, tmp_path, rows):
     assert {name for name in os.listdir(path + "/fonte=01/ano=2020")} == untouched, "other partitions are not rewritten"
 
 
-def test_upsert_with_too_many_partitions_to_list(spark, table, tmp_path, rows, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
+def test_upsert_of_partitions_in_several_scans(spark, table, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(tables, "PARTITIONS_AT_ONCE", 1)
     path = str(tmp_path / "silver")
     tables.upsert(spark, path, table(TABLE, ("a", "x", 1, 1.0), ("b", "y", 2, 2.0), ("c", "z", 3, 3.0)), ["chave"], ["fonte", "ano"])
     tables.upsert(spark, path, table(TABLE, ("a", "w", 9, 10.0), ("b", "y", 2, 20.0)), ["chave"], ["fonte", "ano"])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from copy import copy
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,7 +13,8 @@ from tidemark.functions._columns import as_list
 from tidemark.session import materialise, remove_path, scratch_path
 from tidemark.sources.landing import path_exists
 
-MAX_LISTED_PARTITIONS = 500
+# Partitions that one scan names in its filter; more of them take several scans.
+PARTITIONS_AT_ONCE = 500
 
 
 def load(spark: SparkSession, path: str, format: str = "parquet", schema=None) -> DataFrame:
@@ -88,10 +88,13 @@ def merge_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """
     keys = as_list(keys)
     kept = target.join(source.select(*keys), keys, "left_anti")
+    return kept.unionByName(_completed(target, source, keys), allowMissingColumns=True)
+
+
+def _completed(target: DataFrame, source: DataFrame, keys) -> DataFrame:
+    """``source`` with the stored values of the columns it lacks."""
     lacking = [name for name in target.columns if name not in source.columns]
-    if lacking:
-        source = source.join(target.select(*keys, *lacking), keys, "left")
-    return kept.unionByName(source, allowMissingColumns=True)
+    return source.join(target.select(*keys, *lacking), keys, "left") if lacking else source
 
 
 def changed_rows(target: DataFrame, source: DataFrame, keys, ignore=()) -> DataFrame:
@@ -169,12 +172,17 @@ def _merge_delta(spark, path, source, keys, columns) -> None:
 def _replace_partitions(spark, path, target, source, keys, columns) -> None:
     # Key and partition columns only: where do matching keys live today?
     matched = target.select(*dict.fromkeys([*keys, *columns])).join(source.select(*keys), keys, "left_semi")
-    touched = _PartitionList(source.select(*columns).union(matched.select(*columns)), columns)
+    # One row per partition; the driver holds the table's list of files in any case.
+    touched = [tuple(row) for row in source.select(*columns).union(matched.select(*columns)).distinct().collect()]
 
     merged_path = scratch_path(spark, "upsert-merged")
-    merge_rows(touched.rows_of(target), source, keys).write.parquet(merged_path)
-    merged = spark.read.parquet(merged_path)
-    stale = _folders(touched.without(merged).rows_of(target))
+    completed = _completed(target, source, keys)
+    for chosen in _filters(touched, columns):  # literal values, so that only these partitions are scanned
+        kept = target.filter(chosen).join(source.select(*keys), keys, "left_anti")
+        kept.unionByName(completed.filter(chosen), allowMissingColumns=True).write.mode("append").parquet(merged_path)
+    held = {tuple(row) for row in spark.read.parquet(merged_path).select(*columns).distinct().collect()}
+    emptied = [values for values in touched if values not in held]
+    stale = [folder for chosen in _filters(emptied, columns) for folder in _folders(target.filter(chosen))]
     _write_note(spark, path, {"merged": merged_path, "columns": columns, "stale": stale})
     finish_upsert(spark, path)
 
@@ -217,10 +225,6 @@ def _typed_target(spark, path, source, columns) -> DataFrame:
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
-def _same(left: DataFrame, right: DataFrame, columns):
-    return reduce(lambda a, b: a & b, [left[name].eqNullSafe(right[name]) for name in columns])
-
-
 def _any(conditions):
     """Conditions joined by OR in a balanced tree, so that a long list stays shallow."""
     if not conditions:
@@ -231,36 +235,15 @@ def _any(conditions):
     return _any(conditions[:half]) | _any(conditions[half:])
 
 
-class _PartitionList:
-    """Distinct partition values: listed in the plan if they are few, else kept as a table.
-
-    A list prunes the scan of the target. Without a list the same rows are found by a join.
-    """
-
-    def __init__(self, rows: DataFrame, columns):
-        self.columns = columns
-        distinct = rows.select(*columns).distinct()
-        listed = distinct.limit(MAX_LISTED_PARTITIONS + 1).collect()
-        self.listed = {tuple(row) for row in listed} if len(listed) <= MAX_LISTED_PARTITIONS else None
-        self.table = None if self.listed is not None else materialise(distinct, "partitions")
-
-    def rows_of(self, target: DataFrame) -> DataFrame:
-        if self.listed is None:
-            return target.join(self.table, _same(target, self.table, self.columns), "left_semi")
-        conditions = [
-            reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(self.columns, values)])
-            for values in self.listed
-        ]
-        return target.filter(_any(conditions))
-
-    def without(self, rows: DataFrame) -> _PartitionList:
-        """The partitions of this list that have no row in ``rows``, which lies within the list."""
-        held = rows.select(*self.columns).distinct()
-        if self.listed is None:
-            return _PartitionList(self.table.join(held, _same(self.table, held, self.columns), "left_anti"), self.columns)
-        rest = copy(self)
-        rest.listed = self.listed - {tuple(row) for row in held.collect()}
-        return rest
+def _filters(partitions, columns):
+    """Conditions on the partition columns, each for a part of the list."""
+    for low in range(0, len(partitions), PARTITIONS_AT_ONCE):
+        yield _any(
+            [
+                reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(columns, values)])
+                for values in partitions[low : low + PARTITIONS_AT_ONCE]
+            ]
+        )
 
 
 def _folders(df: DataFrame) -> list[str]:
