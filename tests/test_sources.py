@@ -224,8 +224,8 @@ def test_gate(spark, tmp_path, rows):
     counts = landing.landed_rows(spark, str(tmp_path))
     gate = landing.gate_rows(counts, ["bcb", "ipea", "ibge"])
     assert rows(gate.select("source", "n_rows", "passed")) == [("bcb", 10, True), ("ibge", 0, False), ("ipea", 9, False)]
-    assert landing.gated_sources(spark, str(tmp_path), ["bcb", "ipea"]) == {"bcb"}
-    assert landing.gated_sources(spark, str(tmp_path / "none"), ["bcb"]) == set()
+    assert landing.gated_files(spark, str(tmp_path), ["bcb", "ipea"]) == {"bcb_selic.csv": 7, "bcb_ipca.csv": 3, "bcb_cambio.csv": 0}
+    assert landing.gated_files(spark, str(tmp_path / "none"), ["bcb"]) == {}
 
 
 # --- bronze ---

@@ -10,7 +10,7 @@ from tidemark.operators.suite import Check, RowCheck, run_suite
 from tidemark.plans.marts import annual_panel, lagged_comparison, monthly_series
 from tidemark.plans.silver import OBSERVATION_KEY, silver
 from tidemark.sources.candidates import land_sources
-from tidemark.sources.landing import append_bronze, gated_sources, load_if_present, path_exists, read_series_csv, stamp
+from tidemark.sources.landing import append_bronze, gated_files, load_if_present, read_series_csv, stamp
 from tidemark.sources.schemas import CATEGORIES, select_sources
 from tidemark.sources.tables import export_parquet, load, register_view, upsert
 
@@ -29,14 +29,11 @@ def silver_path(base_dir: str) -> str:
 def ingest_bronze(spark: SparkSession, raw_dir: str, base_dir: str, names=None) -> dict[str, int]:
     """Append the landing files of sources that pass the row gate; rows written per source."""
     sources = select_sources(names)
-    passed = gated_sources(spark, raw_dir, sorted({source.agency for source in sources}))
+    records = gated_files(spark, raw_dir, sorted({source.agency for source in sources}))
     written = {}
     for source in sources:
-        path = f"{raw_dir}/{source.name}.csv"
-        if source.agency not in passed or not path_exists(spark, path):
-            continue
-        landed = read_series_csv(spark, path, source.schema)
-        if not landed.isEmpty():
+        if records.get(f"{source.name}.csv"):
+            landed = read_series_csv(spark, f"{raw_dir}/{source.name}.csv", source.schema)
             written[source.name] = append_bronze(stamp(landed, source.name), f"{base_dir}/bronze/{source.group}")
     return written
 

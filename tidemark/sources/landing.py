@@ -180,9 +180,8 @@ def gate_rows(file_counts: DataFrame, sources, min_records: int = MIN_LANDED_ROW
     return counted_files.select(F.inline(F.array(*lines)))
 
 
-def gated_sources(spark: SparkSession, raw_dir: str, sources, min_records: int = MIN_LANDED_ROWS) -> set[str]:
-    """The sources whose landing files pass the gate."""
-    if not path_exists(spark, f"{raw_dir}/*.csv"):
-        return set()
-    gate = gate_rows(landed_rows(spark, raw_dir), sources, min_records)
-    return {row.source for row in gate.filter("passed").collect()}
+def gated_files(spark: SparkSession, raw_dir: str, sources, min_records: int = MIN_LANDED_ROWS) -> dict[str, int]:
+    """The records of each landing file of the sources that pass the gate; one row per file comes to the driver."""
+    counts = {row.file_name: row.n_rows for row in landed_rows(spark, raw_dir).collect()}
+    own = {source: {name: n for name, n in counts.items() if name.startswith(f"{source}_")} for source in sources}
+    return {name: n for files in own.values() if sum(files.values()) >= min_records for name, n in files.items()}
