@@ -1,10 +1,11 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network with calibrated probabilities.
 
-Every word (of whole texts, case kept; runs of punctuation are words too) hashes to one of ``BUCKETS`` rows. A row has a fixed sparse
-random index vector, and its context vector is the sum of the index vectors of the words up to ``REACH`` places away, over all documents. Tasks
-add up their own documents and pass on one table of fixed size each; these are summed and scaled to unit length. A document is the mean and the
-deviation of its words' vectors, the mean product of neighbouring ones, and its length. A network of one hidden layer, written in numpy, is fitted on a bounded sample of
-labelled documents (at most ``PER_CLASS`` rows per label), and its temperature on a part of the sample that the network has not seen.
+Every word (of whole texts, case kept; runs of punctuation are words too) hashes to one of ``BUCKETS`` rows. A row has a fixed
+sparse random index vector, and its context vector is the sum of the index vectors of the words up to ``REACH`` places away, over
+all documents. Tasks add up their own documents and pass on one table of fixed size each; these are summed and scaled to unit
+length. A document is the mean and the deviation of its words' vectors, the mean product of neighbouring ones, and its length. A
+network of one hidden layer, written in numpy, is fitted on a bounded sample of labelled documents (at most ``PER_CLASS`` rows
+per label), and its temperature on a part of the sample that the network has not seen.
 """
 
 from __future__ import annotations

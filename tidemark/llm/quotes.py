@@ -79,7 +79,8 @@ def _parsed(batches):
                             rows.append({"level": level, "passage": number, "kind": kind, "hash": h, "chars": len(normalised(piece))})
             quotes.append(rows)
         columns = [pa.array(owns, pa.string()), pa.array(units, pa.list_(pa.int64())), pa.array(quotes, _QUOTE)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "turn", "role")), *columns], ["conv_id", "turn", "role", "own", "units", "quotes"])
+        place = [batch.column(c) for c in ("conv_id", "turn", "role")]
+        yield pa.RecordBatch.from_arrays([*place, *columns], ["conv_id", "turn", "role", "own", "units", "quotes"])
 
 
 def parsed(messages: DataFrame) -> DataFrame:
@@ -101,7 +102,8 @@ def _latest_original(quotes: DataFrame, originals: DataFrame) -> DataFrame:
     quoted = originals.join(quotes.select(*key).distinct(), key, "left_semi")
     both = quotes.select(*key, "turn", F.lit(None).cast("long").alias("origin"), F.struct(*fields).alias("quote"), F.lit(1).alias("side"))
     kind = both.schema["quote"].dataType
-    both = both.unionByName(quoted.select(*key, "turn", F.col("turn").cast("long").alias("origin"), F.lit(None).cast(kind).alias("quote"), F.lit(2).alias("side")))
+    origin, no_quote = F.col("turn").cast("long").alias("origin"), F.lit(None).cast(kind).alias("quote")
+    both = both.unionByName(quoted.select(*key, "turn", origin, no_quote, F.lit(2).alias("side")))
     both = materialise(both.withColumn("block", block), "quotes-and-originals")
     earlier = Window.partitionBy(*key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = both.groupBy(*key, "block").agg(F.max("origin").alias("last")).withColumn("carried", F.max("last").over(earlier))
@@ -131,9 +133,12 @@ def threads(answers: DataFrame) -> DataFrame:
         above = state.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("next_turn"), F.col("depth").alias("more"))
         joined = state.join(above, ["conv_id", "root_turn"], "left")
         moved = joined.select(
-            "conv_id", "turn", F.coalesce("next_turn", "root_turn").alias("root_turn"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            "conv_id",
+            "turn",
+            F.coalesce("next_turn", "root_turn").alias("root_turn"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
             F.col("next_turn").isNotNull().alias("moved"),
-        )
+        )
         state = materialise(moved, "threads")
         if state.filter("moved").isEmpty():
             return state.drop("moved")
@@ -141,12 +146,14 @@ def threads(answers: DataFrame) -> DataFrame:
 
 
 def linked_conversations(messages: DataFrame) -> DataFrame:
-    """One row per row of ``messages``, without quotes and in reply order: conv_id, root_turn, depth, turn, role, parent_turn, n_quotes, n_linked, text.
-
-    Rows are sorted by conversation, then by the turn that a thread starts with, then by depth and turn: every answer stands after what it answers.
-    A message that answers nobody is its own root at depth 0. ``n_quotes`` counts quoted passages, ``n_linked`` those whose original was found. Null texts
-    stay null, empty ones empty; a message without conv_id or turn stands for itself. Messages with equal conv_id and turn are one place
-    in the conversation. Columns other than conv_id, turn, role, text are not read. An empty table gives no rows.
+    """One row per row of ``messages``, without quotes and in reply order: conv_id, root_turn, depth, turn, role, parent_turn,
+    n_quotes, n_linked, text.
+
+    Rows are sorted by conversation, then by the turn that a thread starts with, then by depth and turn: every answer stands after
+    what it answers. A message that answers nobody is its own root at depth 0. ``n_quotes`` counts quoted passages, ``n_linked`` those
+    whose original was found. Null texts stay null, empty ones empty; a message without conv_id or turn stands for itself.
+    Messages with equal conv_id and turn are one place in the conversation. Columns other than conv_id, turn, role, text are not
+    read. An empty table gives no rows.
     """
     read = materialise(parsed(messages), "messages")
     found = materialise(links(read), "links")
@@ -157,7 +164,15 @@ def linked_conversations(messages: DataFrame) -> DataFrame:
     counted = found.select("conv_id", "turn", "passage").distinct().groupBy("conv_id", "turn").agg(F.count("*").alias("n_linked"))
     joined = read.join(placed, ["conv_id", "turn"], "left").join(counted, ["conv_id", "turn"], "left")
     passages = F.size(F.array_distinct(F.transform("quotes", lambda q: q["passage"])))
-    return joined.select(
-        "conv_id", F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0)).alias("depth"), "turn", "role", "parent_turn",
-        passages.cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"), F.col("own").alias("text"),
-    ).orderBy("conv_id", "root_turn", "depth", "turn")
+    placed_rows = joined.select(
+        "conv_id",
+        F.coalesce("root_turn", "turn").alias("root_turn"),
+        F.coalesce("depth", F.lit(0)).alias("depth"),
+        "turn",
+        "role",
+        "parent_turn",
+        passages.cast("long").alias("n_quotes"),
+        F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"),
+        F.col("own").alias("text"),
+    )
+    return placed_rows.orderBy("conv_id", "root_turn", "depth", "turn")

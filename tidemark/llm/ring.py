@@ -97,30 +97,42 @@ def _walk(home: DataFrame, shards: int) -> DataFrame:
 
 
 def _pieces(home: DataFrame, takes: DataFrame) -> DataFrame:
-    """Per arc, ranges of ranks with their shard and first slot: at most three times as many rows as points."""
-    own = home.filter("kept > 0").select("arc", F.lit(0).cast("long").alias("low"), F.col("kept").alias("high"), "shard", F.col("before").alias("slot"))
+    """Per arc, ranges of ranks with their shard and first slot: at most three times as many rows as points.
+
+    Overflow rows form one line, in the order of arcs. It is cut where an arc begins (source) and where a take begins (target); every
+    piece between two cuts has the arc and the take that began last.
+    """
+    rank = F.lit(0).cast("long")
+    own = home.filter("kept > 0").select("arc", rank.alias("low"), F.col("kept").alias("high"), "shard", F.col("before").alias("slot"))
+
     over = home.filter("rows > kept").withColumn("size", F.col("rows") - F.col("kept"))
     line = Window.partitionBy(F.lit(0)).orderBy("arc").rowsBetween(Window.unboundedPreceding, -1)
-    over = over.select("arc", "kept", F.coalesce(F.sum("size").over(line), F.lit(0)).alias("at"), F.sum("size").over(Window.partitionBy(F.lit(0))).alias("end"))
+    at = F.coalesce(F.sum("size").over(line), F.lit(0))
+    end = F.sum("size").over(Window.partitionBy(F.lit(0)))
+    arcs = over.select("arc", "kept", at.alias("at"), end.alias("end"))
+
     none = F.lit(None)
-    cuts = over.select("at", "end", F.struct("arc", "at", "kept").alias("source"), none.cast("struct<at: bigint, shard: int, slot: bigint>").alias("target")).unionByName(
-        takes.select(
-            F.col("from_rank").alias("at"),
-            none.cast("bigint").alias("end"),
-            none.cast("struct<arc: int, at: bigint, kept: bigint>").alias("source"),
-            F.struct(F.col("from_rank").alias("at"), "shard", "slot").alias("target"),
-        )
-    )
+    source = F.struct("arc", "at", "kept")
+    target = F.struct(F.col("from_rank").alias("at"), "shard", "slot")
+    no_source, no_target = none.cast("struct<arc: int, at: bigint, kept: bigint>"), none.cast("struct<at: bigint, shard: int, slot: bigint>")
+    from_arcs = arcs.select("at", "end", source.alias("source"), no_target.alias("target"))
+    from_takes = takes.select(F.col("from_rank").alias("at"), none.cast("bigint").alias("end"), no_source.alias("source"), target.alias("target"))
     upto = Window.partitionBy(F.lit(0)).orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    filled = cuts.select("at", F.max("end").over(Window.partitionBy(F.lit(0))).alias("end"), F.max("source").over(upto).alias("source"), F.max("target").over(upto).alias("target"))
-    return own.unionByName(_ranged(filled))
+    everywhere = Window.partitionBy(F.lit(0))
+    cuts = from_arcs.unionByName(from_takes).select(
+        "at",
+        F.max("end").over(everywhere).alias("end"),
+        F.max("source").over(upto).alias("source"),
+        F.max("target").over(upto).alias("target"),
+    )
+    return own.unionByName(_between(cuts.distinct()))
 
 
-def _ranged(filled: DataFrame) -> DataFrame:
+def _between(cuts: DataFrame) -> DataFrame:
     following = Window.partitionBy(F.lit(0)).orderBy("at")
-    ranges = filled.distinct().withColumn("next", F.coalesce(F.lead("at").over(following), "end"))
+    pieces = cuts.withColumn("next", F.coalesce(F.lead("at").over(following), "end")).filter("next > at")
     into_arc = F.col("at") - F.col("source.at") + F.col("source.kept")
-    return ranges.filter("next > at").select(
+    return pieces.select(
         F.col("source.arc").alias("arc"),
         into_arc.alias("low"),
         (into_arc + F.col("next") - F.col("at")).alias("high"),

@@ -54,10 +54,8 @@ def _packed(rows_of):
         held = {}
 
         def out(dim, ids, rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([np.concatenate(rows).tobytes()], pa.binary())],
-                ["dim", "ids", "vectors"],
-            )
+            packed = [pa.array([np.concatenate(x).tobytes()], pa.binary()) for x in (ids, rows)]
+            return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), *packed], ["dim", "ids", "vectors"])
 
         for batch in batches:
             for ids, dim, rows in _valid(batch):
@@ -163,13 +161,14 @@ def top_pairs(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFra
     asked = queries.select("vec_id", "embedding").distinct()
     total, dim = asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
     if not total or not dim or dim < 0:
-        return spark.range(0).select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.col("id").alias("score"))
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     kinds = "dim int, ids binary, vectors binary"
     parts = -(-total // QUERY_ROWS)
     rounds = max(1, -(-total * dim * 8 // ROUND_BYTES))
     packed = in_batches(asked.repartition(parts), _packed(_query_rows), kinds)
     packed = materialise(packed.withColumn("round", F.pmod(F.xxhash64("ids"), F.lit(rounds)).cast("int")), "queries")
-    blocks = in_batches(vectors.select("vec_id", "embedding"), _packed(_block_rows), kinds).withColumnsRenamed({"ids": "other_ids", "vectors": "others"})
+    blocks = in_batches(vectors.select("vec_id", "embedding"), _packed(_block_rows), kinds)
+    blocks = blocks.withColumnsRenamed({"ids": "other_ids", "vectors": "others"})
     found = []
     for turn in range(rounds):
         sent = F.broadcast(packed.filter(F.col("round") == turn).drop("round"))  # about ROUND_BYTES

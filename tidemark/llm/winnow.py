@@ -172,7 +172,8 @@ def contamination(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_
     """
     spark = docs.sparkSession
     rows = items.select(items["item_id"].alias("item_id"), items["text"].alias("text"))
-    item_rows = in_batches(rows, _item_rows(window_words), f"item_id {rows.schema['item_id'].dataType.simpleString()}, found array<struct<{_typed()}>>")
+    kind = rows.schema["item_id"].dataType.simpleString()
+    item_rows = in_batches(rows, _item_rows(window_words), f"item_id {kind}, found array<struct<{_typed()}>>")
     marks = materialise(item_rows.select("item_id", F.inline("found")).withColumn("around_id", F.xxhash64("len", "around", "gram")), "marks")
     lengths = sorted(row.len for row in marks.select("len").distinct().collect())  # at most window_words
     table = spark.sparkContext.broadcast(_bit_table(marks))  # BITS / 8 bytes
@@ -185,7 +186,8 @@ def contamination(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_
     hits = read.select("row", F.inline("found")).join(known, ["len", "gram"])
     hits = hits.select("row", "len", "at", "around", "item_around", "around_id")
     spans = materialise(hits.mapInArrow(_extended, "row long, low long, high long, around_id long"), "spans")
-    covered = F.size(F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("low", "high")), lambda s: F.sequence(s["low"], s["high"] - 1)))))
+    runs = F.transform(F.collect_set(F.struct("low", "high")), lambda s: F.sequence(s["low"], s["high"] - 1))
+    covered = F.size(F.array_distinct(F.flatten(runs)))
     words_hit = spans.groupBy("row").agg(covered.cast("long").alias("n_hit"))
     named = spans.select("row", "around_id").distinct().join(marks.select("around_id", "item_id").distinct(), "around_id")
     found = named.groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
@@ -209,6 +211,7 @@ def _typed() -> str:
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without contaminated rows, all columns kept; a row is recognised by its doc_id and a hash of its text."""
-    bad = contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_text")).distinct()
+    bad = contamination(docs, items).filter("contaminated")
+    bad = bad.select(F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_text")).distinct()
     same = docs["doc_id"].eqNullSafe(F.col("__bad_id")) & (F.xxhash64(docs["text"]) == F.col("__bad_text"))
     return docs.join(bad, same, "left_anti")
