@@ -89,7 +89,8 @@ def pivot(df: DataFrame, group_by, column: str, values, **options) -> DataFrame:
         keys = as_list(group_by)
         names = [f"__key{i}" for i in range(len(keys))]
         then = options.get("then_value", "1")
-        rows = df.select(*[F.col(key).alias(name) if isinstance(key, str) else key.alias(name) for key, name in zip(keys, names)], F.expr(column).cast("string").alias("__column"), F.expr(str(then)).alias("__then"))
+        named = [as_column(key).alias(name) for key, name in zip(keys, names)]
+        rows = df.select(*named, F.expr(column).cast("string").alias("__column"), F.expr(str(then)).alias("__then"))
         labels = df.select(*keys).columns
         rest = {name: value for name, value in options.items() if name not in ("distinct", "then_value")}
         counted = rows.distinct().groupBy(*names).agg(*pivot_columns("__column", values, then_value="__then", **rest))

@@ -281,7 +281,8 @@ FROM orders, (SELECT unnest(['year', 'quarter', 'month', 'day', 'hour']) AS u) G
 def intervals_between(spark, sf_dir):
     days = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
     units = ("year", "quarter", "month", "day", "hour")
-    counts = [F.struct(F.lit(u).alias("unit"), boundary_count(F.col("first"), F.col("last"), u).cast("bigint").alias("n_intervals")) for u in units]
+    count = {u: boundary_count(F.col("first"), F.col("last"), u).cast("bigint").alias("n_intervals") for u in units}
+    counts = [F.struct(F.lit(u).alias("unit"), count[u]) for u in units]
     return days.select(F.inline(F.array(*counts)))
 
 
