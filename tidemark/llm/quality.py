@@ -32,7 +32,7 @@ REACH = 2
 CHUNKS = 128  # parts in which a table of context vectors is passed on
 HIDDEN = 32
 EPOCHS, RATE, DECAY = 400, 0.01, 1e-4
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 TOKENS = 1 << 16  # read at a time
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\s]+")
 

@@ -32,7 +32,7 @@ MIN_DOCS = 4
 PREFIXES = (4, 5, 6)
 BIAS = -9.0
 ROUNDS, RATE, SHRINK = 250, 0.2, 5e-5
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 _ENDS = b".!?\n\r"
 # Sentence ends become newlines and other bytes outside words blanks; lengths, and so positions, stay.
 _CUT = bytes(
