@@ -88,6 +88,28 @@ def test_noisy_or_learns_single_words():
     assert min(scores[1::2]) > 0.7 > 0.1 > max(scores[::2])
 
 
+def invented(seed, toxic, sentences=40):
+    """Sentences of words made from syllables, so that most words are rare; toxic ones hold a toxic word or two."""
+    random = np.random.default_rng(seed)
+    syllables = ["the", "er", "on", "an", "re", "nd", "ti", "ha", "es", "ing", "ou", "st", "ea", "ly", "wh", "ble"]
+    made = [["".join(syllables[i] for i in word[: 1 + word[0] % 3]) for word in words] for words in random.integers(16, size=(sentences, 9, 3)).tolist()]
+    for at in random.integers(sentences, size=3) if toxic else ():
+        made[at].append(str(random.choice(["idiot", "moron", "scum", "trash"])))
+    return ". ".join(map(" ".join, made)).encode()
+
+
+def test_clean_texts_are_not_toxic_for_their_length():
+    labels = [int(i % 5 == 0) for i in range(600)]
+    model = toxicity.fit([invented(i, label) for i, label in enumerate(labels)], labels)
+    evidence = toxicity._Evidence(model.weights)
+    assert all(toxicity.score_text(invented(1000 + i, True), evidence, model.bias)[0] > 0.7 for i in range(20))
+    for sentences in (300, 3000, 30_000):
+        text = invented(sentences, False, sentences)
+        assert toxicity.score_text(text, evidence, model.bias)[0] < 0.1
+        assert toxicity.score_text(text.replace(b".", b" "), evidence, model.bias)[0] < 0.1
+        assert toxicity.score_text(text + b". " + invented(7, True), evidence, model.bias)[0] > 0.7
+
+
 def test_context_vectors_are_sums_over_neighbours(monkeypatch):
     monkeypatch.setattr(quality, "TOKENS", 3)
     index, rows = quality.index_vectors(), np.array([5, 9, 5, 7, 9, 9, 1])

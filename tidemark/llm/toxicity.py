@@ -1,8 +1,10 @@
 """Toxicity by multiple-instance learning: sentence scores, combined by noisy-or, are trained from labels of whole documents.
 
 A sentence scores sigmoid(bias + the weights of its distinct words and of their prefixes), and a document is toxic unless none of its
-sentences is: 1 - product(1 - sentence score). Weights are not negative, so only evidence adds up, and the bias is low enough that
-a long text is not suspicious for its length. Offending sentences are those whose own score passes a half.
+sentences is: 1 - product(1 - sentence score) / product(1 - score of a sentence without evidence). So a sentence counts by what it has above
+the bias, and length alone adds nothing. Weights are not negative, and only features have one that toxic documents hold more often than chance
+explains, given how many features are tried, and clean ones hardly ever: words that few documents hold would otherwise add up in a long text. Offending sentences are
+those whose own score passes a half.
 
 The model is fitted in numpy on a bounded sample (at most ``PER_CLASS`` rows per label, and ``SAMPLE_BYTES`` bytes of a text) and
 holds only words of that sample, so that it is small; every whole text is scored in Spark tasks.
@@ -29,7 +31,10 @@ OFFENDING = 0.5
 PER_CLASS = 2000
 SAMPLE_BYTES = 16_000  # longer texts are not used for fitting
 MIN_DOCS = 4
-PREFIXES = (4, 5, 6)
+PREFIXES = (5, 6, 7, 8)
+SPAN = 64  # words of a sentence that are judged together
+CHANCE = 0.05  # share of the features that may pass the test below by chance
+ODDS = 20  # a toxic document is at least so many times as likely to hold a feature as a clean one
 BIAS = -9.0
 ROUNDS, RATE, SHRINK = 250, 0.2, 5e-5
 CACHED_WORDS = 100_000
@@ -44,6 +49,12 @@ def features(word: bytes) -> list[bytes]:
     return [word, *(b"^" + word[:n] for n in PREFIXES if len(word) > n)]
 
 
+def _spans(sentence: bytes) -> list[set[bytes]]:
+    """Distinct words of each SPAN words, so that a long line is not judged as one sentence."""
+    words = sentence.split()
+    return [set(words[low : low + SPAN]) for low in range(0, len(words), SPAN)]
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     weights: dict[bytes, float]
@@ -55,26 +66,46 @@ def _bags(documents: list[bytes]):
     words, flat, lengths, owner = {}, array("i"), array("i"), array("i")
     for doc, text in enumerate(documents):
         for sentence in text.translate(_CUT).split(b"\n"):
-            found = [words.setdefault(word, len(words)) for word in set(sentence.split())]
-            if found:
-                flat.extend(found)
-                lengths.append(len(found))
+            for span in _spans(sentence):
+                flat.extend([words.setdefault(word, len(words)) for word in span])
+                lengths.append(len(span))
                 owner.append(doc)
     return words, *(np.array(x, np.int32) for x in (flat, lengths, owner))
 
 
-def _frequent(words: dict[bytes, int], flat, lengths, owner) -> list[bytes]:
-    """The features that at least MIN_DOCS documents hold."""
+def _held(words: dict[bytes, int], flat, lengths, owner, labels: list[int]) -> tuple[list[bytes], np.ndarray]:
+    """The features that at least MIN_DOCS documents hold, and by how many clean and toxic ones."""
     pairs = np.unique(np.repeat(owner, lengths).astype(np.int64) * len(words) + flat)
-    held, last = Counter(), {}
+    held, last = (Counter(), Counter()), {}
     names = list(words)
     for pair in pairs.tolist():
         doc, word = divmod(pair, len(words))
         for feature in features(names[word]):
             if last.get(feature) != doc:
                 last[feature] = doc
-                held[feature] += 1
-    return sorted(f for f, n in held.items() if n >= MIN_DOCS)
+                held[labels[doc]][feature] += 1
+    found = sorted(f for f in last if held[0][f] + held[1][f] >= MIN_DOCS)
+    return found, np.array([(held[0][f], held[1][f]) for f in found], float).reshape(-1, 2)
+
+
+def telling(held) -> np.ndarray:
+    """Which rows (clean, toxic documents that hold a feature) are too toxic for chance.
+
+    By chance a holder is toxic with the share that toxic documents have in all holders of all features. The Chernoff bound of the binomial
+    tail, exp(-holders x divergence), is tested with a false discovery rate of CHANCE. A feature that clean documents contradict (less than
+    ODDS) does not tell either: it would come up again and again in a long clean text.
+    """
+    total = held.sum(axis=1)
+    if not held[:, 0].sum() or not held[:, 1].sum():
+        return held[:, 1] > 0
+    expected = held.sum(axis=0) / total.sum()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        divergence = np.where(held > 0, held * np.log(held / total[:, None] / expected), 0).sum(axis=1)
+    # Benjamini-Hochberg: the weakest of n features that pass is below CHANCE x n / features.
+    ranked = np.sort(np.where(held[:, 1] > total * expected[1], divergence, 0))[::-1]
+    passed = np.flatnonzero(ranked > np.log(len(held) / CHANCE / np.arange(1, len(held) + 1)))
+    least = ranked[passed[-1]] if len(passed) else math.inf
+    return (held[:, 1] * expected[0] > ODDS * held[:, 0] * expected[1]) & (divergence >= least)
 
 
 def fit(documents: list[bytes], labels: list[int]) -> ToxicityModel:
@@ -84,7 +115,8 @@ def fit(documents: list[bytes], labels: list[int]) -> ToxicityModel:
     words, flat, lengths, owner = _bags(documents)
     if not words:
         return ToxicityModel({})
-    index = {f: i for i, f in enumerate(_frequent(words, flat, lengths, owner))}
+    names, held = _held(words, flat, lengths, owner, labels)
+    index = {names[i]: at for at, i in enumerate(np.flatnonzero(telling(held)).tolist())}
     if not index:
         return ToxicityModel({})
     of_word = [[index[f] for f in features(word) if f in index] for word in words]
@@ -99,24 +131,21 @@ def fit(documents: list[bytes], labels: list[int]) -> ToxicityModel:
     del within
     y = np.array(labels)
     importance = np.where(y == 1, 1 / (2 * y.sum()), 1 / (2 * (1 - y).sum()))
-    w, b = np.zeros(len(index)), BIAS
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    w, quiet = np.zeros(len(index)), math.log1p(math.exp(BIAS))
+    m, v = np.zeros_like(w), np.zeros_like(w)
     for turn in range(1, ROUNDS + 1):
-        z = b + np.bincount(sentence, w[flat], len(lengths))
-        soft = np.logaddexp(0, z)
-        total = np.bincount(owner, soft, len(documents))
+        z = BIAS + np.bincount(sentence, w[flat], len(lengths))
+        # One background for a whole document, so that there is a slope to start from.
+        total = quiet + np.bincount(owner, np.logaddexp(0, z) - quiet, len(documents))
         # Per unit of soft: +1 for clean documents, -exp(-T) / (1 - exp(-T)) for toxic ones.
         pull = np.where(y == 1, -1 / np.expm1(np.clip(total, 1e-12, 700)), 1.0) * importance
         slope = (pull[owner] / (1 + np.exp(-z))).clip(-1, 1)
         g = np.bincount(flat, slope[sentence], len(index)) + SHRINK
-        gb = slope.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         fix = math.sqrt(1 - 0.99**turn) / (1 - 0.9**turn)
         w = np.maximum(0, w - RATE * fix * m / (np.sqrt(v) + 1e-6))
-        b = min(BIAS, b - RATE * fix * mb / (math.sqrt(vb) + 1e-6))
     words = list(index)
-    return ToxicityModel({words[i]: float(w[i]) for i in np.flatnonzero(w > 0.05)}, float(b))
+    return ToxicityModel({words[i]: float(w[i]) for i in np.flatnonzero(w > 0.05)})
 
 
 class _Evidence(dict):
@@ -138,16 +167,15 @@ def score_text(text: bytes | None, evidence, bias: float) -> tuple[float, list[t
     total, at, offending = 0.0, 0, []
     quiet = math.log1p(math.exp(bias))
     for sentence in (text or b"").translate(_CUT).split(b"\n"):
-        words = set(sentence.split())
-        if words:
-            seen = sum(map(evidence.__getitem__, words))
+        most = 0.0
+        for span in _spans(sentence):
+            seen = sum(map(evidence.__getitem__, span))
             if seen:
                 z = bias + seen
-                total += z + math.log1p(math.exp(-z)) if z > 0 else math.log1p(math.exp(z))
-                if z > 0:
-                    offending.append((at, len(sentence), 1 / (1 + math.exp(-z))))
-            else:
-                total += quiet
+                total += (z + math.log1p(math.exp(-z)) if z > 0 else math.log1p(math.exp(z))) - quiet
+                most = max(most, z)
+        if most > 0:
+            offending.append((at, len(sentence), 1 / (1 + math.exp(-most))))
         at += len(sentence) + 1
     return -math.expm1(-total), offending
 
