@@ -110,6 +110,13 @@ def test_clean_texts_are_not_toxic_for_their_length():
         assert toxicity.score_text(text + b". " + invented(7, True), evidence, model.bias)[0] > 0.7
 
 
+def test_toxicity_is_learned_from_long_texts(documents, labels):
+    rows = [(i, (invented(i, i % 2) + b". " + invented(1000 + i, False, 400)).decode()) for i in range(120)]
+    assert min(len(text) for _, text in rows) > 16_000
+    found = toxicity.toxicity(documents(rows), labels([(i, 0, i % 2) for i in range(120)])).collect()
+    assert np.mean([r.predicted == r.doc_id % 2 for r in found if r.held_out]) > 0.9
+
+
 def test_context_vectors_are_sums_over_neighbours(monkeypatch):
     monkeypatch.setattr(quality, "TOKENS", 3)
     index, rows = quality.index_vectors(), np.array([5, 9, 5, 7, 9, 9, 1])

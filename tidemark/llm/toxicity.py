@@ -6,14 +6,14 @@ the bias, and length alone adds nothing. Weights are not negative, and only feat
 explains, given how many features are tried, and clean ones hardly ever: words that few documents hold would otherwise add up in a long text. Offending sentences are
 those whose own score passes a half.
 
-The model is fitted in numpy on a bounded sample (at most ``PER_CLASS`` rows per label, and ``SAMPLE_BYTES`` bytes of a text) and
-holds only words of that sample, so that it is small; every whole text is scored in Spark tasks.
+The model is fitted on a bounded sample (at most ``PER_CLASS`` rows per label) of whole texts, however long. Tasks count the holders of each
+feature, and then reduce each text to its distinct sets of telling features (the ``BAGS`` strongest, with how often each comes); only those
+reach the driver, where numpy finds the weights. Every whole text is scored in Spark tasks.
 """
 
 from __future__ import annotations
 
 import math
-from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold_of, free_name, in_batches, texts
-from tidemark.llm.samples import labelled_sample, sampled_rows
+from tidemark.llm.samples import labelled_sample
+from tidemark.session import materialise
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 OFFENDING = 0.5
 PER_CLASS = 2000
-SAMPLE_BYTES = 16_000  # longer texts are not used for fitting
+BAGS = 256  # distinct sets of telling features that a text is fitted by
+COUNTED = 200_000  # features that a task counts before it passes them on
 MIN_DOCS = 4
 PREFIXES = (5, 6, 7, 8)
 SPAN = 64  # words of a sentence that are judged together
@@ -61,91 +63,97 @@ class ToxicityModel:
     bias: float = BIAS
 
 
-def _bags(documents: list[bytes]):
-    """Sentences as numbers of distinct words: (word -> number, word numbers of all sentences, their lengths, their documents)."""
-    words, flat, lengths, owner = {}, array("i"), array("i"), array("i")
-    for doc, text in enumerate(documents):
-        for sentence in text.translate(_CUT).split(b"\n"):
-            for span in _spans(sentence):
-                flat.extend([words.setdefault(word, len(words)) for word in span])
-                lengths.append(len(span))
-                owner.append(doc)
-    return words, *(np.array(x, np.int32) for x in (flat, lengths, owner))
-
-
-def _held(words: dict[bytes, int], flat, lengths, owner, labels: list[int]) -> tuple[list[bytes], np.ndarray]:
-    """The features that at least MIN_DOCS documents hold, and by how many clean and toxic ones."""
-    pairs = np.unique(np.repeat(owner, lengths).astype(np.int64) * len(words) + flat)
-    held, last = (Counter(), Counter()), {}
-    names = list(words)
-    for pair in pairs.tolist():
-        doc, word = divmod(pair, len(words))
-        for feature in features(names[word]):
-            if last.get(feature) != doc:
-                last[feature] = doc
-                held[labels[doc]][feature] += 1
-    found = sorted(f for f in last if held[0][f] + held[1][f] >= MIN_DOCS)
-    return found, np.array([(held[0][f], held[1][f]) for f in found], float).reshape(-1, 2)
-
-
-def telling(held) -> np.ndarray:
+def _spans_of(text: bytes):
+    for sentence in text.translate(_CUT).split(b"\n"):
+        yield from _spans(sentence)
+
+
+def _features_of(text: bytes) -> set[bytes]:
+    return {feature for word in set(text.translate(_CUT).split()) for feature in features(word)}
+
+
+def _bags(text: bytes, index: dict[bytes, tuple[int, float]]) -> list[tuple[tuple[int, ...], int]]:
+    """The sets of telling features (``index``: number and strength) that spans of the text hold, and how many spans hold each."""
+    found, seen = Counter(), {}
+    for span in _spans_of(text):
+        held = set()
+        for word in span:
+            if word not in seen:
+                if len(seen) >= CACHED_WORDS:
+                    seen.clear()
+                seen[word] = [index[f] for f in features(word) if f in index]
+            held.update(seen[word])
+        if held:
+            found[tuple(sorted(held))] += 1
+    strongest = sorted(found.items(), key=lambda bag: (-sum(x for _, x in bag[0]), bag[0]))[:BAGS]
+    return [(tuple(i for i, _ in bag), times) for bag, times in strongest]
+
+
+def _divergence(held, expected) -> np.ndarray:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(held > 0, held * np.log(held / held.sum(axis=1)[:, None] / expected), 0).sum(axis=1)
+
+
+def telling(held, tried: int, expected) -> np.ndarray:
     """Which rows (clean, toxic documents that hold a feature) are too toxic for chance.
 
-    By chance a holder is toxic with the share that toxic documents have in all holders of all features. The Chernoff bound of the binomial
-    tail, exp(-holders x divergence), is tested with a false discovery rate of CHANCE. A feature that clean documents contradict (less than
-    ODDS) does not tell either: it would come up again and again in a long clean text.
+    By chance a holder is toxic with the share that toxic documents have in all holders of all features (``expected``: clean, toxic). The
+    Chernoff bound of the binomial tail, exp(-holders x divergence), is tested with a false discovery rate of CHANCE among ``tried``
+    features; rows whose bound is above CHANCE may be missing. A feature that clean documents contradict (less than ODDS) does not tell
+    either: it would come up again and again in a long clean text.
     """
-    total = held.sum(axis=1)
-    if not held[:, 0].sum() or not held[:, 1].sum():
-        return held[:, 1] > 0
-    expected = held.sum(axis=0) / total.sum()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        divergence = np.where(held > 0, held * np.log(held / total[:, None] / expected), 0).sum(axis=1)
+    if not len(held) or not expected.all():
+        return np.zeros(len(held), bool)
+    divergence = _divergence(held, expected)
     # Benjamini-Hochberg: the weakest of n features that pass is below CHANCE x n / features.
-    ranked = np.sort(np.where(held[:, 1] > total * expected[1], divergence, 0))[::-1]
-    passed = np.flatnonzero(ranked > np.log(len(held) / CHANCE / np.arange(1, len(held) + 1)))
+    ranked = np.sort(np.where(held[:, 1] > held.sum(axis=1) * expected[1], divergence, 0))[::-1]
+    passed = np.flatnonzero(ranked > np.log(tried / CHANCE / np.arange(1, len(held) + 1)))
     least = ranked[passed[-1]] if len(passed) else math.inf
     return (held[:, 1] * expected[0] > ODDS * held[:, 0] * expected[1]) & (divergence >= least)
 
 
+def _index(names: list[bytes], held, tried: int, expected) -> dict[bytes, tuple[int, float]]:
+    """Number and strength of each telling feature."""
+    chosen, strength = np.flatnonzero(telling(held, tried, expected)).tolist(), _divergence(held, expected)
+    return {names[i]: (at, float(strength[i])) for at, i in enumerate(chosen)}
+
+
 def fit(documents: list[bytes], labels: list[int]) -> ToxicityModel:
-    """Adam on the noisy-or likelihood, with weights kept at or above zero; both labels weigh the same."""
-    if len(set(labels)) < 2:
-        return ToxicityModel({})
-    words, flat, lengths, owner = _bags(documents)
-    if not words:
+    """The steps of ``fit_on`` on texts at hand."""
+    counts = Counter(), Counter()
+    for text, label in zip(documents, labels):
+        counts[label].update(_features_of(text))
+    names = sorted(f for f in counts[0].keys() | counts[1].keys() if counts[0][f] + counts[1][f] >= MIN_DOCS)
+    held = np.array([(counts[0][f], counts[1][f]) for f in names], float).reshape(-1, 2)
+    index = _index(names, held, len(held), held.sum(axis=0) / max(1, held.sum()))
+    return solve(list(index), [_bags(text, index) for text in documents], labels)
+
+
+def solve(names: list[bytes], documents: list, labels: list[int]) -> ToxicityModel:
+    """Adam on the noisy-or likelihood of documents given by ``_bags``, with weights kept at or above zero; both labels weigh the same."""
+    bags = [(doc, bag, times) for doc, found in enumerate(documents) for bag, times in found]
+    if len(set(labels)) < 2 or not bags:
         return ToxicityModel({})
-    names, held = _held(words, flat, lengths, owner, labels)
-    index = {names[i]: at for at, i in enumerate(np.flatnonzero(telling(held)).tolist())}
-    if not index:
-        return ToxicityModel({})
-    of_word = [[index[f] for f in features(word) if f in index] for word in words]
-    sizes = np.array([len(found) for found in of_word], np.int32)
-    starts = np.cumsum(sizes) - sizes
-    joined = np.array([f for found in of_word for f in found], np.int32)
-    del of_word, words
-    # Words of sentences to features of sentences.
-    sentence = np.repeat(np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), sizes[flat])
-    within = np.arange(len(sentence)) - np.repeat(np.cumsum(sizes[flat]) - sizes[flat], sizes[flat])
-    flat = joined[np.repeat(starts[flat], sizes[flat]) + within]
-    del within
+    owner = np.array([doc for doc, _, _ in bags], np.int32)
+    times = np.array([n for _, _, n in bags], float)
+    flat = np.array([f for _, bag, _ in bags for f in bag], np.int32)
+    sentence = np.repeat(np.arange(len(bags), dtype=np.int32), [len(bag) for _, bag, _ in bags])
     y = np.array(labels)
     importance = np.where(y == 1, 1 / (2 * y.sum()), 1 / (2 * (1 - y).sum()))
-    w, quiet = np.zeros(len(index)), math.log1p(math.exp(BIAS))
+    w, quiet = np.zeros(len(names)), math.log1p(math.exp(BIAS))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for turn in range(1, ROUNDS + 1):
-        z = BIAS + np.bincount(sentence, w[flat], len(lengths))
+        z = BIAS + np.bincount(sentence, w[flat], len(bags))
         # One background for a whole document, so that there is a slope to start from.
-        total = quiet + np.bincount(owner, np.logaddexp(0, z) - quiet, len(documents))
+        total = quiet + np.bincount(owner, times * (np.logaddexp(0, z) - quiet), len(documents))
         # Per unit of soft: +1 for clean documents, -exp(-T) / (1 - exp(-T)) for toxic ones.
         pull = np.where(y == 1, -1 / np.expm1(np.clip(total, 1e-12, 700)), 1.0) * importance
-        slope = (pull[owner] / (1 + np.exp(-z))).clip(-1, 1)
-        g = np.bincount(flat, slope[sentence], len(index)) + SHRINK
+        slope = times * (pull[owner] / (1 + np.exp(-z))).clip(-1, 1)
+        g = np.bincount(flat, slope[sentence], len(names)) + SHRINK
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         fix = math.sqrt(1 - 0.99**turn) / (1 - 0.9**turn)
         w = np.maximum(0, w - RATE * fix * m / (np.sqrt(v) + 1e-6))
-    words = list(index)
-    return ToxicityModel({words[i]: float(w[i]) for i in np.flatnonzero(w > 0.05)})
+    return ToxicityModel({names[i]: float(w[i]) for i in np.flatnonzero(w > 0.05)})
 
 
 class _Evidence(dict):
@@ -200,13 +208,59 @@ def _scored(model, names: list[str]):
     return rows
 
 
+def _holders(batches):
+    """How many clean and toxic texts hold each feature; a feature comes in several rows."""
+    counts = Counter(), Counter()
+
+    def counted():
+        names = sorted(counts[0].keys() | counts[1].keys())
+        columns = [pa.array(names, pa.binary()), *(pa.array([c[f] for f in names], pa.int64()) for c in counts)]
+        return pa.RecordBatch.from_arrays(columns, ["feature", "clean", "toxic"])
+
+    for batch in batches:
+        for text, label in zip(texts(batch), batch.column("label").to_pylist()):
+            counts[int(label)].update(_features_of(text or b""))
+            if len(counts[0]) + len(counts[1]) > COUNTED:
+                yield counted()
+                counts[0].clear()
+                counts[1].clear()
+    yield counted()
+
+
+def _reduced(index):
+    """``index``: a broadcast one. Each text as its bags."""
+
+    def rows(batches):
+        for batch in batches:
+            found = [_bags(text or b"", index.value) for text in texts(batch)]
+            bags = pa.array([[bag for bag, _ in x] for x in found], pa.list_(pa.list_(pa.int32())))
+            times = pa.array([[n for _, n in x] for x in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), bags, times], ["label", "bags", "times"])
+
+    return rows
+
+
 def fit_on(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> ToxicityModel:
     """Fit on labelled rows outside the held-out fold. Without labels of both kinds every text scores about 0."""
     known = labels.select(labels["doc_id"].alias("doc_id"), labels["toxic"].alias("label"))
     sample, _ = labelled_sample(known.filter((fold_of("doc_id", FOLDS) != HELD_OUT) & F.col("label").isin(0, 1)), per_class)
-    short = docs.filter(F.octet_length(docs["text"]) <= SAMPLE_BYTES)
-    rows = sorted(sampled_rows(short, sample, 2 * per_class).collect())
-    return fit([row.text.encode() for row in rows], [int(row.label) for row in rows])
+    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")).join(F.broadcast(sample), "doc_id").select("text", "label")
+    held = in_batches(rows, _holders, "feature binary, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    held = materialise(held.filter(F.col("clean") + F.col("toxic") >= MIN_DOCS), "toxicity_features")
+    tried, clean, toxic = held.agg(F.count("*"), F.sum("clean"), F.sum("toxic")).first()
+    if not clean or not toxic:
+        return ToxicityModel({})
+    expected = np.array([clean, toxic]) / (clean + toxic)
+    # Only features that can pass the test come to the driver.
+    share = [F.col(c) / (F.col("clean") + F.col("toxic")) / float(e) for c, e in zip(("clean", "toxic"), expected)]
+    clean_part = F.when(F.col("clean") > 0, F.col("clean") * F.log(share[0])).otherwise(0)
+    strong = (share[1] > 1) & (F.col("toxic") * F.log(share[1]) + clean_part > -math.log(CHANCE))
+    found = sorted((bytes(r["feature"]), r["clean"], r["toxic"]) for r in held.filter(strong).collect())
+    index = _index([f for f, _, _ in found], np.array([x[1:] for x in found], float).reshape(-1, 2), tried, expected)
+    reduced = in_batches(rows, _reduced(docs.sparkSession.sparkContext.broadcast(index)), "label string, bags array<array<int>>, times array<bigint>")
+    # At most 2 x per_class rows, more only if a doc_id is repeated.
+    chosen = sorted((r.label, r.bags, r.times) for r in reduced.limit(2 * per_class).collect())
+    return solve(list(index), [list(zip(bags, times)) for _, bags, times in chosen], [int(label) for label, _, _ in chosen])
 
 
 def add_scores(docs: DataFrame, model: ToxicityModel, score: str, offending: str) -> DataFrame:
