@@ -14,6 +14,7 @@ from tidemark.llm.mixing import mixed
 from tidemark.llm.quality import quality
 from tidemark.llm.quotes import linked_conversations
 from tidemark.llm.ring import shard_documents
+from tidemark.llm.rules import judged
 from tidemark.llm.segments import top_pairs
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.toxicity import toxicity
@@ -145,3 +146,44 @@ def op9_ring_shards(spark, sf_dir):
 @query()
 def op10_quality(spark, sf_dir):
     return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+# Lines of more than five documents and of more than 2 % of the host's documents go; equal texts of a host are one document.
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, string_split(coalesce(text, ''), chr(10)) AS l
+  FROM documents),
+grams AS (
+  SELECT row_id, i, array_to_string(w[i : i + 7], ' ') AS gram FROM (SELECT row_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs)),
+again AS (SELECT row_id, gram FROM grams GROUP BY row_id, gram HAVING count(*) > 1),
+repeated AS (
+  SELECT row_id, count(DISTINCT spot) AS n
+  FROM (SELECT row_id, unnest(range(i, i + 8)) AS spot FROM grams JOIN again USING (row_id, gram)) GROUP BY row_id),
+lines AS (
+  SELECT row_id, source, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+         translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS key
+  FROM (SELECT row_id, source, text, unnest(l) AS line FROM docs) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+doubled AS (SELECT row_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY row_id),
+hosts AS (SELECT source, count(DISTINCT text) AS n FROM docs GROUP BY source),
+frequent AS (
+  SELECT k.source, key FROM (SELECT source, key, count(DISTINCT text) AS n FROM lines GROUP BY source, key HAVING count(DISTINCT text) > 5) k
+  JOIN hosts h ON k.source IS NOT DISTINCT FROM h.source AND k.n * 100 > h.n * 2),
+lost AS (
+  SELECT row_id, sum(words) AS n FROM lines JOIN frequent f ON lines.key = f.key AND lines.source IS NOT DISTINCT FROM f.source GROUP BY row_id),
+base AS (
+  SELECT row_id, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         coalesce(doubled.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed_words
+  FROM docs LEFT JOIN doubled USING (row_id) LEFT JOIN repeated USING (row_id) LEFT JOIN lost USING (row_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 2 * (n_words - n_removed_words) >= n_words AS kept
+FROM base
+"""
+
+
+@query(OP12_SQL)
+def op12_line_frequency(spark, sf_dir):
+    return judged(read_table(spark, sf_dir, "documents"))
