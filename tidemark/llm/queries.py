@@ -15,6 +15,7 @@ from tidemark.llm.quality import quality
 from tidemark.llm.quotes import linked_conversations
 from tidemark.llm.ring import shard_documents
 from tidemark.llm.rules import judged
+from tidemark.llm.runs import word_runs
 from tidemark.llm.segments import top_pairs
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.toxicity import toxicity
@@ -187,3 +188,60 @@ FROM base
 @query(OP12_SQL)
 def op12_line_frequency(spark, sf_dir):
     return judged(read_table(spark, sf_dir, "documents"))
+
+
+# Equal words q apart, in islands: an island of c words is a run of c + q words if that is four periods; the least q of a stretch is its period.
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT)) AS code
+  FROM documents),
+hashed AS (
+  SELECT row_id, doc_id, w, len(w) AS n,
+         xor(4294967295, list_reduce(list_prepend(4294967295, code),
+                                     lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+                                                              lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+  FROM docs),
+placed AS (
+  SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a, CASE WHEN n > 0 THEN 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) END AS p FROM hashed),
+given AS (SELECT *, h IS NOT NULL AND h % 10 = 0 AS tailed FROM placed),
+spots AS (SELECT row_id, n, w, a, p, tailed, unnest(range(0, n)) AS i FROM given),
+words AS (SELECT row_id, n, i, w[1 + CASE WHEN tailed AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM spots),
+same AS (
+  SELECT x.row_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.row_id = y.row_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (
+  SELECT row_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT row_id, q, i, i - row_number() OVER (PARTITION BY row_id, q ORDER BY i) AS island FROM same) GROUP BY row_id, q, island),
+runs AS (
+  SELECT row_id, start, length, min(q) AS period FROM islands WHERE length >= 6 AND length >= 4 * q GROUP BY row_id, start, length),
+best AS (
+  SELECT row_id, start, length, period, row_number() OVER (PARTITION BY row_id ORDER BY length DESC, start, period) AS place FROM runs),
+listed AS (
+  SELECT row_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM runs GROUP BY row_id),
+dropped AS (SELECT DISTINCT row_id, unnest(range(start + period, start + length)) AS i FROM runs),
+left_over AS (
+  SELECT row_id, string_agg(word, ' ' ORDER BY i) AS body FROM words LEFT JOIN (SELECT row_id, i, true AS gone FROM dropped) USING (row_id, i)
+  WHERE gone IS NULL GROUP BY row_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (row_id) LEFT JOIN left_over USING (row_id)
+LEFT JOIN (SELECT row_id, start, length, period FROM best WHERE place = 1) USING (row_id)
+"""
+
+
+@query(OP13_SQL)
+def op13_word_runs(spark, sf_dir):
+    found = word_runs(read_table(spark, sf_dir, "documents"), repeat_tails=True)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("length"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    chosen = found.withColumn("longest", longest).withColumn("length", -F.col("longest.length"))
+    return chosen.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        "length",
+        F.col("longest.period").alias("period"),
+        F.expr("1000 * length div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
