@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import read_table
 from tidemark.llm.language import languages
+from tidemark.llm.lexical import build_index, search
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mixed
 from tidemark.llm.quality import quality
@@ -149,6 +150,36 @@ def op10_quality(spark, sf_dir):
     return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+totals AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM docs WHERE len(w) > 0),
+norms AS (SELECT row_id, doc_id, 100 - 75 + ((75 * len(w) * docs) // terms) AS m FROM docs, totals WHERE len(w) > 0),
+postings AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(w) AS term FROM docs) GROUP BY row_id, term),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals),
+scores AS (
+  SELECT item_id, row_id, doc_id, CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN norms USING (row_id) GROUP BY item_id, row_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query(OP11_SQL)
+def op11_stratified_search(spark, sf_dir):
+    return search(build_index(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "benchmark"))
+
+
 # Lines of more than five documents and of more than 2 % of the host's documents go; equal texts of a host are one document.
 OP12_SQL = r"""
 WITH docs AS (
