@@ -1,7 +1,7 @@
 """Quality rules: counts of a text, and lines that many documents of a host share, in DataFrame functions only.
 
 The base rules need nothing but the text. The cross-document rule hashes every line in a normal form (blanks at both ends off, runs of blanks
-one blank, A-Z lower-cased, digits zero) and counts, per host, the distinct documents that hold it. Lines of more documents than the host's
+one blank, A-Z lower-cased) and counts, per host, the distinct documents that hold it. Lines of more documents than the host's
 limit are removed, and a document of which too little remains is rejected. Documents of one host with equal texts are one document here, since a
 copy says nothing about a line; so the result depends on host and text alone.
 
@@ -24,7 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW_WORDS = 8
-_UPPER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 @dataclass(frozen=True)
@@ -104,7 +104,7 @@ def duplicate_lines(lines: Column) -> Column:
 
 def normal_line(line: Column) -> Column:
     blanks = F.regexp_replace(F.btrim(line, F.lit(BLANKS)), r"[\x20\x09-\x0D]+", " ")
-    return F.translate(blanks, _UPPER + _DIGITS, _UPPER.lower() + "0" * len(_DIGITS))
+    return F.translate(blanks, _UPPER, _UPPER.lower())
 
 
 def hashed_lines(lines: Column) -> Column:
