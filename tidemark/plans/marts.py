@@ -76,9 +76,18 @@ def lagged_comparison(observations: DataFrame, columns: Mapping[str, str] = COMP
     ``columns`` must yield ``cambio`` and ``ipca``. The lag runs after the pivot to one row
     per calendar month, so a single ordered window over all months is small at any scale.
     """
+    return comparison_of(month_rows(observations, columns), means)
+
+
+def month_rows(observations: DataFrame, columns: Mapping[str, str] = COMPARISON_COLUMNS) -> DataFrame:
+    """One row per calendar month, the compared indicators as columns."""
     monthly = observations.filter(F.col("mes").isNotNull() & F.col("valor").isNotNull())
-    wide = pivot_fixed(monthly, ["ano", "mes"], "indicador", "valor", columns)
-    lagged = lag_columns(wide, ["ipca"], ["ano", "mes"], split=False)
+    return pivot_fixed(monthly, ["ano", "mes"], "indicador", "valor", columns)
+
+
+def comparison_of(months: DataFrame, means: Mapping[str, str] = COMPARISON_MEANS) -> DataFrame:
+    """The lagged comparison from one row per calendar month."""
+    lagged = lag_columns(months, ["ipca"], ["ano", "mes"], split=False)
     yearly = [round_scaled(F.avg(name), 2).alias(mean) for name, mean in means.items()]
     gap = round_scaled(F.avg(F.col("cambio") - F.col("ipca_lag1")), 2).alias("cambio_vs_ipca_defasado")
     return lagged.groupBy("ano").agg(*yearly, gap)

@@ -7,19 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.text import TREND_LABELS
 from tidemark.operators import checks
 from tidemark.operators.suite import Check, RowCheck, run_suite
-from tidemark.plans.marts import annual_panel, lagged_comparison, monthly_series
-from tidemark.plans.silver import OBSERVATION_KEY, silver
+from tidemark.plans.incremental import update_marts, update_observations
+from tidemark.plans.silver import silver
 from tidemark.sources.candidates import land_sources
 from tidemark.sources.landing import append_bronze, gated_files, load_if_present, read_series_csv, stamp
 from tidemark.sources.schemas import CATEGORIES, select_sources
-from tidemark.sources.tables import export_parquet, load, register_view, upsert
+from tidemark.sources.tables import export_parquet, load, register_view, table_exists
 
-PARTITION_COLUMNS = ["fonte", "ano"]
-MARTS = {
-    "annual_panel": annual_panel,
-    "monthly_series": monthly_series,
-    "lagged_comparison": lagged_comparison,
-}
+MARTS = ("annual_panel", "monthly_series", "lagged_comparison")
 
 
 def silver_path(base_dir: str) -> str:
@@ -44,16 +39,6 @@ def build_silver(spark: SparkSession, base_dir: str, **options) -> DataFrame:
     return silver({category: df for category, df in tables.items() if df is not None}, **options)
 
 
-def build_gold(spark: SparkSession, base_dir: str) -> dict[str, DataFrame]:
-    """The marts, computed from the partitioned observation table and stored."""
-    observations = load(spark, silver_path(base_dir))
-    marts = {}
-    for name, mart in MARTS.items():
-        export_parquet(mart(observations), f"{base_dir}/gold/{name}")
-        marts[name] = load(spark, f"{base_dir}/gold/{name}")
-    return marts
-
-
 def mart_checks(marts: dict[str, DataFrame]) -> DataFrame:
     """The report of the checks declared for the marts."""
     panel, monthly, lagged = (marts[name] for name in MARTS)
@@ -71,13 +56,19 @@ def mart_checks(marts: dict[str, DataFrame]) -> DataFrame:
 
 
 def run(spark: SparkSession, raw_dir: str, base_dir: str, names=None, payload_dir: str | None = None, view: str = "observations") -> DataFrame:
-    """Every stage in order; returns the check report. With ``payload_dir`` the landing files are first made from payloads."""
+    """Every stage in order; returns the check report. With ``payload_dir`` the landing files are first made from payloads.
+
+    Observations and marts are brought up to date from the bronze files that no earlier run has read; the result is that of a full recomputation.
+    """
     if payload_dir:
         land_sources(spark, payload_dir, raw_dir, names)
     ingest_bronze(spark, raw_dir, base_dir, names)
-    observations = build_silver(spark, base_dir)
-    upsert(spark, silver_path(base_dir), observations, [OBSERVATION_KEY], PARTITION_COLUMNS, ignore=["_silver_at"])
-    exported = f"{base_dir}/parquet/{view}"
-    export_parquet(load(spark, silver_path(base_dir)), exported)
+    tables = {f"{base_dir}/bronze/{group}": category for group, category in CATEGORIES.items()}
+    changes = update_observations(spark, base_dir, tables, silver_path(base_dir))
+    if not table_exists(spark, silver_path(base_dir)):
+        raise ValueError("no landing table has rows")
+    observations, exported = load(spark, silver_path(base_dir)), f"{base_dir}/parquet/{view}"
+    if changes is not None or not table_exists(spark, exported):
+        export_parquet(observations, exported)
     register_view(spark, view, exported)
-    return mart_checks(build_gold(spark, base_dir))
+    return mart_checks(update_marts(spark, base_dir, observations, changes))

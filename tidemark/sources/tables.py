@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions._columns import as_list
 from tidemark.session import materialise, remove_path, scratch_path
 from tidemark.sources.landing import path_exists
+from tidemark.sources.summaries import KeySummaries, folder_of_row, read_folders
 
 # Partitions that one scan names in its filter; more of them take several scans.
 PARTITIONS_AT_ONCE = 500
@@ -97,20 +98,27 @@ def _completed(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     return source.join(target.select(*keys, *lacking), keys, "left") if lacking else source
 
 
-def changed_rows(target: DataFrame, source: DataFrame, keys, ignore=()) -> DataFrame:
+def located_changes(target: DataFrame, source: DataFrame, keys, keep, ignore=(), newer_by=()) -> DataFrame:
     """The rows of ``source`` that are new or differ from the stored row with their key, in columns other than ``ignore``.
 
-    Rows that share their key with another one are kept, whatever they hold.
+    Columns that ``source`` lacks have their stored values. ``__old`` holds the ``keep`` columns of the stored row; it is null for a new row. With
+    ``newer_by``, a row that is older than the stored one in these columns (nulls oldest) is no change. Rows that share their key
+    with another one are kept, whatever they hold.
     """
     keys = as_list(keys)
     compared = [name for name in source.columns if name not in (*keys, *ignore)]
-    if not set(compared) <= set(target.columns):
-        return source
-    stored = target.select(*keys, F.struct(*compared).alias("__stored") if compared else F.lit(True).alias("__stored"))
-    own = F.struct(*[F.col(name) for name in compared]) if compared else F.lit(True)
-    joined = source.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(*keys))).join(stored, keys, "left")
-    changed = F.col("__stored").isNull() | ~F.col("__stored").eqNullSafe(own) | (F.col("__rows") > 1)
-    return joined.filter(changed).select(*source.columns)
+    known = set(compared) <= set(target.columns)
+    lacking = [name for name in target.columns if name not in source.columns]
+    stored = {name: F.struct(*names) for name, names in {"__own": compared if known else [], "__load": newer_by, "__rest": lacking}.items() if names}
+    sides = target.select(*keys, F.struct(*keep).alias("__old"), *[column.alias(name) for name, column in stored.items()])
+    joined = source.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(*keys))).join(sides, keys, "left")
+    changed = F.lit(not known)
+    if "__own" in stored:
+        changed = ~F.col("__own").eqNullSafe(stored["__own"])
+    if newer_by:
+        changed = changed & (stored["__load"] >= F.col("__load"))
+    rows = joined.filter(F.col("__old").isNull() | changed | (F.col("__rows") > 1))
+    return rows.select(*source.columns, *[F.col("__rest")[name].alias(name) for name in lacking], "__old")
 
 
 def reject_repeated_keys(df: DataFrame, keys) -> None:
@@ -121,12 +129,15 @@ def reject_repeated_keys(df: DataFrame, keys) -> None:
         raise ValueError(f"more than one source row for key {tuple(repeated)}")
 
 
-def upsert(spark: SparkSession, path: str, source: DataFrame, keys, partition_by, format: str = "parquet", ignore=()) -> None:
+def upsert(spark: SparkSession, path: str, source: DataFrame, keys, partition_by, format: str = "parquet", ignore=(), newer_by=()) -> None:
     """Update or insert ``source`` by key into the partitioned table at ``path``.
 
     Rows that equal the stored ones (apart from the columns in ``ignore``, say a time stamp) are left alone, and only the
     partitions that receive other rows, or hold their keys now, are rewritten; a key may move to another partition. Columns that ``source``
-    lacks keep their values. Keys are unique on both sides.
+    lacks keep their values. Keys are unique on both sides. With ``newer_by``, rows older than the stored ones in these columns are left out.
+
+    Where a key lives is looked up in the partitions that may hold it by the table's key summaries (``sources.summaries``); the data files of
+    the others are not read.
 
     The merged partitions are first completed in the shared folder. What is to happen is then noted in the table's folder,
     done, and the note removed: a run that fails before leaves the table as it was, and one that fails after is completed by the
@@ -134,27 +145,48 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys, partition_by
 
     ``format='delta'`` passes the rows to a Delta MERGE. That branch is experimental: it has not been run.
     """
-    keys, columns = as_list(keys), as_list(partition_by)
-    source = _without_empty(source, columns)
     if format == "delta":
-        source = materialise(source, "upsert-source")
+        source = materialise(_without_empty(source, as_list(partition_by)), "upsert-source")
         reject_repeated_keys(source, keys)
-        _merge_delta(spark, path, source, keys, columns)
+        _merge_delta(spark, path, source, as_list(keys), as_list(partition_by))
         return
+    changes = find_changes(spark, path, source, keys, partition_by, ignore, newer_by)
+    apply_changes(spark, path, changes, keys, partition_by)
+
+
+def find_changes(spark: SparkSession, path: str, source: DataFrame, keys, partition_by, ignore=(), newer_by=(), keep=()) -> DataFrame:
+    """What an upsert of ``source`` would change, written aside: rows as they would be stored, with ``__old``, a struct of the partition columns and the
+    ``keep`` columns of the stored row, null for a new one. Repeated keys among the changes are refused."""
+    keys, columns = as_list(keys), as_list(partition_by)
+    source = _without_empty(source, columns)
     finish_upsert(spark, path)
+    kept = list(dict.fromkeys([*columns, *keep]))
     if table_exists(spark, path):
-        target = _typed_target(spark, path, source, columns)
-        source_path = scratch_path(spark, "upsert-source")
-        changed_rows(target, source, keys, ignore).write.parquet(source_path)
-        source = spark.read.schema(source.schema).parquet(source_path)
-        if not source.isEmpty():
-            reject_repeated_keys(source, keys)
-            _replace_partitions(spark, path, target, source, keys, columns)
-        remove_path(spark, source_path)
-    else:
         source = materialise(source, "upsert-source")
-        reject_repeated_keys(source, keys)
-        write_partitioned(source, path, columns)
+        summaries = KeySummaries(spark, path)
+        candidates = read_folders(spark, path, _typed(summaries.schema(), source, columns), summaries.may_hold(source, keys))
+        changes = located_changes(candidates, source, keys, kept, ignore, newer_by)
+    else:
+        old = StructType([source.schema[name] for name in kept])
+        changes = source.withColumn("__old", F.lit(None).cast(old))
+    changes = materialise(changes, "upsert-changes")
+    reject_repeated_keys(changes, keys)
+    return changes
+
+
+def apply_changes(spark: SparkSession, path: str, changes: DataFrame, keys, partition_by) -> None:
+    """Store what ``find_changes`` found, and summarise the keys of the partitions that were written."""
+    keys, columns = as_list(keys), as_list(partition_by)
+    rows = changes.drop("__old")
+    if not table_exists(spark, path):
+        write_partitioned(rows, path, columns)
+    elif changes.isEmpty():
+        return
+    else:
+        schema = _typed(KeySummaries(spark, path).schema(), rows, columns)
+        _replace_partitions(spark, path, schema, changes, keys, columns)
+    written = KeySummaries(spark, path)
+    written.refresh(_typed(written.schema(), rows, columns), keys)
 
 
 def _merge_delta(spark, path, source, keys, columns) -> None:
@@ -169,17 +201,17 @@ def _merge_delta(spark, path, source, keys, columns) -> None:
     )
 
 
-def _replace_partitions(spark, path, target, source, keys, columns) -> None:
-    # Key and partition columns only: where do matching keys live today?
-    matched = target.select(*dict.fromkeys([*keys, *columns])).join(source.select(*keys), keys, "left_semi")
+def _replace_partitions(spark, path, schema, changes, keys, columns) -> None:
+    rows = changes.drop("__old")
+    target = spark.read.schema(schema).parquet(path)
+    before = changes.filter("__old IS NOT NULL").select(*[F.col("__old")[name].alias(name) for name in columns])
     # One row per partition; the driver holds the table's list of files in any case.
-    touched = [tuple(row) for row in source.select(*columns).union(matched.select(*columns)).distinct().collect()]
+    touched = [tuple(row) for row in rows.select(*columns).union(before).distinct().collect()]
 
     merged_path = scratch_path(spark, "upsert-merged")
-    completed = _completed(target, source, keys)
     for chosen in _filters(touched, columns):  # literal values, so that only these partitions are scanned
-        kept = target.filter(chosen).join(source.select(*keys), keys, "left_anti")
-        kept.unionByName(completed.filter(chosen), allowMissingColumns=True).write.mode("append").parquet(merged_path)
+        kept = target.filter(chosen).join(rows.select(*keys), keys, "left_anti")
+        kept.unionByName(rows.filter(chosen), allowMissingColumns=True).write.mode("append").parquet(merged_path)
     held = {tuple(row) for row in spark.read.parquet(merged_path).select(*columns).distinct().collect()}
     emptied = [values for values in touched if values not in held]
     stale = [folder for chosen in _filters(emptied, columns) for folder in _folders(target.filter(chosen))]
@@ -217,12 +249,10 @@ def _write_note(spark: SparkSession, path: str, note: dict) -> None:
     files.rename(draft, spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{NOTE}"))
 
 
-def _typed_target(spark, path, source, columns) -> DataFrame:
-    """The table with partition values typed as in ``source``, not as guessed from folder names."""
-    stored = spark.read.option("mergeSchema", True).parquet(path).schema
+def _typed(stored: StructType, source: DataFrame, columns) -> StructType:
+    """A table's schema with partition values typed as in ``source``, not as guessed from folder names."""
     types = {name: source.schema[name].dataType for name in columns}
-    fields = [StructField(field.name, types.get(field.name, field.dataType)) for field in stored]
-    return spark.read.schema(StructType(fields)).parquet(path)
+    return StructType([StructField(field.name, types.get(field.name, field.dataType)) for field in stored])
 
 
 def _any(conditions):
@@ -248,8 +278,7 @@ def _filters(partitions, columns):
 
 def _folders(df: DataFrame) -> list[str]:
     """Folders of the files behind ``df``; at most one per partition."""
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    return [row[0] for row in df.select(folder.alias("folder")).distinct().collect()]
+    return [row[0] for row in df.select(folder_of_row().alias("folder")).distinct().collect()]
 
 
 def publish(df: DataFrame, path: str, partition_by) -> None:
