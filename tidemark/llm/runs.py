@@ -202,11 +202,18 @@ def find_runs(documents: list[list[int]], least_length: int = LEAST_LENGTH, leas
     start, period, owner = start[open_], period[open_], owner[open_]
     ahead = _extensions(arrivals, minimum, bases[owner] + start, bases[owner] + start + period)
     del arrivals, minimum
-    arrivals, minimum = _one_side([x[::-1] for x in documents])
+    # The first root of a run begins within its first period, so all of the run but two periods lies ahead of it. Only texts
+    # with such a root have a run, and are read backwards.
+    far = np.flatnonzero(ahead > (least_times - 2) * period)
+    if not len(far):
+        return none
+    start, period, owner, ahead = start[far], period[far], owner[far], ahead[far]
+    chosen, back = np.unique(owner, return_inverse=True)
+    arrivals, minimum = _one_side([documents[d][::-1] for d in chosen])
+    ends = np.cumsum(lengths[chosen] + 1)[back] - 2  # the reversed place of a text's first word
     behind = np.zeros(len(start), np.int64)
     inner = np.flatnonzero(start > 0)
-    last = bases[owner] + lengths[owner] - 1  # the reversed place of a document's first word
-    behind[inner] = _extensions(arrivals, minimum, (last - start + 1)[inner], (last - start - period + 1)[inner])
+    behind[inner] = _extensions(arrivals, minimum, (ends - start + 1)[inner], (ends - start - period + 1)[inner])
     begin, length = start - behind, behind + period + ahead
     long_ = np.flatnonzero((length >= least_length) & (length >= least_times * period))
     found = np.unique(np.stack((owner[long_], begin[long_], length[long_], period[long_])), axis=1)
