@@ -14,6 +14,12 @@ TABLE = "chave string, fonte string, ano int, valor double"
 KEYS, PARTS = ["chave"], ["fonte", "ano"]
 
 
+@pytest.fixture(autouse=True)
+def however_small(monkeypatch):
+    """Small tables have summaries here too."""
+    monkeypatch.setattr(tables, "table_bytes", lambda spark, path: summaries.SMALL_TABLE)
+
+
 @pytest.fixture
 def stored(spark, tmp_path):
     """A table of 8 sources and 4 years with 200 keys each, the years' keys in ranges of their own."""
@@ -133,3 +139,12 @@ def test_summaries_of_files_that_are_gone(spark, stored):
 def test_an_empty_batch(spark, stored):
     tables.upsert(spark, stored, spark.createDataFrame([], TABLE), KEYS, PARTS)
     assert tables.load(spark, stored, schema=TABLE).count() == 6400
+
+
+def test_small_tables_have_no_summaries(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.undo()
+    path = str(tmp_path / "small")
+    for value in (1.0, 2.0):
+        tables.upsert(spark, path, spark.createDataFrame([("a", "x", 1, value)], TABLE), KEYS, PARTS)
+        assert not os.path.exists(f"{path}/{summaries.FOLDER}")
+    assert rows(read(spark, path)) == [("a", "x", 1, 2.0)]

@@ -12,7 +12,8 @@ and marts whose update did not finish are built anew from the observations.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.maths import round_scaled
 from tidemark.operators.reshape import pivot_fixed
-from tidemark.plans.marts import PANEL_COLUMNS, PANEL_FIRST_YEAR, comparison_of, month_rows, monthly_series
+from tidemark.plans.marts import (
+    COMPARISON_COLUMNS,
+    COMPARISON_MEANS,
+    PANEL_COLUMNS,
+    PANEL_FIRST_YEAR,
+    comparison_of,
+    month_rows,
+    monthly_series,
+)
 from tidemark.plans.silver import LOAD_COLUMNS, OBSERVATION_COLUMNS, OBSERVATION_KEY, YOY_KEYS, harmonise, newest_observations, union_series, yoy
 from tidemark.session import materialise, remove_path
 from tidemark.sources.landing import path_exists
@@ -94,7 +103,7 @@ def update_newest(spark: SparkSession, base_dir: str, incoming: DataFrame, bucke
     # The order in which ``newest_observations`` prefers rows.
     preferred = [*LOAD_COLUMNS, *[name for name in OBSERVATION_COLUMNS if name != OBSERVATION_KEY]]
     rows = _bucketed(newest_observations(incoming), buckets)
-    changes = find_changes(spark, path, rows, keys, [BUCKET], newer_by=preferred, keep=OBSERVATION_COLUMNS)
+    changes = find_changes(spark, path, rows, keys, [BUCKET], newer_by=preferred, keep=OBSERVATION_COLUMNS, unique=True)
     seasons = changed_seasons(changes)
     seasons.write.mode("append").parquet(_pending(base_dir))
     apply_changes(spark, path, changes, keys, [BUCKET])
@@ -132,7 +141,8 @@ def update_observations(spark: SparkSession, base_dir: str, tables: dict[str, st
     if seasons is not None:
         rows = season_observations(spark, base_dir, seasons, **options)
         keep = ["indicador", "mes", "valor"]
-        changes = find_changes(spark, observations_path, rows, [OBSERVATION_KEY], PARTITION_COLUMNS, ignore=["_silver_at"], keep=keep)
+        options = {"ignore": ["_silver_at"], "keep": keep, "unique": True}  # of unique rows, whole seasons
+        changes = find_changes(spark, observations_path, rows, [OBSERVATION_KEY], PARTITION_COLUMNS, **options)
         mark_marts(spark, base_dir)
         apply_changes(spark, observations_path, changes, [OBSERVATION_KEY], PARTITION_COLUMNS)
     remove_path(spark, _pending(base_dir))
@@ -156,13 +166,15 @@ def _mark(base_dir: str) -> str:
 def mark_marts(spark: SparkSession, base_dir: str) -> None:
     """Note that the observations are about to change; until the marts have followed, they are to be built anew.
 
-    The mark of a run that broke off is told from one's own by its number.
+    Each run leaves a mark of its own, so that the next one sees whether another broke off.
     """
-    spark.range(1).coalesce(1).write.mode("append").parquet(_mark(base_dir))
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{_mark(base_dir)}/{uuid.uuid4().hex}")
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark).close()
 
 
 def _marks(spark: SparkSession, base_dir: str) -> int:
-    return spark.read.parquet(_mark(base_dir)).count() if path_exists(spark, f"{_mark(base_dir)}/_SUCCESS") else 0
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{_mark(base_dir)}/*")
+    return len(marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or ())
 
 
 def summary_states(observations: DataFrame) -> DataFrame:
@@ -200,7 +212,7 @@ def _in_years(years) -> Column:
 
 
 def merged_states(states: DataFrame, deltas: DataFrame, observations: DataFrame) -> DataFrame:
-    """``states`` after the value changes ``deltas``. ``observations``, as they are now, are read only for the years and indicators that lost their
+    """``states`` after the value changes ``deltas``, written aside. ``observations``, as they are now, are read only for the years and indicators that lost their
     smallest or largest value."""
     gained, signed = F.col("sign") > 0, F.col("valor").cast(EXACT) * F.col("sign")
     moved = deltas.groupBy("ano", "indicador").agg(
@@ -236,22 +248,20 @@ def merged_states(states: DataFrame, deltas: DataFrame, observations: DataFrame)
     return kept.unionByName(found.select("state.ano", "state.indicador", "total", "n", "low", "high"))
 
 
-def merged_months(months: DataFrame, deltas: DataFrame, observations: DataFrame) -> DataFrame:
-    """``months`` after the value changes ``deltas``: the touched months are computed again from the touched years."""
+def merged_months(months: DataFrame, deltas: DataFrame, observations: DataFrame, compared: Mapping[str, str] = COMPARISON_COLUMNS) -> DataFrame:
+    """``months`` after the value changes ``deltas``, written aside: the touched months are computed again from the touched years."""
     touched = materialise(deltas.filter("mes IS NOT NULL").select("ano", "mes").distinct(), "months")  # calendar months
     years = [row.ano for row in touched.select("ano").distinct().collect()]
     if not years:
-        return months
+        return materialise(months, "months")
     same = _same("stored", "touched", ["ano", "mes"])
     again = observations.filter(_in_years(years)).alias("stored").join(F.broadcast(touched).alias("touched"), same, "left_semi")
     kept = months.alias("stored").join(F.broadcast(touched).alias("touched"), same, "left_anti")
-    return kept.unionByName(month_rows(again))
+    return materialise(kept.unionByName(month_rows(again, compared)), "months")
 
 
 def _store(df: DataFrame, path: str) -> DataFrame:
-    """Written aside first, since ``df`` may come from what lies at ``path``."""
-    aside = materialise(df, "mart")
-    aside.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return load(df.sparkSession, path)
 
 
@@ -266,8 +276,20 @@ def _replace_years(rows: DataFrame, path: str, years: set) -> None:
         remove_path(spark, folder)
 
 
-def update_marts(spark: SparkSession, base_dir: str, observations: DataFrame, changes: DataFrame | None) -> dict[str, DataFrame]:
-    """Bring the marts up to date: by the changes if the marts had followed all earlier ones, else from all observations."""
+def update_marts(
+    spark: SparkSession,
+    base_dir: str,
+    observations: DataFrame,
+    changes: DataFrame | None,
+    panel: Mapping[str, str] = PANEL_COLUMNS,
+    since: int = PANEL_FIRST_YEAR,
+    compared: Mapping[str, str] = COMPARISON_COLUMNS,
+    means: Mapping[str, str] = COMPARISON_MEANS,
+) -> dict[str, DataFrame]:
+    """Bring the marts up to date: by the changes if the marts had followed all earlier ones, else from all observations.
+
+    ``panel``, ``since``, ``compared`` and ``means`` as for ``annual_panel`` and ``lagged_comparison``; marts keep those that they were begun with.
+    """
     names = ("annual_panel", "monthly_series", "lagged_comparison")
     stored = {name: gold_path(base_dir, name) for name in (*names, "panel_states", "month_states")}
     complete = all(table_exists(spark, path) for path in stored.values())
@@ -279,15 +301,15 @@ def update_marts(spark: SparkSession, base_dir: str, observations: DataFrame, ch
     if follows:
         deltas = materialise(value_changes(changes), "deltas")
         states = merged_states(load(spark, stored["panel_states"]), deltas, observations)
-        months = merged_months(load(spark, stored["month_states"]), deltas, observations)
+        months = merged_months(load(spark, stored["month_states"]), deltas, observations, compared)
         before = changes.filter("__old IS NOT NULL").select("__old.ano")
         years = {row.ano for row in changes.select("ano").union(before).distinct().collect()}
         _replace_years(monthly_series(observations.filter(_in_years(years))), stored["monthly_series"], years)
     else:
-        states, months = summary_states(observations), month_rows(observations)
+        states, months = summary_states(observations), month_rows(observations, compared)
         write_partitioned(monthly_series(observations), stored["monthly_series"], ["ano"])
     states, months = _store(states, stored["panel_states"]), _store(months, stored["month_states"])
-    _store(annual_panel_of(states), stored["annual_panel"])
-    _store(comparison_of(months), stored["lagged_comparison"])
+    _store(annual_panel_of(states, panel, since), stored["annual_panel"])
+    _store(comparison_of(months, means), stored["lagged_comparison"])
     remove_path(spark, _mark(base_dir))
     return {name: load(spark, stored[name]) for name in names}

@@ -27,6 +27,8 @@ BITS_PER_KEY = 16
 BITS_SET = 6
 # Partitions that one scan names in its filter; with more of them the words are joined instead.
 NAMED_PARTITIONS = 500
+# A table of fewer bytes has no summaries: all of it is read sooner than they are kept.
+SMALL_TABLE = 32 << 20
 
 
 def partition_files(spark: SparkSession, path: str) -> dict[str, list[str]]:
@@ -58,6 +60,11 @@ def read_folders(spark: SparkSession, path: str, schema: StructType, folders) ->
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jvm_path).getLength()
+
+
 def _key(keys) -> Column:
     return F.struct(*[F.col(name) for name in keys]).alias("key")
 
@@ -129,13 +136,14 @@ class KeySummaries:
         asked = source.select(*keys)
         ends = asked.agg(F.min(_key(keys)).alias("least"), F.max(_key(keys)).alias("most"))
         near = self.parts.crossJoin(F.broadcast(ends)).filter("low <= most AND high >= least")  # one row of ends
-        near = materialise(near.select("fingerprint", "low", "high", "words"), "summaries-near")
-        sizes = near.groupBy("words").agg(F.collect_set("fingerprint").alias("fingerprints")).collect()  # a number per partition
-        if not sizes:
+        near = near.select("fingerprint", "low", "high", "words")
+        rows = near.collect()  # a row per partition
+        if not rows:
             return sorted(self.without)
-        sized = F.explode(F.array(*[F.lit(row.words).cast("bigint") for row in sizes]))  # powers of two
+        near = self.spark.createDataFrame(rows, near.schema)
+        sized = F.explode(F.array(*[F.lit(size).cast("bigint") for size in sorted({row.words for row in rows})]))  # powers of two
         probes = asked.distinct().withColumn("words", sized).select("words", _word(keys, F.col("words")), _mask(keys), _key(keys))
-        words = _of(self._stored("words"), {number for row in sizes for number in row.fingerprints}).dropDuplicates(["fingerprint", "word"])
+        words = _of(self._stored("words"), {row.fingerprint for row in rows}).dropDuplicates(["fingerprint", "word"])
         held = words.join(near, "fingerprint").join(probes, ["words", "word"])
         found = held.filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).filter("key >= low AND key <= high")
         hits = [row.fingerprint for row in found.select("fingerprint").distinct().collect()]
@@ -153,7 +161,8 @@ class KeySummaries:
         counted = rows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_rows"), F.min(_key(keys)).alias("low"), F.max(_key(keys)).alias("high"))
         needed = F.greatest(F.lit(1), F.ceil(F.col("n_rows") * BITS_PER_KEY / 64))
         words = F.pow(F.lit(2), F.ceil(F.log2(needed))).cast("bigint")
-        parts = materialise(counted.withColumn("words", words).withColumn("schema", F.lit(schema.json())), "summary-parts")
+        counted = counted.withColumn("words", words).withColumn("schema", F.lit(schema.json()))
+        parts = self.spark.createDataFrame(counted.collect(), counted.schema)  # a row per partition
         sized = rows.join(F.broadcast(parts.select("fingerprint", "words")), "fingerprint")  # a row per partition
         bits = sized.select("fingerprint", _word(keys, F.col("words")), _mask(keys)).groupBy("fingerprint", "word").agg(F.bit_or("mask").alias("bits"))
         # The words first: a partition without a row in ``parts`` has no summary.

@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions._columns import as_list
 from tidemark.session import materialise, remove_path, scratch_path
 from tidemark.sources.landing import path_exists
-from tidemark.sources.summaries import KeySummaries, folder_of_row, read_folders
+from tidemark.sources.summaries import SMALL_TABLE, KeySummaries, folder_of_row, read_folders, table_bytes
 
 # Partitions that one scan names in its filter; more of them take several scans.
 PARTITIONS_AT_ONCE = 500
@@ -129,7 +129,9 @@ def reject_repeated_keys(df: DataFrame, keys) -> None:
         raise ValueError(f"more than one source row for key {tuple(repeated)}")
 
 
-def upsert(spark: SparkSession, path: str, source: DataFrame, keys, partition_by, format: str = "parquet", ignore=(), newer_by=()) -> None:
+def upsert(
+    spark: SparkSession, path: str, source: DataFrame, keys, partition_by, format: str = "parquet", ignore=(), newer_by=(), small_table: int = SMALL_TABLE
+) -> None:
     """Update or insert ``source`` by key into the partitioned table at ``path``.
 
     Rows that equal the stored ones (apart from the columns in ``ignore``, say a time stamp) are left alone, and only the
@@ -137,7 +139,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys, partition_by
     lacks keep their values. Keys are unique on both sides. With ``newer_by``, rows older than the stored ones in these columns are left out.
 
     Where a key lives is looked up in the partitions that may hold it by the table's key summaries (``sources.summaries``); the data files of
-    the others are not read.
+    the others are not read. A table of fewer bytes than ``small_table`` is searched whole instead.
 
     The merged partitions are first completed in the shared folder. What is to happen is then noted in the table's folder,
     done, and the note removed: a run that fails before leaves the table as it was, and one that fails after is completed by the
@@ -151,12 +153,14 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys, partition_by
         _merge_delta(spark, path, source, as_list(keys), as_list(partition_by))
         return
     changes = find_changes(spark, path, source, keys, partition_by, ignore, newer_by)
-    apply_changes(spark, path, changes, keys, partition_by)
+    apply_changes(spark, path, changes, keys, partition_by, small_table)
 
 
-def find_changes(spark: SparkSession, path: str, source: DataFrame, keys, partition_by, ignore=(), newer_by=(), keep=()) -> DataFrame:
+def find_changes(
+    spark: SparkSession, path: str, source: DataFrame, keys, partition_by, ignore=(), newer_by=(), keep=(), unique: bool = False
+) -> DataFrame:
     """What an upsert of ``source`` would change, written aside: rows as they would be stored, with ``__old``, a struct of the partition columns and the
-    ``keep`` columns of the stored row, null for a new one. Repeated keys among the changes are refused."""
+    ``keep`` columns of the stored row, null for a new one. Repeated keys among the changes are refused; ``unique`` states that there are none."""
     keys, columns = as_list(keys), as_list(partition_by)
     source = _without_empty(source, columns)
     finish_upsert(spark, path)
@@ -170,12 +174,13 @@ def find_changes(spark: SparkSession, path: str, source: DataFrame, keys, partit
         old = StructType([source.schema[name] for name in kept])
         changes = source.withColumn("__old", F.lit(None).cast(old))
     changes = materialise(changes, "upsert-changes")
-    reject_repeated_keys(changes, keys)
+    if not unique:
+        reject_repeated_keys(changes, keys)
     return changes
 
 
-def apply_changes(spark: SparkSession, path: str, changes: DataFrame, keys, partition_by) -> None:
-    """Store what ``find_changes`` found, and summarise the keys of the partitions that were written."""
+def apply_changes(spark: SparkSession, path: str, changes: DataFrame, keys, partition_by, small_table: int = SMALL_TABLE) -> None:
+    """Store what ``find_changes`` found, and summarise the keys of the partitions that were written unless the table is small."""
     keys, columns = as_list(keys), as_list(partition_by)
     rows = changes.drop("__old")
     if not table_exists(spark, path):
@@ -185,8 +190,9 @@ def apply_changes(spark: SparkSession, path: str, changes: DataFrame, keys, part
     else:
         schema = _typed(KeySummaries(spark, path).schema(), rows, columns)
         _replace_partitions(spark, path, schema, changes, keys, columns)
-    written = KeySummaries(spark, path)
-    written.refresh(_typed(written.schema(), rows, columns), keys)
+    if table_bytes(spark, path) >= small_table:
+        written = KeySummaries(spark, path)
+        written.refresh(_typed(written.schema(), rows, columns), keys)
 
 
 def _merge_delta(spark, path, source, keys, columns) -> None:

@@ -6,7 +6,7 @@ import importlib
 
 from workloads.registry import ORACLES, QUERIES
 
-for _module in ("series", "landing", "shapes", "scalars", "quality"):
+for _module in ("series", "landing", "updates", "shapes", "scalars", "quality"):
     importlib.import_module(f"workloads.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]

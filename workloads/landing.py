@@ -264,6 +264,16 @@ def observed_upsert(spark, sf_dir):
     return tables.load(spark, path, schema=ORDER_TABLE)
 
 
+@query(UPSERTED_SQL)
+def upsert_by_summaries(spark, sf_dir):
+    """The same batch in two halves, with key summaries however small the table: the second half finds them."""
+    base, batch = _base_and_batch(spark, sf_dir)
+    path = scratch_path(spark, "table")
+    for rows in (base, batch.filter("ano < 2000"), batch.filter("ano >= 2000")):
+        tables.upsert(spark, path, rows, ["chave"], ["fonte", "ano"], small_table=0)
+    return tables.load(spark, path, schema=ORDER_TABLE)
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def partitioned_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "table")
