@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import language, quality, toxicity
+from tidemark.llm import language, quality, simhash, toxicity, winnow
 
 SF_DIR = "/root/testdata/sf0.1"
 
@@ -163,3 +165,115 @@ def test_edges(edge_documents, no_documents, labels):
     assert language.languages(no_documents).collect() == []
     kept = toxicity.without_toxic(edge_documents, some)
     assert kept.columns == edge_documents.columns
+
+
+def test_a_language_found_in_long_texts_only_is_learned(documents):
+    words = {"aa": "wolka brimo tash erno", "bb": "quesh lindar ovi pelt", "cc": "zamtu ferrok ilg dossen"}
+    rows = []
+    for i in range(90):
+        lang = sorted(words)[i % 3]
+        size = 8000 if lang == "cc" else 30
+        rows.append((i, " ".join(np.random.default_rng(i).choice(words[lang].split(), size)), lang, "s"))
+    assert min(len(text) for _, text, lang, _ in rows if lang == "cc") > 16_000
+    found = {r.doc_id: r for r in language.languages(documents(rows)).collect()}
+    assert all(found[i].lang_pred == lang for i, _, lang, _ in rows)
+
+
+def test_three_hundred_languages(documents, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANDMARKS", 450)
+    random = np.random.default_rng(3)
+    made = ["".join(chr(97 + c) for c in word) for word in random.integers(26, size=(900, 6)).tolist()]
+    rows = [(i, " ".join([*made[3 * (i % 300) : 3 * (i % 300) + 3]] * 4), f"l{i % 300}", "s") for i in range(1500)]
+    found = language.languages(documents(rows)).collect()
+    assert len({r.lang_pred for r in found}) == 300
+    assert np.mean([r.lang_pred == f"l{r.doc_id % 300}" for r in found]) > 0.95
+
+
+def plain_features(text):
+    """The weight-bearing features of each span, from the description."""
+    lowered = "".join(c.lower() if c.isascii() else c for c in text)
+    spans = []
+    for sentence in re.split(r"[.!?\n\r]", lowered):
+        found = re.findall(r"[a-z\x80-\U0010ffff]+", sentence)
+        spans += [found[low : low + toxicity.SPAN] for low in range(0, len(found), toxicity.SPAN)]
+    encoded = [[word.encode() for word in span] for span in spans]
+    return [[f for word in set(span) for f in [word, *(b"^" + word[:n] for n in (5, 6, 7, 8) if len(word) > n)]] for span in encoded]
+
+
+def test_toxicity_scores_by_the_formula(documents, labels):
+    """Scores recomputed from the fitted weights, one sentence at a time."""
+    rows = [(i, invented(i, i % 2).decode() + " Schöne Grüße! ok") for i in range(150)]
+    docs, truth = documents(rows), labels([(i, 0, i % 2) for i in range(150)])
+    model = toxicity.fit_on(docs, truth)
+    assert model.weights
+    for r in toxicity.toxicity(docs, truth).collect():
+        clean, background = 1.0, 1 / (1 + np.exp(-model.bias))
+        for span in plain_features(rows[r.doc_id][1]):
+            score = 1 / (1 + np.exp(-model.bias - sum(model.weights.get(f, 0) for f in span)))
+            clean *= (1 - score) / (1 - background)
+        assert abs(r.score - (1 - clean)) < 1e-9 and r.predicted == (r.score >= 0.7)
+
+
+def test_the_slope_of_the_likelihood():
+    """Training lowers the loss, and nothing nearby does better: the numerical gradient vanishes where weights are free."""
+    texts = [invented(i, i % 3 == 0, 10) for i in range(90)]
+    y = [int(i % 3 == 0) for i in range(90)]
+    names = [b"idiot", b"moron", b"scum", b"trash"]
+    index = {name: (i, 1.0) for i, name in enumerate(names)}
+    bags = [toxicity._bags(text, index) for text in texts]
+    model = toxicity.solve(names, bags, y)
+
+    def loss(weights):
+        total = toxicity.SHRINK * sum(weights)
+        for label, found in zip(y, bags):
+            quiet = np.log1p(np.exp(toxicity.BIAS))
+            t = quiet + sum(n * (np.logaddexp(0, toxicity.BIAS + sum(weights[i] for i in bag)) - quiet) for bag, n in found)
+            total += t / (2 * (len(y) - sum(y))) if not label else -np.log(-np.expm1(-t)) / (2 * sum(y))
+        return total
+
+    weights = np.array([model.weights.get(name, 0.0) for name in names])
+    assert loss(weights) < loss(weights * 0.5) and loss(weights) < loss(weights * 0)
+    for i in range(len(names)):
+        step = np.eye(len(names))[i] * 1e-4
+        assert abs(loss(weights + step) - loss(weights - step)) / 2e-4 < 2e-2
+
+
+def test_quality_scores_by_the_formula(documents, labels):
+    rows = [(i, " ".join(f"w{(i * 7 + j) % (11 if i % 2 else 30)}" for j in range(20 + i % 9))) for i in range(80)]
+    docs, truth = documents(rows), labels([(i, i % 2, 0) for i in range(80)])
+    vectors = quality.word_vectors(docs)
+    for r in quality.quality(docs, truth).collect():
+        words = [quality.xxhash.xxh32_intdigest(w) % quality.BUCKETS for w in rows[r.doc_id][1].encode().split()]
+        found = vectors[words].astype(float)
+        alike = sum(float(a @ b) for a, b in zip(found, found[1:])) / (len(words) - 1)
+        wanted = np.concatenate((found.mean(axis=0), found.std(axis=0), [alike, np.log1p(len(words)) / 10]))
+        assert np.allclose(quality.pooled(rows[r.doc_id][1].encode(), vectors, quality._Buckets()), wanted, atol=1e-4)
+        assert r.predicted == (r.score >= 0.5)
+
+
+def test_models_are_plain_data(spark, documents, labels, monkeypatch):
+    """What is broadcast is read by workers that may not have this package: built-in containers, numbers and arrays only."""
+    sent = []
+    original = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or original(self, value))
+
+    def plain(value):
+        if isinstance(value, dict):
+            return all(map(plain, [*value.keys(), *value.values()]))
+        if isinstance(value, (list, tuple)):
+            return all(map(plain, value))
+        return value is None or type(value) in (int, float, str, bytes, bool, np.ndarray, np.float64, np.int64)
+
+    rows = [(i, invented(i, i % 2, 5).decode(), "en" if i % 2 else "de", "s") for i in range(60)]
+    docs, truth = documents(rows), labels([(i, i % 2, i % 2) for i in range(60)])
+    for df in (toxicity.toxicity(docs, truth), quality.quality(docs, truth), language.languages(docs), toxicity.without_toxic(docs, truth)):
+        df.count()
+    assert len(sent) >= 7 and all(map(plain, sent))
+
+
+def test_odd_column_names(documents, labels):
+    docs = documents([(i, f"text {i}") for i in range(4)]).withColumn("a.b", F.lit(1)).withColumn("c`d", F.lit("x")).withColumn("bad_id", F.lit(1))
+    docs = docs.withColumn("kept_id", F.lit(2)).withColumn("copy", F.lit(3))
+    items = docs.select(F.lit("i").alias("item_id"), F.lit("nothing of this").alias("text")).limit(1)
+    for kept in (toxicity.without_toxic(docs, labels([])), simhash.representatives(docs), winnow.without_contaminated(docs, items)):
+        assert kept.columns == docs.columns and kept.count() > 0

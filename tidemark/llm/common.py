@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Bytes in one Arrow batch: a Python worker holds one batch at a time.
 BATCH_BYTES = 4 << 20
@@ -16,7 +17,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def in_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def in_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with batches of about ``BATCH_BYTES`` at most, or one row."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
@@ -42,6 +43,11 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it, whatever it contains."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def only_columns(df: DataFrame, **columns: str) -> DataFrame:
     """``new=old`` columns of a table whose other columns do not matter."""
     return df.select(*(df[old].alias(new) for new, old in columns.items()))

@@ -6,8 +6,10 @@ Landmarks are sampled texts of each language; a text is mapped to its kernel val
 own kernel matrix, and one ridge regression per language scores it. Texts are scored in batches: presence matrix x landmark
 matrix x coefficients.
 
-The model is fitted in numpy on a bounded sample (at most ``PER_CLASS`` rows per language, ``SAMPLE_BYTES`` bytes of a text). Whole texts are
-predicted in Spark tasks; a long text is read in parts, whose sets are united.
+The model is fitted on a bounded sample: at most ``PER_CLASS`` rows per language and ``SAMPLE_ROWS`` in all, but one of each language. Tasks
+read the whole sampled texts and pass on their sets, first those of the landmarks, then those of all sampled texts within the vocabulary; numpy
+solves the regressions from them, a block of texts at a time. Every language that a sampled row has is learned, whatever the number of languages and
+the length of their texts. Whole texts are predicted in Spark tasks; a long text is read in parts, whose sets are united.
 """
 
 from __future__ import annotations
@@ -20,14 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold_of, in_batches, texts
-from tidemark.llm.samples import MAX_CLASSES, labelled_sample, sampled_rows
+from tidemark.llm.samples import labelled_sample, one_per_id, sampled_rows
+from tidemark.session import materialise
 
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 ORDERS = 4
 PER_CLASS = 400
-SAMPLE_BYTES = 16_000  # longer texts are not used for fitting
-LANDMARKS = 24  # per language
+SAMPLE_ROWS = 20_000
+LANDMARKS = 24  # per language, or so that there are MOST_LANDMARKS at most
+MOST_LANDMARKS = 2048
+FIT_ROWS = 512  # texts of one step of the fit
 VOCABULARY = 6000
 RIDGE = 1e-2
 SHARPNESS = 6.0
@@ -73,35 +78,67 @@ class LanguageModel:
     coefficients: np.ndarray  # landmarks x languages
 
 
-def presence(sets, places, size: int):
-    """Row per text: 1 at the vocabulary places of its n-grams, scaled to length 1."""
-    matrix = np.zeros((len(sets), size), np.float32)
-    for row, found in zip(matrix, sets):
-        at = places[found]
-        row[at[at >= 0]] = 1
+def presence(found: list[np.ndarray], size: int):
+    """Row per text: 1 at its places in the vocabulary, scaled to length 1."""
+    matrix = np.zeros((len(found), size), np.float32)
+    for row, places in zip(matrix, found):
+        row[places] = 1
     return matrix / np.maximum(1, np.sqrt(matrix.sum(axis=1, keepdims=True)))
 
 
+def places_of(vocabulary):
+    places = np.full(1 << HASH_BITS, -1, np.int16)
+    places[vocabulary] = np.arange(len(vocabulary))
+    return places
+
+
+def within(found, places):
+    """Places in the vocabulary of the n-grams that are in it."""
+    at = places[found]
+    return at[at >= 0]
+
+
+def vocabulary_of(landmarks: list[np.ndarray]):
+    """The most telling n-grams of some sets: those that about half of them hold."""
+    counts = np.bincount(np.concatenate(landmarks), minlength=1 << HASH_BITS)
+    share = counts / len(landmarks)
+    spread = np.where(counts > 0, share * (1 - share) + 1e-9, -1)
+    return np.argsort(-spread, kind="stable")[: min(VOCABULARY, int((counts > 0).sum()))]
+
+
+def solve(landmarks: list[np.ndarray], places, size: int, read: list[np.ndarray], languages: list[str]) -> LanguageModel:
+    """One ridge regression per language, from the places in the vocabulary of landmarks and of sampled texts."""
+    names = sorted(set(languages))
+    columns = presence(landmarks, size).T
+    values, vectors = np.linalg.eigh((columns.T @ columns).astype(np.float64))
+    whiten = vectors * np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)
+    numbers = np.searchsorted(names, languages)
+    products, answers = np.zeros((len(landmarks), len(landmarks))), np.zeros((len(names), len(landmarks)))
+    for low in range(0, len(read), FIT_ROWS):
+        mapped = presence(read[low : low + FIT_ROWS], size) @ columns @ whiten
+        products += mapped.T @ mapped
+        answers -= mapped.sum(axis=0)  # every target is -1, but that of the text's own language
+        np.add.at(answers, numbers[low : low + FIT_ROWS], 2 * mapped)
+    ridge = np.linalg.solve(products + RIDGE * len(read) / len(names) * np.eye(len(landmarks)), answers.T)
+    return LanguageModel(names, places, np.ascontiguousarray(columns), (whiten @ ridge).astype(np.float32))
+
+
+def landmark_count(languages: int) -> int:
+    """Landmarks of each language."""
+    return max(1, min(LANDMARKS, MOST_LANDMARKS // max(1, languages)))
+
+
 def fit(documents: list[bytes], languages: list[str]) -> LanguageModel | None:
-    """None without texts that have letters."""
+    """The steps of ``fit_on`` on texts at hand. None without texts that have letters."""
     read = [(grams(codes), language) for text, language in zip(documents, languages) if len(codes := letters(text))]
     if not read:
         return None
     names = sorted({language for _, language in read})
-    chosen = [s for name in names for s in [x for x, language in read if language == name][:LANDMARKS]]
-    counts = np.bincount(np.concatenate(chosen), minlength=1 << HASH_BITS)
-    share = counts / len(chosen)
-    spread = np.where(counts > 0, share * (1 - share) + 1e-9, -1)  # the most telling n-grams are held by about half of the landmarks
-    vocabulary = np.argsort(-spread, kind="stable")[: min(VOCABULARY, int((counts > 0).sum()))]
-    places = np.full(1 << HASH_BITS, -1, np.int32)
-    places[vocabulary] = np.arange(len(vocabulary))
-    landmarks = presence(chosen, places, len(vocabulary)).T
-    values, vectors = np.linalg.eigh((landmarks.T @ landmarks).astype(np.float64))
-    whiten = vectors * np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)
-    mapped = presence([s for s, _ in read], places, len(vocabulary)) @ landmarks @ whiten
-    targets = np.array([[1.0 if language == name else -1.0 for name in names] for _, language in read])
-    ridge = np.linalg.solve(mapped.T @ mapped + RIDGE * len(read) / len(names) * np.eye(mapped.shape[1]), mapped.T @ targets)
-    return LanguageModel(names, places, np.ascontiguousarray(landmarks), (whiten @ ridge).astype(np.float32))
+    landmarks = [s for name in names for s in [x for x, language in read if language == name][: landmark_count(len(names))]][:MOST_LANDMARKS]
+    vocabulary = vocabulary_of(landmarks)
+    places = places_of(vocabulary)
+    sets = [within(x, places) for x, _ in read]
+    return solve([within(x, places) for x in landmarks], places, len(vocabulary), sets, [language for _, language in read])
 
 
 def predict(documents: list[bytes | None], model: LanguageModel | None) -> list[tuple[str, float]]:
@@ -111,7 +148,7 @@ def predict(documents: list[bytes | None], model: LanguageModel | None) -> list[
         read = [(i, codes) for i in range(low, min(low + ROWS, len(documents))) if len(codes := letters(documents[i]))]
         if not read or model is None:
             continue
-        kernel = presence([grams(codes) for _, codes in read], model.places, model.landmarks.shape[0]) @ model.landmarks
+        kernel = presence([within(grams(codes), model.places) for _, codes in read], model.landmarks.shape[0]) @ model.landmarks
         margins = (kernel @ model.coefficients).astype(np.float64)
         odds = np.exp(SHARPNESS * (margins - margins.max(axis=1, keepdims=True)))
         best = margins.argmax(axis=1)
@@ -122,21 +159,62 @@ def predict(documents: list[bytes | None], model: LanguageModel | None) -> list[
 
 def _predicted(model):
     def rows(batches):
+        known = LanguageModel(*model.value) if model.value else None
         for batch in batches:
-            found = predict(texts(batch), model.value)
+            found = predict(texts(batch), known)
             columns = [pa.array([x for x, _ in found], pa.string()), pa.array([p for _, p in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score"])
 
     return rows
 
 
+def _read(places=None):
+    """The n-grams of each text that has letters; with broadcast ``places``, packed, its places in the vocabulary."""
+
+    def rows(batches):
+        for batch in batches:
+            found = [grams(letters(text)) for text in texts(batch)]
+            held = pa.array([len(x) > 0 for x in found])
+            if places is None:
+                read = pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))
+            else:
+                read = pa.array([within(x, places.value).tobytes() for x in found], pa.binary())
+            kept = ("doc_id", "text_key", "label", "rank")
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), read], [*kept, "grams"]).filter(held)
+
+    return rows
+
+
+def _vocabulary(landmarks: DataFrame):
+    """``vocabulary_of`` the sets in column ``grams``, counted in Spark; at most VOCABULARY numbers come to the driver."""
+    sets = landmarks.count()
+    share = F.col("holders") / sets
+    counted = landmarks.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("holders"))
+    telling = counted.orderBy((share * (1 - share) + F.lit(1e-9)).desc(), "gram").limit(VOCABULARY)
+    return np.array([row.gram for row in telling.collect()], np.int64)
+
+
 def fit_on(docs: DataFrame, per_class: int = PER_CLASS) -> LanguageModel | None:
     """Fit on rows with a language outside the held-out fold."""
     known = docs.select(docs["doc_id"].alias("doc_id"), docs["lang"].alias("label")).filter(fold_of("doc_id", FOLDS) != HELD_OUT)
-    sample, counts = labelled_sample(known, per_class)
-    short = docs.filter(F.octet_length(docs["text"]) <= SAMPLE_BYTES)
-    rows = sorted(sampled_rows(short, sample, min(len(counts), MAX_CLASSES) * per_class).collect())
-    return fit([row.text.encode() for row in rows], [row.label for row in rows])
+    sample, _ = labelled_sample(known, per_class, SAMPLE_ROWS)
+    rows = materialise(sampled_rows(docs, sample), "language_sample")  # read twice below
+    id_kind = rows.schema["doc_id"].dataType.simpleString()
+    kinds = f"doc_id {id_kind}, text_key bigint, label string, rank int, grams"
+    per_language = landmark_count(rows.select("label").distinct().count())
+    sets = materialise(one_per_id(in_batches(rows.filter(F.col("rank") <= per_language), _read(), f"{kinds} array<int>")), "language_landmarks")
+    vocabulary = _vocabulary(sets)
+    if not len(vocabulary):  # no landmark has letters; other texts may
+        sets = one_per_id(in_batches(rows, _read(), f"{kinds} array<int>"))
+        vocabulary = _vocabulary(sets)
+    if not len(vocabulary):
+        return None
+    places = places_of(vocabulary)
+    packed = one_per_id(in_batches(rows, _read(docs.sparkSession.sparkContext.broadcast(places)), f"{kinds} binary"))
+    # At most SAMPLE_ROWS rows, or one per language, of at most 2 x VOCABULARY bytes.
+    found = sorted(((row.label, row["rank"], np.frombuffer(row.grams, np.int16)) for row in packed.collect()), key=lambda row: row[:2])
+    landmarks = [read for _, rank, read in found if rank <= per_language] or [read for _, _, read in found]
+    return solve(landmarks[:MOST_LANDMARKS], places, len(vocabulary), [read for _, _, read in found], [language for language, _, _ in found])
 
 
 def languages(docs: DataFrame) -> DataFrame:
@@ -147,7 +225,10 @@ def languages(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    model = docs.sparkSession.sparkContext.broadcast(fit_on(docs))
+    fitted = fit_on(docs)
+    # Plain data: executors need not know the class.
+    plain = fitted and (fitted.languages, fitted.places, fitted.landmarks, fitted.coefficients)
+    model = docs.sparkSession.sparkContext.broadcast(plain)
     found = in_batches(rows, _predicted(model), f"doc_id {kind}, lang_pred string, score double")
     held_out = F.coalesce(fold_of("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

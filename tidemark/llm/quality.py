@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold_of, in_batches, texts
-from tidemark.llm.samples import labelled_sample, sampled_rows
+from tidemark.llm.samples import labelled_sample, one_per_id, sampled_rows
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
@@ -141,9 +141,8 @@ def _pooled(vectors):
         buckets = _Buckets()
         for batch in batches:
             found = [pooled(text, vectors.value, buckets).tolist() for text in texts(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "label", "pooled"]
-            )
+            kept = ("doc_id", "text_key", "label")
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(found, pa.list_(pa.float64()))], [*kept, "pooled"])
 
     return rows
 
@@ -158,6 +157,10 @@ class QualityModel:
     outer_bias: float
     temperature: float
 
+    def plain(self) -> tuple:
+        """The fields, for a broadcast: executors need not know the class."""
+        return self.center, self.scale, self.inner, self.inner_bias, self.outer, self.outer_bias, self.temperature
+
     def probability(self, pooled_rows: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logit(pooled_rows) / self.temperature, -60, 60)))
 
@@ -200,9 +203,10 @@ def fit(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> QualityModel | Non
 def _scored(model, vectors):
     def rows(batches):
         buckets = _Buckets()
+        network = QualityModel(*model.value) if model.value else None
         for batch in batches:
             found = np.array([pooled(text, vectors.value, buckets) for text in texts(batch)]).reshape(batch.num_rows, -1)
-            scores = model.value.probability(found) if model.value else np.full(batch.num_rows, 0.5)
+            scores = network.probability(found) if network else np.full(batch.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return rows
@@ -221,8 +225,10 @@ def quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> D
     vectors = context.broadcast(word_vectors(docs))  # BUCKETS x WIDTH numbers
     known = labels.select(labels["doc_id"].alias("doc_id"), labels["quality"].alias("label"))
     sample, counts = labelled_sample(known.filter((fold_of("doc_id", FOLDS) != HELD_OUT) & F.col("label").isin(0, 1)), per_class)
-    chosen = in_batches(sampled_rows(docs, sample, 2 * per_class), _pooled(vectors), f"doc_id {kind}, label string, pooled array<double>")
-    found = sorted(chosen.collect())
+    # Pooled where the texts lie; one row per sampled id comes to the driver.
+    chosen = in_batches(sampled_rows(docs, sample), _pooled(vectors), f"doc_id {kind}, text_key bigint, label string, pooled array<double>")
+    found = sorted(one_per_id(chosen).collect())
+    counts = {row.label: row.n for row in counts.collect()}  # two labels
     y = np.array([int(row.label) for row in found])
     model = None
     if found:
@@ -230,6 +236,6 @@ def quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> D
         # Rows in an order of their own, so that every fifth is a fair part of both labels.
         order = np.argsort([xxhash.xxh64_intdigest(str(row.doc_id)) for row in found])
         model = fit(np.array([row.pooled for row in found])[order], y[order], weights[order])
-    scored = in_batches(rows, _scored(context.broadcast(model), vectors), f"doc_id {kind}, score double")
+    scored = in_batches(rows, _scored(context.broadcast(model and model.plain()), vectors), f"doc_id {kind}, score double")
     held_out = F.coalesce(fold_of("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -132,7 +132,7 @@ def op6_simhash_near_dedup(spark, sf_dir):
 @query()
 def op7_toxicity(spark, sf_dir):
     scored = toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "offending", F.size("offending").alias("n_offending"))
 
 
 @query()

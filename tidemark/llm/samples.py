@@ -5,31 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Classes that a sample may hold; the most frequent ones are taken.
-MAX_CLASSES = 256
 
+def labelled_sample(labels: DataFrame, per_class: int, total: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """At most ``per_class`` (doc_id, label) rows of each label, the same ones each time, and the number ``n`` of rows of each label.
 
-def labelled_sample(labels: DataFrame, per_class: int) -> tuple[DataFrame, dict[str, int]]:
-    """At most ``per_class`` (doc_id, label) rows of each label, the same ones each time, and the number of rows of each label.
-
-    ``labels`` has doc_id and label; rows with a null in either are left out, and a doc_id with several labels has the smallest.
+    With ``total``, many labels share so many rows, one each at least. ``labels`` has doc_id and label; rows with a null in either are left out,
+    and a doc_id with several labels has the smallest.
     """
     known = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").select("doc_id", F.col("label").cast("string").alias("label"))
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
-    rows = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_CLASSES).collect()
-    counts = {row["label"]: row["count"] for row in rows}
-    if not counts:
-        return known.select("doc_id", "label").limit(0), counts
+    counts = known.groupBy("label").agg(F.count("*").alias("n"))
+    if total:
+        per_class = max(1, min(per_class, total // max(1, counts.count())))
     # A share of each class that surely holds enough rows, so that the ranking below sees few rows however large the class is.
-    shares = F.create_map(*(F.lit(x) for label, n in counts.items() for x in (label, min(1.0, (2 * per_class + 100) / n))))
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    near = known.filter(place < F.try_element_at(shares, F.col("label"))).withColumn("place", place)
+    near = known.join(counts, "label").withColumn("place", place).filter(F.col("place") < (2 * per_class + 100) / F.col("n"))
     first = Window.partitionBy("label").orderBy("place", "doc_id")
-    return near.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_class).select("doc_id", "label"), counts
+    return near.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_class).select("doc_id", "label", "rank"), counts
 
 
-def sampled_rows(docs: DataFrame, sample: DataFrame, limit: int) -> DataFrame:
-    """(doc_id, text, label) of the sampled documents, at most ``limit`` rows (several only if a doc_id is repeated)."""
+def sampled_rows(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(doc_id, text, label, rank, text_key) of the sampled documents; a repeated doc_id gives several rows."""
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
-    # At most MAX_CLASSES x per_class narrow rows.
-    return rows.join(F.broadcast(sample), "doc_id").limit(limit)
+    # The sample is bounded, and narrow.
+    return rows.join(F.broadcast(sample), "doc_id").withColumn("text_key", F.xxhash64("text"))
+
+
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """The row with the smallest text_key of each doc_id, so that repeated ids are learned from once, and always alike."""
+    first = Window.partitionBy("doc_id").orderBy("text_key")
+    return rows.withColumn("__turn", F.row_number().over(first)).filter("__turn = 1").drop("__turn")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_batches, texts
+from tidemark.llm.common import free_name, in_batches, quoted, texts
 from tidemark.llm.components import components
 from tidemark.session import materialise
 
@@ -191,8 +191,9 @@ def representatives(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     order = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("doc_id"), F.col("text_key").alias("text_key"))
     chosen = near_duplicates(docs, max_bits).groupBy("root").agg(F.min(order).alias("one")).select("one.doc_id", "one.text_key")
-    chosen = chosen.select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_text"))
+    kept_id, kept_text, copy = (free_name(docs, name) for name in ("kept_id", "kept_text", "copy"))
+    chosen = chosen.select(F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_text))
     text_key = F.xxhash64(docs["text"])
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("__kept_id")) & (text_key == F.col("__kept_text")), "inner")
-    same = Window.partitionBy("__kept_id", "__kept_text").orderBy(F.lit(0))
-    return kept.withColumn("__copy", F.row_number().over(same)).filter("__copy = 1").select(*docs.columns)
+    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col(kept_id)) & (text_key == F.col(kept_text)), "inner")
+    same = Window.partitionBy(kept_id, kept_text).orderBy(F.lit(0))
+    return kept.withColumn(copy, F.row_number().over(same)).filter(F.col(copy) == 1).select(*map(quoted, docs.columns))

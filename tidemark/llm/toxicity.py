@@ -21,14 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
-from tidemark.llm.common import fold_of, free_name, in_batches, texts
-from tidemark.llm.samples import labelled_sample
+from tidemark.llm.common import fold_of, free_name, in_batches, quoted, texts
+from tidemark.llm.samples import labelled_sample, one_per_id, sampled_rows
 from tidemark.session import materialise
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
-OFFENDING = 0.5
 PER_CLASS = 2000
 BAGS = 256  # distinct sets of telling features that a text is fitted by
 COUNTED = 200_000  # features that a task counts before it passes them on
@@ -189,20 +189,21 @@ def score_text(text: bytes | None, evidence, bias: float) -> tuple[float, list[t
 
 
 _SENTENCES = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("score", pa.float64())]))
-SCORES = "score double, offending array<struct<start: bigint, length: bigint, score: double>>"
+OFFENDING = ArrayType(StructType().add("start", "long").add("length", "long").add("score", "double"))
 
 
-def _scored(model, names: list[str]):
-    """``model``: a broadcast ToxicityModel. Appends the two columns of ``SCORES`` under ``names``."""
+def _scored(model, column: str):
+    """``model``: broadcast weights and bias. Appends the score and the offending sentences of the texts in a column."""
 
     def rows(batches):
-        evidence = _Evidence(model.value.weights)
+        weights, bias = model.value
+        evidence = _Evidence(weights)
         for batch in batches:
-            found = [score_text(text, evidence, model.value.bias) for text in texts(batch)]
+            found = [score_text(text, evidence, bias) for text in texts(batch, column)]
             sentences = [[{"start": a, "length": n, "score": p} for a, n, p in s] for _, s in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([p for p, _ in found], pa.float64()), pa.array(sentences, _SENTENCES)],
-                [*batch.schema.names, *names],
+                [*batch.schema.names, "score", "offending"],
             )
 
     return rows
@@ -235,7 +236,8 @@ def _reduced(index):
             found = [_bags(text or b"", index.value) for text in texts(batch)]
             bags = pa.array([[bag for bag, _ in x] for x in found], pa.list_(pa.list_(pa.int32())))
             times = pa.array([[n for _, n in x] for x in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), bags, times], ["label", "bags", "times"])
+            kept = ("doc_id", "text_key", "label")
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), bags, times], [*kept, "bags", "times"])
 
     return rows
 
@@ -244,7 +246,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> To
     """Fit on labelled rows outside the held-out fold. Without labels of both kinds every text scores about 0."""
     known = labels.select(labels["doc_id"].alias("doc_id"), labels["toxic"].alias("label"))
     sample, _ = labelled_sample(known.filter((fold_of("doc_id", FOLDS) != HELD_OUT) & F.col("label").isin(0, 1)), per_class)
-    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")).join(F.broadcast(sample), "doc_id").select("text", "label")
+    # The sampled texts are read twice below; written aside, only the first time from all documents.
+    rows = materialise(sampled_rows(docs, sample).drop("rank"), "toxicity_sample")
     held = in_batches(rows, _holders, "feature binary, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     held = materialise(held.filter(F.col("clean") + F.col("toxic") >= MIN_DOCS), "toxicity_features")
     tried, clean, toxic = held.agg(F.count("*"), F.sum("clean"), F.sum("toxic")).first()
@@ -257,18 +260,20 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> To
     strong = (share[1] > 1) & (F.col("toxic") * F.log(share[1]) + clean_part > -math.log(CHANCE))
     found = sorted((bytes(r["feature"]), r["clean"], r["toxic"]) for r in held.filter(strong).collect())
     index = _index([f for f, _, _ in found], np.array([x[1:] for x in found], float).reshape(-1, 2), tried, expected)
-    reduced = in_batches(rows, _reduced(docs.sparkSession.sparkContext.broadcast(index)), "label string, bags array<array<int>>, times array<bigint>")
-    # At most 2 x per_class rows, more only if a doc_id is repeated.
-    chosen = sorted((r.label, r.bags, r.times) for r in reduced.limit(2 * per_class).collect())
+    kinds = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key bigint, label string, bags array<array<int>>, times array<bigint>"
+    reduced = in_batches(rows, _reduced(docs.sparkSession.sparkContext.broadcast(index)), kinds)
+    chosen = sorted((r.label, r.bags, r.times) for r in one_per_id(reduced).collect())  # at most 2 x per_class rows
     return solve(list(index), [list(zip(bags, times)) for _, bags, times in chosen], [int(label) for label, _, _ in chosen])
 
 
 def add_scores(docs: DataFrame, model: ToxicityModel, score: str, offending: str) -> DataFrame:
     """``docs`` with its score and its offending sentences (byte ranges of the text) in two new columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    schema = f"{kinds}, `{score}` double, `{offending}` array<struct<start: bigint, length: bigint, score: double>>"
-    return in_batches(docs, _scored(shared, [score, offending]), schema)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    # Arrow functions take columns by name, which a dot or a backtick in it would break: numbers stand in for names.
+    numbered = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    at = [name.lower() for name in docs.columns].index("text")
+    schema = StructType(list(numbered.schema.fields)).add("score", "double").add("offending", OFFENDING)
+    return in_batches(numbered, _scored(shared, f"c{at}"), schema).toDF(*docs.columns, score, offending)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -287,4 +292,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted toxic; all columns kept."""
     score, offending = free_name(docs, "score"), free_name(docs, "offending")
     scored = add_scores(docs, fit_on(docs, labels), score, offending)
-    return scored.filter(F.col(score) < THRESHOLD).select(*(f"`{c}`" for c in docs.columns))
+    return scored.filter(F.col(score) < THRESHOLD).select(*map(quoted, docs.columns))
