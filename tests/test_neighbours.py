@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.copies import repeat_rows
 from tidemark.operators import neighbours
-from tidemark.operators.neighbours import add_neighbour, distinct_steps, lag_columns
+from tidemark.operators.neighbours import add_neighbour, counted_rows, distinct_steps, lag_columns
 
 
 def skewed(spark, n=600, hot=0.7, seed=3):
@@ -73,7 +73,7 @@ def test_equal_rows_are_counted_not_lost(spark, offset):
     values = [("g", v) for v in [5] * 40 + list(range(60)) + [59] * 20] + [("h", 1), ("h", None), ("h", None)]
     df = spark.createDataFrame(values, "g string, v int")
     counts = {}
-    steps = distinct_steps(df, ["g"], ["v"], ["v"], offset).collect()
+    steps = distinct_steps(counted_rows(df, ["g", "v"]), ["g"], ["v"], ["v"], offset).collect()
     for row in steps:
         key = (row.g, row.v, row.near and (row.near.v,))
         counts[key] = counts.get(key, 0) + row.copies
@@ -88,6 +88,32 @@ def test_equal_rows_are_counted_not_lost(spark, offset):
     assert counts == wanted and len(steps) < len(values)
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 64])
+@pytest.mark.parametrize("offset", [1, -1])
+def test_failing_steps_of_any_chunks(spark, offset, partitions):
+    """Failing rows alone, whatever the number of chunks; some chunks hold one row, some groups many chunks."""
+    pick = random.Random(partitions)
+    values = [(pick.choice("gggh"), v) for v in range(400) if v % 7 and v % 31] + [("g", 1000)] * 3 + [("k", 5)]
+    df = spark.createDataFrame(values, "g string, v int")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    found = distinct_steps(counted_rows(df, ["g", "v"]), ["g"], ["v"], ["v"], offset, lambda near: near["v"] != F.col("v") + (-offset)).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    wanted = []
+    for group in "ghk":
+        members = sorted(v for g, v in values if g == group)
+        wanted += [(group, v, members[i - offset]) for i, v in enumerate(members) if 0 <= i - offset < len(members) and members[i - offset] != v - offset]
+    assert sorted((r.g, r.v, r.near.v) for r in found for _ in range(r.copies)) == sorted(wanted)
+
+
+def test_failing_steps_write_nothing(spark, monkeypatch):
+    """One plan: no copy of the table, and no read of its own for the chunk ends."""
+    monkeypatch.setattr(neighbours, "materialise", None)
+    df = spark.range(100).selectExpr("id % 3 AS g", "id AS v")
+    assert distinct_steps(counted_rows(df, ["g", "v"]), ["g"], ["v"], ["v"], 1, lambda near: near["v"] != F.col("v") - 3).count() == 0
+
+
 def test_repeat_rows(spark):
     df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 0), ("d", 10)], "k string, n bigint")
     counts = {row.k: row["count"] for row in repeat_rows(df, "n", block=3).groupBy("k").count().collect()}

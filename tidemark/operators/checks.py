@@ -29,7 +29,7 @@ from tidemark.functions.dates import check_unit, shift
 from tidemark.functions.keys import slug
 from tidemark.operators.compare import COUNT_A, COUNT_B, side_counts
 from tidemark.operators.copies import repeat_rows
-from tidemark.operators.neighbours import distinct_steps
+from tidemark.operators.neighbours import counted_rows, distinct_steps
 from tidemark.operators.reshape import filtered_columns
 
 # Types that a hash aggregation can hold a minimum and maximum of.
@@ -202,11 +202,14 @@ def sequential_values(
 ) -> DataFrame:
     """Rows that do not follow their predecessor by ``interval``; the first row is exempt."""
     group_by = list(group_by)
-    steps = distinct_steps(_rows(df, where), group_by, [column], [column], 1).drop("outer")
-    previous = F.col("near")[column]
-    expected = shift(datepart, interval, previous) if datepart else previous + interval
-    failing = steps.filter(~(F.col(column) == expected))
-    named = failing.withColumn(f"previous_{slug(column)}", previous).drop("near")
+
+    def fails(near: Column) -> Column:
+        previous = near[column]
+        return ~(F.col(column) == (shift(datepart, interval, previous) if datepart else previous + interval))
+
+    counted = counted_rows(_rows(df, where), [*group_by, column])
+    failing = distinct_steps(counted, group_by, [column], [column], 1, fails).drop("outer")
+    named = failing.withColumn(f"previous_{slug(column)}", F.col("near")[column]).drop("near")
     return repeat_rows(named, "copies")
 
 
@@ -238,21 +241,25 @@ def mutually_exclusive_ranges(
         *groups, _expression(lower_bound).alias("lower_bound"), _expression(upper_bound).alias("upper_bound")
     )
     keys = ranges.columns[: len(groups)]
-    steps = distinct_steps(ranges, keys, ["lower_bound", "upper_bound"], ["lower_bound"], -1)
+    counted = counted_rows(ranges, [*keys, "lower_bound", "upper_bound"])
 
     lower, upper, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
-    ordered = lower <= upper if zero_length_range_allowed else lower < upper
+    ordered = F.coalesce(lower <= upper if zero_length_range_allowed else lower < upper, F.lit(False))
     length_flag, gap_flag = f"lower_bound_{length_words}_upper_bound", f"upper_bound_{gap_words}_next_lower_bound"
-    # A range without a following lower bound ends its group, unless it lacks a bound itself, which fails the length rule anyway.
-    judged = (
-        steps.withColumn("next_lower_bound", F.col("near")["lower_bound"])
-        .withColumn(length_flag, F.coalesce(ordered, F.lit(False)))
-        .withColumn(gap_flag, F.coalesce(fits(upper, following), following.isNull() & lower.isNotNull(), F.lit(False)))
-        .filter(~(F.col(length_flag) & F.col(gap_flag)))
-        .drop("near")
-    )
-    # Which record is last matters for failing rows only, so it is looked up for their groups.
-    top = ranges.groupBy(*keys).agg(F.max(F.struct("lower_bound", "upper_bound")).alias("top"))
+
+    def in_step(next_bound: Column) -> Column:
+        # A range without a following lower bound ends its group, unless it lacks a bound itself, which fails the length rule anyway.
+        return F.coalesce(fits(upper, next_bound), next_bound.isNull() & lower.isNotNull(), F.lit(False))
+
+    def fails(near: Column) -> Column:
+        return ~(ordered & in_step(near["lower_bound"]))
+
+    steps = distinct_steps(counted, keys, ["lower_bound", "upper_bound"], ["lower_bound"], -1, fails)
+    judged = steps.withColumn("next_lower_bound", F.col("near")["lower_bound"]).withColumn(length_flag, ordered).drop("near")
+    # Which record is last matters for failing rows only. It is found among the counted rows: the counts are asked for here too, so
+    # that both sides share one aggregation of the input.
+    top = counted.groupBy(*keys).agg(F.max(F.struct("lower_bound", "upper_bound")).alias("top"), F.sum("__count").alias("__rows"))
+    top = top.filter("__rows > 0").drop("__rows")
     if keys:
         same = reduce(lambda a, b: a & b, [F.col(f"judged.{key}").eqNullSafe(F.col(f"tops.{key}")) for key in keys])
         judged = judged.alias("judged").join(top.alias("tops"), same).select("judged.*", "top")

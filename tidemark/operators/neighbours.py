@@ -15,6 +15,8 @@ from tidemark.session import materialise
 
 # Edge rows that may be broadcast; with more of them the join is left to Spark.
 BROADCAST_EDGES = 200_000
+# Groups that failing rows are spread over.
+SPREAD = 1 << 16
 
 
 def add_neighbour(df: DataFrame, name: str, columns, order_by, partition_by=(), offset: int = 1, split: bool = True) -> DataFrame:
@@ -66,20 +68,44 @@ def lag_columns(df: DataFrame, columns, order_by, partition_by=(), n: int = 1, s
     return shifted.select(*df.columns, *[F.col("__previous")[name].alias(f"{name}_lag{n}") for name in columns])
 
 
-def distinct_steps(df: DataFrame, keys, order_columns, columns, offset: int) -> DataFrame:
-    """``keys`` and ``order_columns`` of every row with its neighbour, repeats counted.
+def counted_rows(df: DataFrame, columns) -> DataFrame:
+    """Distinct rows of ``columns`` with their number in ``__count``; a value that fills a third of the table is one row here."""
+    return df.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("__count"))
 
-    Adds struct ``near``, ``copies`` (how many rows stand behind this one) and ``outer`` (whether the neighbour differs). Equal rows are
-    counted before the neighbour is looked up, so a value that fills a third of the table is one row here.
+
+def distinct_steps(counted: DataFrame, keys, order_columns, columns, offset: int, fails=None) -> DataFrame:
+    """Each row of ``counted`` (see ``counted_rows``) next to its neighbour one place back (``offset`` 1) or ahead (-1), repeats counted.
+
+    Adds struct ``near``, ``copies`` (how many rows stand behind this one) and ``outer`` (whether the neighbour differs). With ``fails``, a function
+    from the neighbour to a condition, only failing rows are returned.
+
+    The rows are cut into sorted chunks. A chunk settles all of its rows but one, and passes on those that fail and a summary: its first and last
+    row. The summaries, two rows per chunk, settle the rest in their order. One plan without a copy of the table; groups may be of any size.
     """
+    if offset not in (1, -1):
+        raise ValueError("offset must be 1 or -1")
     keys, order_columns = list(keys), list(order_columns)
     order = [F.col(name).asc_nulls_last() for name in order_columns]
-    counted = df.select(*keys, *order_columns).groupBy(*keys, *order_columns).agg(F.count(F.lit(1)).alias("__count"))
-    stepped = add_neighbour(counted, "__next", columns, order, keys, offset)
+    fails = fails or (lambda near: F.lit(True))
+    ranged = counted.repartitionByRange(*keys, *order).withColumn("__chunk", F.spark_partition_id())
+    chunk = Window.partitionBy("__chunk").orderBy(*keys, *order)
+    own, group = F.struct(*columns), F.struct(*keys) if keys else F.lit(0)
+    carried = F.struct(group.alias("group"), own.alias("row"))
+    position, size = F.row_number().over(chunk), F.count(F.lit(1)).over(Window.partitionBy("__chunk"))
+    placed = ranged.select("*", position.alias("__position"), size.alias("__size"), F.lag(carried, offset).over(chunk).alias("__near"))
+
+    ends = (F.col("__position") == 1) | (F.col("__position") == F.col("__size"))
+    lacking = F.col("__position") == (1 if offset > 0 else F.col("__size"))
+    near = F.when(F.col("__near")["group"].eqNullSafe(group), F.col("__near")["row"])
+    kept = placed.filter(ends | fails(near) | ((F.col("__count") > 1) & fails(own)))
+    # The ends of all chunks meet in one group; other failing rows have no part in that and are spread.
+    meeting = F.when(ends, 0).otherwise(1 + F.pmod(F.xxhash64(*keys, *order_columns), F.lit(SPREAD)))
+    across = F.lag(carried, offset).over(Window.partitionBy(meeting).orderBy("__chunk", "__position"))
+    whole = kept.withColumn("__across", across).withColumn("__near", F.when(lacking, F.col("__across")).otherwise(F.col("__near")))
+
     # Of n equal rows one borders on another value, the rest border on each other.
-    own = F.struct(*columns)
-    one = F.lit(1).cast("bigint")
-    edge = F.struct(F.col("__next").alias("near"), one.alias("copies"), F.lit(True).alias("outer"))
+    edge = F.struct(near.alias("near"), F.lit(1).cast("bigint").alias("copies"), F.lit(True).alias("outer"))
     inner = F.struct(own.alias("near"), (F.col("__count") - 1).alias("copies"), F.lit(False).alias("outer"))
     sides = F.explode(F.when(F.col("__count") > 1, F.array(edge, inner)).otherwise(F.array(edge)))
-    return stepped.withColumn("__side", sides).select(*keys, *order_columns, "__side.near", "__side.copies", "__side.outer")
+    stepped = whole.withColumn("__side", sides).select(*keys, *order_columns, "__side.near", "__side.copies", "__side.outer")
+    return stepped.filter(fails(F.col("near")))
