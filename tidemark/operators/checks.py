@@ -27,7 +27,7 @@ from pyspark.sql.types import (
 from tidemark.functions._columns import as_column, as_list, as_predicate
 from tidemark.functions.dates import check_unit, shift
 from tidemark.functions.keys import slug
-from tidemark.operators.compare import COUNT_A, COUNT_B, side_counts
+from tidemark.operators.compare import COUNT_A, COUNT_B, only_differing, side_counts
 from tidemark.operators.copies import repeat_rows
 from tidemark.operators.neighbours import counted_rows, distinct_steps
 from tidemark.operators.reshape import filtered_columns
@@ -336,10 +336,12 @@ def equality(
     precision: int | None = None,
     multiset: bool = False,
     where=None,
+    digests: bool = False,
 ) -> DataFrame:
     """Rows found on one side only, labelled by side.
 
-    Repeats are ignored unless ``multiset`` is set. ``precision`` rounds fractional numbers first.
+    Repeats are ignored unless ``multiset`` is set. ``precision`` rounds fractional numbers first. ``digests`` is for tables that are expected to be
+    equal: parts of both are first compared by digest, and only rows of parts that differ are shuffled; equal tables shuffle no row.
     """
     if compare_columns and exclude_columns:
         raise ValueError("give either compare_columns or exclude_columns, not both")
@@ -355,9 +357,11 @@ def equality(
     def shaped(side: DataFrame) -> DataFrame:
         return side.select(*[_rounded(side, name, precision).alias(name) for name in columns])
 
-    counts = side_counts(shaped(rows), shaped(compare))
+    sides = shaped(rows), shaped(compare)
+    counts = side_counts(*(only_differing(*sides) if digests else sides))
     a, b = F.col(COUNT_A), F.col(COUNT_B)
     label = F.when(a > b, "a_minus_b").otherwise("b_minus_a").alias("which_diff")
+    columns = [F.col(f"`{name}`") for name in columns]
     if multiset:
         surplus = counts.filter(a != b).select(label, *columns, F.abs(a - b).alias("__copies"))
         return repeat_rows(surplus, "__copies")

@@ -16,7 +16,7 @@ def repeat_rows(df: DataFrame, copies: str, block: int = BLOCK) -> DataFrame:
     """
     if copies not in df.columns:
         return df
-    columns = [name for name in df.columns if name != copies]
+    columns = [f"`{name}`" for name in df.columns if name != copies]
     repeated = F.explode(F.array_repeat(F.lit(True), F.col(copies).cast("int")))
     few = df.filter(F.col(copies).between(1, block)).withColumn("__copy", repeated)
     last_block = F.expr(f"(`{copies}` - 1) div {block}")

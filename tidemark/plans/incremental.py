@@ -13,7 +13,7 @@ and marts whose update did not finish are built anew from the observations.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +32,7 @@ from tidemark.plans.marts import (
 )
 from tidemark.plans.silver import LOAD_COLUMNS, OBSERVATION_COLUMNS, OBSERVATION_KEY, YOY_KEYS, harmonise, newest_observations, union_series, yoy
 from tidemark.session import materialise, remove_path
+from tidemark.sources.evolution import parts, read_parts
 from tidemark.sources.landing import path_exists
 from tidemark.sources.summaries import folder_of_row, partition_files
 from tidemark.sources.tables import apply_changes, find_changes, load, publish, table_exists, write_partitioned
@@ -51,21 +52,22 @@ def _ledger(base_dir: str) -> str:
     return f"{base_dir}/silver/ledger"
 
 
-def new_files(spark: SparkSession, path: str, base_dir: str) -> list[str]:
-    """The files of a bronze table that no finished run has read."""
-    if not path_exists(spark, path):
-        return []
-    listed = {f"{folder}/{name}" for folder, names in partition_files(spark, path).items() for name in names}
+def new_files(spark: SparkSession, path: str, base_dir: str) -> dict[str, list[str]]:
+    """The files of a bronze table that no finished run has read, by the part of the table they lie in."""
+    read = set()
     if path_exists(spark, f"{_ledger(base_dir)}/_SUCCESS"):
         # The driver holds the list of files in any case.
-        listed -= {row.file for row in spark.read.parquet(_ledger(base_dir)).select("file").collect()}
-    return sorted(listed)
+        read = {row.file for row in spark.read.parquet(_ledger(base_dir)).select("file").collect()}
+    found = {}
+    for part in parts(spark, path):
+        listed = {f"{folder}/{name}" for folder, names in partition_files(spark, part).items() for name in names}
+        found[part] = sorted(listed - read)
+    return found
 
 
-def new_rows(spark: SparkSession, files: Iterable[str]) -> DataFrame | None:
-    """The rows of some bronze files over the union of their columns, or None without any."""
-    files = list(files)
-    rows = spark.read.option("mergeSchema", True).parquet(*files) if files else None
+def new_rows(spark: SparkSession, path: str, files: Mapping[str, list[str]]) -> DataFrame | None:
+    """The rows of some files of a bronze table, or None without any."""
+    rows = read_parts(spark, path, files) if any(files.values()) else None
     return None if rows is None or rows.isEmpty() else rows
 
 
@@ -134,7 +136,7 @@ def update_observations(spark: SparkSession, base_dir: str, tables: dict[str, st
     ``split`` and ``built_at`` as for ``silver``; a table keeps the ``strict`` that it was begun with.
     """
     files = {path: new_files(spark, path, base_dir) for path in tables}
-    found = {path: new_rows(spark, names) for path, names in files.items()}
+    found = {path: new_rows(spark, path, names) for path, names in files.items()}
     frames = [harmonise(rows, tables[path]) for path, rows in found.items() if rows is not None]
     seasons = update_newest(spark, base_dir, union_series(frames)) if frames else waiting_seasons(spark, base_dir)
     changes = None
@@ -146,7 +148,7 @@ def update_observations(spark: SparkSession, base_dir: str, tables: dict[str, st
         mark_marts(spark, base_dir)
         apply_changes(spark, observations_path, changes, [OBSERVATION_KEY], PARTITION_COLUMNS)
     remove_path(spark, _pending(base_dir))
-    read = [(name,) for names in files.values() for name in names]
+    read = [(name,) for by_part in files.values() for names in by_part.values() for name in names]
     if read:
         spark.createDataFrame(read, "file string").coalesce(1).write.mode("append").parquet(_ledger(base_dir))
     return changes

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tidemark.functions._columns import as_list
+from tidemark.sources.evolution import fitting_part, parts, read_parts
 
 MIN_LANDED_ROWS = 10
 # Quotes are doubled within quotes, and a quoted value may hold newlines. A file with such values can only be read
@@ -86,20 +87,20 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def append_bronze(df: DataFrame, path: str) -> int:
-    """Append to a bronze table and return the rows written. New columns are allowed."""
+    """Append to a bronze table and return the rows written. New columns are allowed, and columns of another type than before."""
     observed, rows = counted(df, "bronze_rows")
-    observed.write.mode("append").parquet(path)
+    observed.write.mode("append").parquet(fitting_part(df.sparkSession, path, df.schema))
     return rows.get["rows"]
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """A bronze table over the union of the columns that its appends had."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """A bronze table over the union of the columns that its appends had, each in the least type that holds all of its values."""
+    return read_parts(spark, path)
 
 
 def load_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """A bronze table, or None if it is absent or has no rows."""
-    if not path_exists(spark, path):
+    if not parts(spark, path):
         return None
     try:
         df = read_bronze(spark, path)

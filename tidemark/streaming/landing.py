@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.sources.landing import append_bronze, path_exists, read_bronze, read_series_csv, stamp
+from tidemark.sources.evolution import parts
+from tidemark.sources.landing import append_bronze, read_bronze, read_series_csv, stamp
 from tidemark.sources.tables import upsert
 
 # Files in one batch: the most whose names come to the driver at once.
@@ -47,7 +48,7 @@ def append_new(files: DataFrame, bronze_path: str, schema: StructType, source: s
         rows, name = _rows(batch, schema, source), f"{checkpoint}#{number}"
         if rows is None:
             return
-        if path_exists(batch.sparkSession, bronze_path):
+        if parts(batch.sparkSession, bronze_path):
             stored = read_bronze(batch.sparkSession, bronze_path)
             if "_batch" in stored.columns and not stored.filter(F.col("_batch") == name).isEmpty():
                 return

@@ -343,6 +343,22 @@ def check_equality_multiset(spark, sf_dir):
     return checks.equality(a.drop("l_tax"), b, exclude_columns=["L_QUANTITY"], precision=2, multiset=True)
 
 
+@query("""
+WITH changed AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 1009 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+  FROM orders WHERE o_orderkey % 2003 <> 11),
+given AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders)
+SELECT 'a_minus_b' AS which_diff, * FROM (FROM given EXCEPT ALL FROM changed)
+UNION ALL SELECT 'b_minus_a', * FROM (FROM changed EXCEPT ALL FROM given)
+""")
+def check_equality_by_digests(spark, sf_dir):
+    """Two copies of a table, one of them with a few rows changed and a few missing."""
+    given = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    price = F.when(F.col("o_orderkey") % 1009 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    changed = given.filter("o_orderkey % 2003 <> 11").withColumn("o_totalprice", price)
+    return checks.equality(given, changed, multiset=True, digests=True)
+
+
 @query("""
 WITH expected AS (SELECT unnest(['p_partkey', 'p_name', 'p_brand', 'p_colour']) AS name),
 actual AS (SELECT column_name AS name FROM (DESCRIBE part))
