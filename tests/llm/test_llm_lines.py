@@ -104,3 +104,62 @@ def test_the_largest_remaining_document_keeps_the_line(documents):
     kept = lines.cleaned(left, store.dropped(lines.line_keys(left)))
     assert sorted((r.doc_id, r.n_dropped) for r in kept.collect()) == [(1, 1), (2, 1), (3, 1), (4, 0)]
     assert store.delete(docs.filter("doc_id > 2").select("doc_id")).dropped(postings).count() == 0
+
+
+def contradictions(store):
+    """Stored keys that the filters of their shard no longer show."""
+    tables = [(r.shard, np.frombuffer(r.slots, np.uint16).reshape(-1, lines.SLOTS)) for r in store.filters.collect()]
+    refs = [(r.shard, r.hi, r.lo) for r in store.refs.collect()]
+    lost = 0
+    for shard in {shard for shard, _, _ in refs}:
+        hi, lo = (np.array([r[i] for r in refs if r[0] == shard], np.int64).view(np.uint64) for i in (1, 2))
+        seen = np.zeros(len(hi), bool)
+        for at, table in tables:
+            if at == shard:
+                seen |= lines.probe(table, hi, lo)
+        lost += int((~seen).sum())
+    return lost
+
+
+@pytest.mark.parametrize("sizes", [(300, 30_000), (30_000, 300)])
+def test_segments_of_unequal_size(documents, sizes):
+    """Deleting takes fingerprints out of the segment that holds them, whichever is the larger, and no other key is lost by it."""
+    loads = [[(1000 * part + i, "\n".join(f"line {j} of document {i} in load {part}" for j in range(size // 30))) for i in range(30)] for part, size in enumerate(sizes)]
+    one = lines.LineStore().insert(lines.line_keys(documents(loads[0])))
+    both = one.insert(lines.line_keys(documents(loads[1])))
+    assert both.segments == 2 and contradictions(both) == 0
+    for part in (0, 1):
+        left = both.delete(documents([(doc_id, None) for doc_id, _ in loads[part]]))
+        assert contradictions(left) == 0
+        assert state(left) == state(lines.LineStore().insert(lines.line_keys(documents(loads[1 - part]))))
+        again = left.insert(lines.line_keys(documents(loads[part])))
+        assert state(again) == state(both) and contradictions(again) == 0
+
+
+def test_marks_are_removed_from_their_own_segment():
+    """Filters in any order: a key's step says which of them to change."""
+    hi, lo = np.random.default_rng(4).integers(0, 1 << 63, (2, 60_000)).astype(np.uint64)
+    parts = {0: slice(0, 3000), 1: slice(3000, 60_000)}
+    for order in ((0, 1), (1, 0)):
+        filters = lines.pa.Table.from_pylist(
+            [{"shard": 0, "step": s, "slots": lines.build_filter(hi[parts[s]], lo[parts[s]]).tobytes()} for s in order], lines._FILTER_TYPE
+        )
+        gone = {"hi": hi[parts[1]].view(np.int64), "lo": lo[parts[1]].view(np.int64), "step": np.ones(57_000, np.int32)}
+        tables = dict(zip(order, lines._tables(lines._removed(filters, lines.pa.table(gone)))))
+        assert lines.probe(tables[0], hi[parts[0]], lo[parts[0]]).all() and not tables[1].any()
+
+
+def test_shards_grow_and_segments_are_merged(documents, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 20)
+    monkeypatch.setattr(lines, "SEGMENTS", 3)
+    store, rows = lines.LineStore().insert(lines.line_keys(documents([]))), []
+    assert store.shards == 1
+    for turn in range(6):
+        more = [(100 * turn + i, "\n".join(f"line {j} of document {i} in turn {turn}" for j in range(4 if turn < 4 else 0))) for i in range(10)]
+        more.append((100 * turn + 99, f"one more line for turn {turn}"))
+        rows += more
+        store = store.insert(lines.line_keys(documents(more)))
+        assert contradictions(store) == 0 and store.segments <= 3 and store.refs.count() <= 2 * store.shards * 20
+    assert store.shards > 2
+    whole = lines.LineStore().insert(lines.line_keys(documents(rows)))
+    assert state(store)[:2] == state(whole)[:2]

@@ -6,6 +6,10 @@ their distinct keys: a miss is surely a new key and is appended without looking
 joined with them. Deleting documents takes their postings back, recounts the keys they held and removes keys nobody holds any more from
 the filters, so that the store is as if they had never been there. All three are written to the shared folder at each step.
 
+Each insert adds a segment to the filters of a shard. The counts of a key name the segment that holds its fingerprint, so that deleting it takes no
+other key's. When shards have come to hold twice ``SHARD_KEYS`` keys, or ``SEGMENTS`` segments, the filters are built anew from the counts, in more
+shards or as one segment.
+
 A key is the 128-bit BLAKE2b digest of the normalised line, as two numbers. Everything that meets in one task is a shard of
 distinct keys, about ``SHARD_KEYS`` of them; postings of a frequent line are only ever counted before the shuffle or joined.
 """
@@ -17,7 +21,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_batches, texts
@@ -26,6 +30,7 @@ from tidemark.session import materialise
 MIN_POINTS = 20
 MIN_DOCS = 3
 SHARD_KEYS = 250_000
+SEGMENTS = 8
 SLOTS = 4
 LOAD = 0.85
 KICKS = 500
@@ -158,10 +163,9 @@ def _probed(keys: pa.Table, filters: pa.Table) -> pa.Table:
 
 def _removed(filters: pa.Table, keys: pa.Table) -> pa.Table:
     hi, lo = _arrays(keys)
-    out = []
-    for table in _tables(filters):
-        found = remove(table, hi, lo)
-        hi, lo = hi[~found], lo[~found]
+    own, out = keys["step"].to_numpy(), []
+    for step, table in zip(filters["step"].to_pylist(), _tables(filters)):
+        remove(table, hi[own == step], lo[own == step])
         out.append(table.tobytes())
     return pa.table({"shard": filters["shard"], "step": filters["step"], "slots": out}, _FILTER_TYPE)
 
@@ -170,12 +174,17 @@ _FILTER_TYPE = pa.schema([("shard", pa.int32()), ("step", pa.int32()), ("slots",
 _FILTERS = "shard int, step int, slots binary"
 
 
+def _shard(shards: int) -> Column:
+    return F.pmod(F.xxhash64("hi", "lo"), F.lit(shards)).cast("int")
+
+
 @dataclass(frozen=True)
 class LineStore:
     """Line keys of the documents inserted so far. Every method returns a new store."""
 
     shards: int = 0
     step: int = 0
+    segments: int = 0
     postings: DataFrame | None = None
     refs: DataFrame | None = None
     filters: DataFrame | None = None
@@ -187,26 +196,39 @@ class LineStore:
         added = materialise(postings.distinct(), "postings")
         counted = materialise(added.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")), "counted")
         shards = self.shards or max(1, -(-counted.count() // SHARD_KEYS))
-        delta = counted.withColumn("shard", F.pmod(F.xxhash64("hi", "lo"), F.lit(shards)).cast("int"))
+        delta = counted.withColumn("shard", _shard(shards))
+        step = F.lit(self.step).alias("step")
         if self.filters is None:
-            refs = materialise(delta.select("shard", "hi", "lo", "n", "keeper"), "refs")
+            refs = materialise(delta.select("shard", "hi", "lo", "n", "keeper", step), "refs")
             fresh = refs
         else:
             probed = delta.groupBy("shard").cogroup(self.filters.groupBy("shard"))
             probed = materialise(probed.applyInArrow(_probed, "shard int, hi long, lo long, n long, keeper long, seen boolean"), "probed")
-            known = self.refs.select("hi", "lo", F.col("n").alias("old_n"), F.col("keeper").alias("old_keeper"))
+            known = self.refs.select("hi", "lo", F.col("n").alias("old_n"), F.col("keeper").alias("old_keeper"), "step")
             # Possible hits meet the exact counts; one without counts was a false positive and is new as well.
             looked_up = materialise(probed.filter("seen").join(known, ["hi", "lo"], "left"), "looked-up")
-            fresh = probed.filter("NOT seen").unionByName(looked_up.filter("old_n IS NULL").select(*probed.columns)).drop("seen")
+            fresh = probed.filter("NOT seen").unionByName(looked_up.filter("old_n IS NULL").select(*probed.columns))
+            fresh = fresh.select("shard", "hi", "lo", "n", "keeper", step)
             grown = looked_up.filter("old_n IS NOT NULL").select(
-                "shard", "hi", "lo", (F.col("n") + F.col("old_n")).alias("n"), F.greatest("keeper", "old_keeper").alias("keeper")
+                "shard", "hi", "lo", (F.col("n") + F.col("old_n")).alias("n"), F.greatest("keeper", "old_keeper").alias("keeper"), "step"
             )
             untouched = self.refs.join(grown.select("hi", "lo"), ["hi", "lo"], "left_anti").select(*grown.columns)
             refs = materialise(untouched.unionByName(grown).unionByName(fresh), "refs")
-        segments = fresh.withColumn("step", F.lit(self.step)).groupBy("shard").applyInArrow(_built, _FILTERS)
-        filters = segments if self.filters is None else self.filters.unionByName(segments)
         held = added if self.postings is None else self.postings.unionByName(added)
-        return replace(self, shards=shards, step=self.step + 1, postings=held, refs=refs, filters=materialise(filters, "filters"))
+        store = replace(self, shards=shards, step=self.step + 1, segments=self.segments + 1, postings=held, refs=refs)
+        keys = refs.count()
+        if self.filters is not None and (keys > 2 * shards * SHARD_KEYS or store.segments > SEGMENTS):
+            return store.rebuilt(max(shards, -(-keys // SHARD_KEYS)))
+        segments = fresh.groupBy("shard").applyInArrow(_built, _FILTERS)
+        filters = segments if self.filters is None else self.filters.unionByName(segments)
+        return replace(store, filters=materialise(filters, "filters"))
+
+    def rebuilt(self, shards: int) -> LineStore:
+        """The same store with its filters made anew from the counts: one segment in each of ``shards`` shards."""
+        refs = self.refs.select(_shard(shards).alias("shard"), "hi", "lo", "n", "keeper", F.lit(self.step).alias("step"))
+        refs = materialise(refs, "refs")
+        filters = materialise(refs.groupBy("shard").applyInArrow(_built, _FILTERS), "filters")
+        return replace(self, shards=shards, step=self.step + 1, segments=1, refs=refs, filters=filters)
 
     def delete(self, doc_ids: DataFrame) -> LineStore:
         """Take documents (a column doc_id) back out; unknown ids change nothing."""
@@ -214,8 +236,9 @@ class LineStore:
         held = materialise(self.postings.join(gone, "doc_id", "left_anti").select("hi", "lo", "doc_id"), "postings")
         touched = materialise(self.postings.join(gone, "doc_id", "left_semi").select("hi", "lo").distinct(), "touched")
         recounted = held.join(touched, ["hi", "lo"], "left_semi").groupBy("hi", "lo").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
-        recounted = materialise(recounted.withColumn("shard", F.pmod(F.xxhash64("hi", "lo"), F.lit(self.shards)).cast("int")), "recounted")
-        lost = touched.join(recounted, ["hi", "lo"], "left_anti").withColumn("shard", F.pmod(F.xxhash64("hi", "lo"), F.lit(self.shards)).cast("int"))
+        known = materialise(self.refs.join(touched, ["hi", "lo"], "left_semi").select("shard", "hi", "lo", "step"), "known")
+        recounted = materialise(known.join(recounted, ["hi", "lo"]).select("shard", "hi", "lo", "n", "keeper", "step"), "recounted")
+        lost = known.join(recounted, ["hi", "lo"], "left_anti").select("shard", "hi", "lo", "step")
         refs = self.refs.join(touched, ["hi", "lo"], "left_anti").unionByName(recounted)
         filters = self.filters.groupBy("shard").cogroup(lost.groupBy("shard")).applyInArrow(_removed, _FILTERS)
         return replace(self, step=self.step + 1, postings=held, refs=materialise(refs, "refs"), filters=materialise(filters, "filters"))
