@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import session
 from tidemark.sources import candidates, landing, payloads, schemas, tables
@@ -205,6 +206,13 @@ def test_values_with_newlines_quotes_and_nothing_survive_csv(spark, table, tmp_p
     assert rows(landing.landed_rows(spark, str(tmp_path))) == [("out.csv", 5)]
 
 
+def test_control_characters_are_values(spark, table, tmp_path, rows):
+    path = str(tmp_path / "control")
+    landing.write_csv(table("a string, b int", ("\u0001", 1), ("", 2), (None, 3)), path)
+    found = landing.read_series_csv(spark, path, StructType.fromDDL("a string, b int"))
+    assert rows(found) == [(None, 3), ("", 2), ("\u0001", 1)]
+
+
 def test_the_gate_counts_records_of_files_that_parse(spark, tmp_path, rows):
     write(tmp_path / "a_quoted.csv", 'k,v\n"x\ny",1\n"z",2\n')
     write(tmp_path / "b_ragged.csv", "k,v\n" + "1,2\n" * 20 + "1,2,\n")

@@ -28,7 +28,12 @@ def build_session(app_name: str = "tidemark", master: str | None = None, conf: d
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or one below the warehouse, which a cluster shares as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_tidemark").rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share; the warehouse is a local path")
+    return f"{warehouse.rstrip('/')}/_tidemark"
 
 
 def _application_dir(spark: SparkSession) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 
@@ -18,7 +19,7 @@ MIN_LANDED_ROWS = 10
 # from its start, so each file is one task: large tables land as many files.
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
 # Stands for a quoted empty value while reading, since an empty field without quotes is null.
-_EMPTY = "\u0001"
+_EMPTY = f"\u0001{uuid.uuid4().hex}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -71,7 +72,8 @@ def read_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Files that the readers above read back as they were, also values with quotes and newlines."""
-    df.write.csv(path, header=True, escape='"', mode=mode)
+    # Writers take control characters at the ends of a value for white space, and trim that unless told otherwise.
+    df.write.csv(path, header=True, escape='"', mode=mode, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def stamp(df: DataFrame, source: str, loaded_at=None) -> DataFrame:

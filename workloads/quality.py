@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks, suite
+from tidemark.operators.ledger import run_recorded_checks
+from tidemark.session import scratch_path
+from tidemark.sources.tables import publish, write_partitioned
 from workloads.inputs import table
 from workloads.registry import query
 
@@ -427,3 +430,26 @@ def check_rows_in_one_scan(spark, sf_dir):
             suite.RowCheck("flag_filled", checks.is_blank("l_returnflag")),
         ],
     )
+
+
+@query("""
+SELECT check_name, failures, CASE WHEN failures <> 0 THEN 'fail' ELSE 'pass' END AS status FROM (
+  SELECT 'price_in_range' AS check_name, (SELECT count(*) FROM orders WHERE NOT (o_totalprice <= 250000) AND o_orderstatus <> 'P') AS failures
+  UNION ALL SELECT 'customer_not_null', (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 3 = 0)
+  UNION ALL SELECT 'key_not_null', 0)
+""")
+def check_ledger(spark, sf_dir):
+    """A report on whole orders, and one after a partition has been written anew: the second scans that partition only."""
+    path, record = scratch_path(spark, "ledger-table"), scratch_path(spark, "ledger")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    row_checks = [
+        suite.RowCheck("price_in_range", checks.is_out_of_range("o_totalprice", max_value=250000)),
+        suite.RowCheck("customer_not_null", checks.is_missing("o_custkey")),
+        suite.RowCheck("key_not_null", checks.is_missing("o_orderkey")),
+    ]
+    write_partitioned(orders, path, ["o_orderstatus"])
+    run_recorded_checks(spark, path, record, row_checks, orders.schema)
+    customer = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("o_custkey")
+    partly = orders.filter("o_orderstatus = 'P'").select("o_orderkey", customer, F.lit(0.0).alias("o_totalprice"), "o_orderstatus")
+    publish(partly, path, ["o_orderstatus"])
+    return run_recorded_checks(spark, path, record, row_checks, orders.schema)
