@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from test_llm_mixing import flattened
 from test_llm_ring import walk
 from test_llm_simhash import groups, plain_fingerprint
 from test_llm_winnow import judged
@@ -19,7 +20,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def plain_mix(rows):
-    axes = [{mixing.OTHER: 0.0, **a} for a in (mixing.SOURCES, mixing.LANGUAGES, mixing.TOPICS)]
+    sources = flattened((r.source, len(r.text.split())) for r in rows)
+    axes = [{mixing.OTHER: 0.0, **a} for a in (sources, mixing.LANGUAGES, mixing.TOPICS)]
 
     def topic(text):
         checks = {"table": " | " in text, "shouting": "!! " in text, "markup": any(x * 3 in text for x in "#$%&*"), "license": "licen" in text.lower()}

@@ -4,19 +4,23 @@ Documents fall into cells by source, language and topic. The tokens of the cells
 each language and each topic, again and again, until all shares hold at once. No cell may give more tokens than it has. A document is then sampled
 with the probability that its cell asks for, tokens wanted over tokens there, so that the expected sample meets the targets.
 
-Cells are the combinations of the listed values (and one for all others), so their number is bounded by the targets and only their totals
-reach the driver. Sampling compares the probability with a hash of the row, which is the same on every run.
+Targets for sources are given, or made from the sources found: their shares of all tokens, flattened by a power below one, so that a source
+of a third of all tokens gives way to the others. Cells are the combinations of the listed values (and one for all others), so their number is
+bounded by the targets and only their totals reach the driver. Sampling compares the probability with a hash of the row, which is the same on every run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from itertools import product
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name, quoted
+from tidemark.session import materialise
+
 OTHER = "other"
 ROUNDS = 500
 TOLERANCE = 1e-9
@@ -24,7 +28,9 @@ BUDGET = 0.5
 SEED = 17
 LANGUAGES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.12, OTHER: 0.03}
 TOPICS = {"prose": 0.85, "table": 0.04, "shouting": 0.02, "markup": 0.04, "license": 0.05}
-SOURCES = {"src0": 0.2, **{f"src{n}": 0.78 / 19 for n in range(1, 20)}, OTHER: 0.02}
+# Sources found that have a target of their own, those with the most tokens; the rest are one value of the axis.
+MOST_SOURCES = 256
+FLATTEN = 0.5
 
 
 def topic_of(text: Column) -> Column:
@@ -86,66 +92,98 @@ def _within(wanted: np.ndarray, tokens: np.ndarray, budget: float) -> np.ndarray
 
 
 class Mix:
-    """Target shares by axis (source, lang, topic), each a mapping from value to share; ``other`` stands for values not listed, nulls included."""
-
-    def __init__(self, sources: Mapping[str, float], languages: Mapping[str, float], topics: Mapping[str, float], budget: float = BUDGET):
-        self.axes = [{OTHER: 0.0, **axis} for axis in (sources, languages, topics)]
-        self.budget = budget
-
-    def cell(self, source: Column, lang: Column, topic: Column) -> Column:
-        """Name of the cell of a row."""
-        names = []
-        for value, axis in zip((source, lang, topic), self.axes):
-            names.append(F.when(value.isin(*axis), value).otherwise(OTHER))
-        return F.concat_ws("\x1f", *names)
-
-    def probabilities(self, docs: DataFrame, topic: Column) -> dict[str, float]:
-        """Sampling probability of each cell that has documents; 1 for cells without tokens."""
-        rows = docs.groupBy(self.cell(docs["source"], docs["lang"], topic).alias("cell")).agg(F.sum(token_count(docs["text"])).alias("tokens"))
+    """Target shares by axis (source, lang, topic), each a mapping from value to share; ``other`` stands for values not listed, nulls included.
+
+    Without ``sources`` they are the flattened shares of the ``MOST_SOURCES`` largest sources found, and of all others together.
+    """
+
+    def __init__(
+        self,
+        sources: Mapping[str, float] | None = None,
+        languages: Mapping[str, float] = LANGUAGES,
+        topics: Mapping[str, float] = TOPICS,
+        budget: float = BUDGET,
+    ):
+        self.sources, self.languages, self.topics, self.budget = sources, languages, topics, budget
+
+    def axes(self, totals: DataFrame) -> list[dict[str, float]]:
+        """Targets of each axis. ``totals`` has source and tokens."""
+        sources = found_targets(totals) if self.sources is None else self.sources
+        return [{OTHER: 0.0, **axis} for axis in (sources, self.languages, self.topics)]
+
+    def probabilities(self, totals: DataFrame) -> tuple[list[dict[str, float]], DataFrame]:
+        """The targets, and (cell, probability) for each cell that has documents; 1 for cells without tokens. ``totals``: source, lang, topic, tokens."""
+        axes = self.axes(totals)
+        rows = totals.groupBy(cell_of(axes, *map(F.col, ("source", "lang", "topic"))).alias("cell")).agg(F.sum("tokens").alias("tokens"))
         found = {row.cell: row.tokens for row in rows.collect()}  # one row per combination of listed values at most
-        names = list(product(*self.axes))
-        tokens = np.array([float(found.get("\x1f".join(name), 0)) for name in names]).reshape([len(axis) for axis in self.axes])
-        wanted = rake(tokens, [np.array(list(axis.values())) for axis in self.axes], self.budget * tokens.sum())
+        names = list(product(*axes))
+        tokens = np.array([float(found.get(_name(name), 0)) for name in names]).reshape([len(axis) for axis in axes])
+        wanted = rake(tokens, [np.array(list(axis.values())) for axis in axes], self.budget * tokens.sum())
         share = np.divide(wanted, tokens, out=np.ones_like(tokens), where=tokens > 0)
-        return {cell: float(p) for cell, p in zip(map("\x1f".join, names), share.ravel()) if cell in found}
+        chosen = [(cell, float(p)) for cell, p in zip(map(_name, names), share.ravel()) if cell in found]
+        return axes, totals.sparkSession.createDataFrame(chosen, "cell string, probability double")
 
 
-def _chance(docs: DataFrame) -> Column:
-    """Uniform in [0, 1) from the id and the text; equal rows are sampled together."""
-    return F.pmod(F.xxhash64(F.lit(SEED), docs["doc_id"], docs["text"]), F.lit(1 << 53)) / float(1 << 53)
+def found_targets(totals: DataFrame) -> dict[str, float]:
+    """Shares of the largest sources found, by tokens to the power ``FLATTEN``, and of the others together."""
+    sources = totals.filter("source IS NOT NULL").groupBy("source").agg(F.sum("tokens").alias("tokens"))
+    largest = sources.orderBy(F.desc("tokens"), "source").limit(MOST_SOURCES).collect()
+    weights = {row.source: float(row.tokens) ** FLATTEN for row in largest if row.source != OTHER and row.tokens}
+    everything = totals.agg(F.sum("tokens")).first()[0] or 0
+    rest = max(0.0, everything - sum(row.tokens for row in largest if row.source in weights))
+    weights[OTHER] = rest**FLATTEN
+    total = sum(weights.values())
+    return {source: weight / total for source, weight in weights.items()} if total else {OTHER: 1.0}
 
 
-def _lookup(cells: dict[str, float], cell: Column) -> Column:
-    if not cells:
-        return F.lit(1.0)
-    return F.try_element_at(F.create_map(*(F.lit(x) for pair in cells.items() for x in pair)), cell)
+def _name(values) -> str:
+    return "\x1f".join(values)
 
 
-def mixed(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, lang, topic, n_tokens, probability, sampled.
+def cell_of(axes, source: Column, lang: Column, topic: Column) -> Column:
+    """Name of the cell of a row."""
+    return F.concat_ws("\x1f", *[F.when(value.isin(*axis), value).otherwise(OTHER) for value, axis in zip((source, lang, topic), axes)])
 
-    Nulls and values that the targets do not list form ``other``. Null and empty texts have no tokens and the probability of their cell.
-    Only doc_id, text, source and lang are read; repeated rows are sampled together; an empty table gives no rows.
-    """
-    mix = mix or Mix(SOURCES, LANGUAGES, TOPICS)
-    topic = topic_of(docs["text"])
-    cells = mix.probabilities(docs, topic)
-    probability = _lookup(cells, mix.cell(docs["source"], docs["lang"], topic))
-    rows = docs.select(
+
+def _totals(rows: DataFrame) -> DataFrame:
+    """(source, lang, topic, tokens), written aside: read for the targets and for the cells."""
+    return materialise(rows.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")), "totals")
+
+
+def _chance(docs: DataFrame) -> Column:
+    """Uniform in [0, 1) from the id and the text; equal rows are sampled together."""
+    return F.pmod(F.xxhash64(F.lit(SEED), docs["doc_id"], docs["text"]), F.lit(1 << 53)) / float(1 << 53)
+
+
+def _described(docs: DataFrame, topic: Callable[[Column], Column]) -> DataFrame:
+    return docs.select(
         docs["doc_id"].alias("doc_id"),
         docs["source"].alias("source"),
         docs["lang"].alias("lang"),
-        topic.alias("topic"),
+        topic(docs["text"]).alias("topic"),
         token_count(docs["text"]).alias("n_tokens"),
-        probability.alias("probability"),
         _chance(docs).alias("chance"),
     )
-    return rows.withColumn("sampled", F.col("chance") < F.col("probability")).drop("chance")
 
 
-def sampled(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
+def mixed(docs: DataFrame, mix: Mix | None = None, topic: Callable[[Column], Column] = topic_of) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, lang, topic, n_tokens, probability, sampled.
+
+    Nulls and values that the targets do not list form ``other``. Null and empty texts have no tokens and the probability of their cell.
+    Only doc_id, text, source and lang are read, once; repeated rows are sampled together; an empty table gives no rows.
+    """
+    rows = materialise(_described(docs, topic), "described")
+    axes, cells = (mix or Mix()).probabilities(_totals(rows))
+    keyed = rows.withColumn("cell", cell_of(axes, F.col("source"), F.col("lang"), F.col("topic")))
+    found = keyed.join(F.broadcast(cells), "cell")  # a row per combination of listed values
+    sampled_ = (F.col("chance") < F.col("probability")).alias("sampled")
+    return found.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", sampled_)
+
+
+def sampled(docs: DataFrame, mix: Mix | None = None, topic: Callable[[Column], Column] = topic_of) -> DataFrame:
     """The sampled rows of ``docs``, all columns kept."""
-    mix = mix or Mix(SOURCES, LANGUAGES, TOPICS)
-    topic = topic_of(docs["text"])
-    cells = mix.probabilities(docs, topic)
-    return docs.filter(_chance(docs) < _lookup(cells, mix.cell(docs["source"], docs["lang"], topic)))
+    axes, cells = (mix or Mix()).probabilities(_totals(_described(docs, topic).select("source", "lang", "topic", "n_tokens")))
+    cell, probability = free_name(docs, "cell"), free_name(docs, "probability")
+    keyed = docs.withColumn(cell, cell_of(axes, docs["source"], docs["lang"], topic(docs["text"])))
+    found = keyed.join(F.broadcast(cells.toDF(cell, probability)), cell)  # a row per combination of listed values
+    return found.filter(_chance(docs) < F.col(probability)).select(*map(quoted, docs.columns))
