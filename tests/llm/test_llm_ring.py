@@ -33,7 +33,7 @@ def walk(rows, shards, replicas, splits=16):
     for doc_id, crc, size in rows:
         cell = spark_hash(doc_id) % ring.CELLS
         arc = next((i for i, (at, _) in enumerate(points) if at >= cell), 0)
-        part = spark_hash("part", doc_id) % splits
+        part = spark_hash("part", doc_id, crc, size) % splits
         arcs[arc].append((part, (doc_id is not None, doc_id or 0), crc, size))
     room = {s: len(rows) // shards + (s < len(rows) % shards) for s in range(shards)}
     placed, over, found = Counter(), defaultdict(list), defaultdict(list)
@@ -97,3 +97,13 @@ def test_no_python_and_no_unbounded_window(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = ring.shard_documents(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_a_repeated_id_is_numbered_by_several_tasks(documents):
+    """Half of all rows have one id: they go to many parts, and still to shards of equal size."""
+    rows = [(7, f"text {i}") for i in range(2000)] + [(i + 100, "other") for i in range(2000)]
+    found = ring.shard_documents(documents(rows)).collect()
+    sizes = Counter(r.shard for r in found)
+    assert max(sizes.values()) - min(sizes.values()) <= 1 and len(found) == 4000
+    parts = {spark_hash("part", 7, r.text_crc32, r.size) % 16 for r in found if r.doc_id == 7}
+    assert len(parts) == 16

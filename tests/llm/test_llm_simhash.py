@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import common, simhash
 from tidemark.llm.components import components
 
 
@@ -126,3 +126,13 @@ def test_components_of_chains_and_stars(spark):
     found = {r.node: r.component for r in components(df, "a", "b").collect()}
     assert found == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(80)}, 2000: 1000}
     assert components(df.filter(F.lit(False)), "a", "b").collect() == []
+
+
+@pytest.mark.parametrize("rows", [0, 1_000_000])
+def test_representatives_by_either_join(documents, monkeypatch, rows):
+    """One row of each group stays, repeated rows included, whether what goes is broadcast or not."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
+    texts = [f"text {i} of several words that differ from one another {i * i}" for i in range(12)]
+    given = [(i, texts[i % 12]) for i in range(30)] + [(0, texts[0])] * 3 + [(3, texts[3])] + [(None, texts[5])] * 2 + [(40, None), (40, None), (41, "")]
+    kept = sorted((r.doc_id, r.text) for r in simhash.representatives(documents(given), 0).collect())
+    assert kept == sorted([*((i, texts[i]) for i in range(12)), (40, None)])

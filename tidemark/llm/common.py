@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.session import materialise
+
 # Bytes in one Arrow batch: a Python worker holds one batch at a time.
 BATCH_BYTES = 4 << 20
+# Rows of two numbers that are broadcast: some 50 MB.
+BROADCAST_ROWS = 1_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +52,19 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def known_rows(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and text are (``left_semi``) or are not (``left_anti``) in ``found`` (doc_id, text_key: XXH64 of the text).
+
+    ``found`` is written aside and counted first. Up to ``BROADCAST_ROWS`` rows it goes to the texts; beyond that both sides are shuffled.
+    """
+    key_id, key_text = free_name(docs, "found_id"), free_name(docs, "found_text")
+    found = materialise(found.select("doc_id", "text_key").distinct().toDF(key_id, key_text), "found")
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    same = docs["doc_id"].eqNullSafe(F.col(key_id)) & F.xxhash64(docs["text"]).eqNullSafe(F.col(key_text))
+    return docs.join(found, same, how)
+
+
 def only_columns(df: DataFrame, **columns: str) -> DataFrame:
     """``new=old`` columns of a table whose other columns do not matter."""
     return df.select(*(df[old].alias(new) for new, old in columns.items()))

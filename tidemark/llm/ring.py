@@ -17,6 +17,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 CELLS = 1 << 16
 
 
@@ -146,17 +148,18 @@ def shard_rows(rows: DataFrame, key: str, order: list[str], shards: int, replica
 
     ``key`` decides the place on the ring and ``order`` (key included) the rank of rows in one place. Rows equal in
     all of ``order`` are interchangeable. A null key is a key like any other; an empty table gives no rows. ``rows``
-    must not have the columns added here: cell, arc, part, shard, slot, home_shard. It is read twice, the first time for the key only.
+    must not have the columns added here: cell, arc, part, shard, slot, home_shard. It is read twice. Rows are dealt to parts by all of ``order``, so
+    that rows which share a key, as a repeated id, are not all numbered by one task.
     """
     spark = rows.sparkSession
     points = ring_points(shards, replicas)
     cells = F.broadcast(_cells(spark, points))  # CELLS rows
-    part = F.pmod(F.xxhash64(F.lit("part"), F.col(key)), F.lit(splits)).cast("int")
+    part = F.pmod(F.xxhash64(F.lit("part"), *order), F.lit(splits)).cast("int")
 
     def placed(df):
         return df.withColumn("cell", key_cell(F.col(key))).join(cells, "cell").drop("cell").withColumn("part", part)
 
-    counts = placed(rows.select(key)).groupBy("arc", "part").agg(F.count("*").alias("rows"))
+    counts = placed(rows.select(*dict.fromkeys([key, *order]))).groupBy("arc", "part").agg(F.count("*").alias("rows"))
     by_arc = counts.groupBy("arc").agg(F.sum("rows").alias("rows"))
     home = _home(by_arc, points, shards)
     earlier = Window.partitionBy("arc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -185,6 +188,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, replicas: int = 64) -> Da
     """
     body = F.coalesce(docs["text"], F.lit("")).cast("binary")
     rows = docs.select(docs["doc_id"].alias("doc_id"), (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    rows = materialise(rows, "sizes")  # ids and numbers only: texts are read once
     placed = shard_rows(rows, "doc_id", ["doc_id", "text_crc32", "size"], shards, replicas)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home_shard"

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import free_name, in_batches, quoted, texts
+from tidemark.llm.common import free_name, in_batches, known_rows, quoted, texts
 from tidemark.llm.components import components
 from tidemark.session import materialise
 
@@ -190,10 +190,17 @@ def representatives(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     All columns are kept; of rows equal in doc_id and text one stays.
     """
     order = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("doc_id"), F.col("text_key").alias("text_key"))
-    chosen = near_duplicates(docs, max_bits).groupBy("root").agg(F.min(order).alias("one")).select("one.doc_id", "one.text_key")
-    kept_id, kept_text, copy = (free_name(docs, name) for name in ("kept_id", "kept_text", "copy"))
-    chosen = chosen.select(F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_text))
-    text_key = F.xxhash64(docs["text"])
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col(kept_id)) & (text_key == F.col(kept_text)), "inner")
-    same = Window.partitionBy(kept_id, kept_text).orderBy(F.lit(0))
-    return kept.withColumn(copy, F.row_number().over(same)).filter(F.col(copy) == 1).select(*map(quoted, docs.columns))
+    # Decided on ids and hashes; texts are read once more, and move only if they are repeated, or if more rows go than can be broadcast.
+    rows = materialise(near_duplicates(docs, max_bits).groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("copies")), "members")
+    chosen = materialise(rows.groupBy("root").agg(F.min(order).alias("one"), F.min_by("copies", order).alias("copies")), "chosen")
+    first = chosen.select("root", F.col("one.doc_id").alias("first_id"), F.col("one.text_key").alias("first_key"), "copies")
+    named = rows.select("root", "doc_id", "text_key").join(first.drop("copies"), "root")
+    others = named.filter(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))))
+    repeated = materialise(first.filter("copies > 1").select(F.col("first_id").alias("doc_id"), F.col("first_key").alias("text_key")), "repeated")
+    if repeated.isEmpty():
+        return known_rows(docs, others, "left_anti")
+    text_key, copy = free_name(docs, "text_key"), free_name(docs, "copy")
+    same = Window.partitionBy("doc_id", text_key).orderBy(F.lit(0))
+    copies = known_rows(docs, repeated, "left_semi").withColumn(text_key, F.xxhash64(docs["text"])).withColumn(copy, F.row_number().over(same))
+    once = copies.filter(F.col(copy) == 1).select(*map(quoted, docs.columns))
+    return known_rows(docs, others.select("doc_id", "text_key").unionByName(repeated), "left_anti").unionByName(once)

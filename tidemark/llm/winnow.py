@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import free_name, in_batches, texts
+from tidemark.llm.common import in_batches, known_rows, texts
 from tidemark.session import materialise
 
 WINDOW_WORDS = 13
@@ -211,8 +211,4 @@ def _typed() -> str:
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without contaminated rows, all columns kept; a row is recognised by its doc_id and a hash of its text."""
-    bad_id, bad_text = free_name(docs, "bad_id"), free_name(docs, "bad_text")
-    bad = contamination(docs, items).filter("contaminated")
-    bad = bad.select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_text)).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col(bad_id)) & (F.xxhash64(docs["text"]) == F.col(bad_text))
-    return docs.join(bad, same, "left_anti")
+    return known_rows(docs, contamination(docs, items).filter("contaminated"), "left_anti")
