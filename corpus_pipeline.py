@@ -45,7 +45,7 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-# Trained scores, XXH64 and CRC-32 have no counterpart in SQL; tests/llm/test_pipeline.py has a brute-force version.
+# Trained scores, XXH64 and CRC-32 have no counterpart in SQL; tests/llm/test_llm_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 
