@@ -153,12 +153,23 @@ def fields(table):
     return table("field string, condition string", *[(c, "left") for c in "abcdef"], *[("g", "right")] * 5)
 
 
+def test_values_are_numbered_in_order(spark, fields):
+    for terms in ("count(*) desc", [(F.count(F.lit(1)), "desc")], [F.min("field")], ["FIELD desc"], ["max(field)", "count(*)"]):
+        plain = introspect.value_frequencies(fields, "field", terms).collect()
+        placed = introspect.value_frequencies(fields, "field", terms, place="n").collect()
+        assert [tuple(row) for row in placed] == [(*row, i) for i, row in enumerate(plain, 1)]
+        few = introspect.value_frequencies(fields, "field", terms, max_records=3, place="n").collect()
+        assert [tuple(row) for row in few] == [tuple(row) for row in placed[:3]]
+    many = introspect.numbered(spark.range(5000).selectExpr("(id * 7919) % 5003 AS v"), [F.col("v").desc()], "n").collect()
+    assert [row.n for row in sorted(many, key=lambda row: -row.v)] == list(range(1, 5001))
+
+
 def test_column_values(fields):
     assert introspect.column_values(fields, "field") == ["g", *"abcdef"]
     assert introspect.column_values(fields, "field", order_by="field desc", max_records=2) == ["g", "f"]
     assert introspect.column_values(fields, "field", order_by="count(*) asc", max_records=2) == ["a", "b"]
     assert introspect.column_values(fields, "field", where="condition = 'right'") == ["g"]
-    assert introspect.column_values(fields, "field", order_by="count(*) desc, max(concat(field, ',')) desc") == [*"gfedcba"]
+    assert introspect.column_values(fields, "field", order_by=["count(*) desc", "max(concat(field, ',')) desc"]) == [*"gfedcba"]
     placed = introspect.value_frequencies(fields, "field", "max(condition) desc, field desc", max_records=2, place="place")
     assert [(row.value, row.place) for row in placed.collect()] == [("g", 1), ("f", 2)]
     assert introspect.column_values(fields, "field", where="false", default=["none"]) == ["none"]

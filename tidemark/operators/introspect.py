@@ -4,51 +4,65 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions._columns import as_column, as_predicate
+from tidemark.functions._columns import as_column, as_operand, as_predicate
+from tidemark.session import materialise
 
 MAX_DRIVER_ROWS = 10_000
 
 
-def _order_terms(order_by: str) -> list[str]:
-    """The terms of an ORDER BY list: cut at commas outside of parentheses and quotes."""
-    terms, depth, quote = [""], 0, ""
-    for char in order_by:
-        quote = "" if char == quote else char if not quote and char in "'\"`" else quote
-        depth += (char == "(") - (char == ")") if not quote else 0
-        if char == "," and not depth and not quote:
-            terms.append("")
-        else:
-            terms[-1] += char
-    return [term.strip() for term in terms]
+def _order_term(term) -> tuple[Column, bool]:
+    """The aggregate of a term and whether it sorts downwards."""
+    if isinstance(term, tuple):
+        aggregate, direction = term
+        return as_operand(aggregate), direction.lower() == "desc"
+    if isinstance(term, Column):
+        return term, False
+    head, _, last = term.strip().rpartition(" ")
+    return (F.expr(head), last.lower() == "desc") if last.lower() in ("asc", "desc") else (F.expr(term), False)
 
 
 def value_frequencies(
-    df: DataFrame, column, order_by: str = "count(*) desc", max_records: int | None = None, where=None, place: str | None = None
+    df: DataFrame, column, order_by="count(*) desc", max_records: int | None = None, where=None, place: str | None = None
 ) -> DataFrame:
     """Distinct values of ``column`` in the order of aggregates, ties by value.
 
-    ``order_by`` lists SQL aggregates or the column itself, each with an optional asc or desc. ``place`` names a column that
-    numbers the values in this order.
+    ``order_by`` is a term or a list of terms: SQL aggregates with an optional asc or desc at the end, Columns, or pairs of a Column and a
+    direction; the name of the column itself is a term as well. ``place`` names a column that numbers the values in this order.
     """
     rows = df if where is None else df.filter(as_predicate(where))
     value, keys, order = as_column(column), [], []
-    for i, term in enumerate(_order_terms(order_by)):
-        expression, direction = re.fullmatch(r"(.*?)(?:\s+(asc|desc))?\s*", term, re.IGNORECASE | re.DOTALL).groups()
-        if isinstance(column, str) and expression.strip().strip("`").lower() == column.lower():
-            expression = f"max(`{column}`)"
-        keys.append(F.expr(expression).alias(f"__order{i}"))
+    for i, term in enumerate(order_by if isinstance(order_by, list) else [order_by]):
+        own = isinstance(column, str) and isinstance(term, str) and re.fullmatch(rf"`?{re.escape(column)}`?(\s+(asc|desc))?", term.strip(), re.IGNORECASE)
+        expression, down = (F.max(value), term.strip().lower().endswith(" desc")) if own else _order_term(term)
+        keys.append(expression.alias(f"__order{i}"))
         key = F.col(f"__order{i}")
-        order.append(key.desc_nulls_last() if (direction or "").lower() == "desc" else key.asc_nulls_last())
+        order.append(key.desc_nulls_last() if down else key.asc_nulls_last())
     order.append(F.col("value").asc_nulls_last())
     counted = rows.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n_rows"), *keys)
-    if place:
-        counted = counted.withColumn(place, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-        order = [F.col(place)]
-    ordered = counted.orderBy(*order).drop(*[f"__order{i}" for i in range(len(keys))])
-    return ordered if max_records is None else ordered.limit(max_records)
+    hidden = [f"__order{i}" for i in range(len(keys))]
+    if max_records is not None:
+        counted = counted.orderBy(*order).limit(max_records)
+        if place:
+            counted = counted.withColumn(place, F.row_number().over(Window.orderBy(*order)).cast("bigint"))  # ``max_records`` rows
+        return counted.orderBy(*order).drop(*hidden)
+    return (numbered(counted, order, place) if place else counted).orderBy(*order).drop(*hidden)
+
+
+def numbered(df: DataFrame, order, name: str) -> DataFrame:
+    """``df`` with a column that numbers its rows in a total order from 1, without passing them through one task.
+
+    Rows are sorted into ranges, and numbered within each; what the ranges before hold is added to it. The table is written once, when this is called.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    ranged = materialise(ranged, "ranges")
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    firsts = sizes.select("__range", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return ranged.withColumn(name, within).join(F.broadcast(firsts), "__range").withColumn(name, F.col(name) + F.col("__before")).drop("__range", "__before")
 
 
 def collect_bounded(df: DataFrame, max_rows: int = MAX_DRIVER_ROWS) -> list:
@@ -59,7 +73,7 @@ def collect_bounded(df: DataFrame, max_rows: int = MAX_DRIVER_ROWS) -> list:
     return rows
 
 
-def column_values(df: DataFrame | None, column, order_by: str = "count(*) desc", max_records: int | None = None, default=None, where=None, max_rows: int = MAX_DRIVER_ROWS):
+def column_values(df: DataFrame | None, column, order_by="count(*) desc", max_records: int | None = None, default=None, where=None, max_rows: int = MAX_DRIVER_ROWS):
     """The values as a list; ``default`` if there are none or there is no table."""
     if df is None:
         if default is None:

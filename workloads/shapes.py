@@ -302,10 +302,25 @@ def column_values(spark, sf_dir):
 @query("SELECT o_orderpriority AS value, row_number() OVER (ORDER BY count(*) FILTER (WHERE o_totalprice > 100), max(o_totalprice) DESC, o_orderpriority) AS place FROM orders GROUP BY 1")
 def column_values_by_aggregate(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    values = introspect.value_frequencies(orders, "o_orderpriority", order_by="count_if(o_totalprice > 100) asc, max(o_totalprice) desc", place="place")
+    values = introspect.value_frequencies(orders, "o_orderpriority", order_by=["count_if(o_totalprice > 100) asc", "max(o_totalprice) desc"], place="place")
     return values.select("value", "place")
 
 
+@query("SELECT l_partkey AS value, count(*) AS n_rows, row_number() OVER (ORDER BY count(*) DESC, l_partkey) AS place FROM lineitem GROUP BY 1")
+def column_values_numbered(spark, sf_dir):
+    """All parts by how often they are ordered, numbered range by range."""
+    return introspect.value_frequencies(table(spark, sf_dir, "lineitem"), "l_partkey", place="place")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice >= (SELECT max(o_totalprice) FROM orders)")
+def empty_with_schema(spark, sf_dir):
+    """The rows of the largest price, united with the empty table of the same columns."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    top = orders.agg(F.max("o_totalprice").alias("top"))
+    largest = orders.filter(F.col("o_totalprice") >= top.scalar())
+    return introspect.empty_like(orders).unionByName(largest)
+
+
 @query("SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity >= (SELECT max(l_quantity) FROM lineitem)")
 def single_value(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
