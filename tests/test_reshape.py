@@ -153,6 +153,24 @@ def fields(table):
     return table("field string, condition string", *[(c, "left") for c in "abcdef"], *[("g", "right")] * 5)
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 16])
+def test_most_frequent_values(spark, buckets):
+    """Few buckets leave many candidates, but the result is that of counting everything."""
+    values = [i * i % 83 if i % 3 else i for i in range(2000)] + [None] * 40 + [5] * 300
+    df = spark.createDataFrame([(v, v % 2 == 0 if v is not None else None) for v in values], "v int, even boolean")
+    for most, where in ((1, None), (10, None), (10, "even"), (5000, None), (3, "false")):
+        wanted = introspect.value_frequencies(df, "v", max_records=most, where=where).collect()
+        assert introspect.most_frequent(df, "v", most, where, buckets).collect() == wanted
+
+
+def test_light_values_are_not_shuffled_by_value(spark):
+    df = spark.range(20_000).selectExpr("if(id % 4 = 0, id % 3, id) AS v")
+    found = introspect.most_frequent(df, "v", 3)
+    assert [row.n_rows for row in found.collect()] == [1668, 1667, 1667]
+    kept = found._jdf.queryExecution().executedPlan().toString()
+    assert kept.count("LeftSemi") >= 2
+
+
 def test_values_are_numbered_in_order(spark, fields):
     for terms in ("count(*) desc", [(F.count(F.lit(1)), "desc")], [F.min("field")], ["FIELD desc"], ["max(field)", "count(*)"]):
         plain = introspect.value_frequencies(fields, "field", terms).collect()
@@ -170,7 +188,7 @@ def test_column_values(fields):
     assert introspect.column_values(fields, "field", order_by="count(*) asc", max_records=2) == ["a", "b"]
     assert introspect.column_values(fields, "field", where="condition = 'right'") == ["g"]
     assert introspect.column_values(fields, "field", order_by=["count(*) desc", "max(concat(field, ',')) desc"]) == [*"gfedcba"]
-    placed = introspect.value_frequencies(fields, "field", "max(condition) desc, field desc", max_records=2, place="place")
+    placed = introspect.value_frequencies(fields, "field", ["max(condition) desc", "field desc"], max_records=2, place="place")
     assert [(row.value, row.place) for row in placed.collect()] == [("g", 1), ("f", 2)]
     assert introspect.column_values(fields, "field", where="false", default=["none"]) == ["none"]
     assert introspect.column_values(None, "field", default=[]) == []

@@ -11,6 +11,8 @@ from tidemark.functions._columns import as_column, as_operand, as_predicate
 from tidemark.session import materialise
 
 MAX_DRIVER_ROWS = 10_000
+# Buckets of each hash of a sketch; more of them leave fewer values to count.
+SKETCH_BUCKETS = 1 << 16
 
 
 def _order_term(term) -> tuple[Column, bool]:
@@ -51,6 +53,33 @@ def value_frequencies(
     return (numbered(counted, order, place) if place else counted).orderBy(*order).drop(*hidden)
 
 
+def most_frequent(df: DataFrame, column, max_records: int, where=None, buckets: int = SKETCH_BUCKETS) -> DataFrame:
+    """(value, n_rows): the ``max_records`` most frequent values, ties by value, as ``value_frequencies`` gives them, for columns of very many values.
+
+    A count-min sketch (rows per bucket of two hashes) is counted first: each task sends a number per bucket, however many values there are. The values of
+    the heaviest buckets are counted exactly, which gives a count that the result reaches in any case. A value is at most as frequent as each of its
+    buckets, so only values whose buckets both reach that count are counted in the end. Values of light buckets are never shuffled.
+    """
+    rows = (df if where is None else df.filter(as_predicate(where))).select(as_column(column).alias("value"))
+    places = [F.pmod(F.xxhash64(F.lit(seed), "value"), F.lit(buckets)).cast("int") for seed in range(2)]
+    marked = rows.select(F.explode(F.array(*[F.struct(F.lit(seed).alias("seed"), place.alias("bucket")) for seed, place in enumerate(places)])).alias("at"))
+    sketch = marked.groupBy("at.seed", "at.bucket").agg(F.count(F.lit(1)).alias("n_rows"))
+    sketch = materialise(sketch, "sketch")  # 2 x ``buckets`` rows at most
+
+    def counted(chosen: list[DataFrame]) -> DataFrame:
+        left = rows.withColumns({f"__bucket{seed}": place for seed, place in enumerate(places)})
+        for seed, found in enumerate(chosen):
+            left = left.join(F.broadcast(found.select(F.col("bucket").alias(f"__bucket{seed}"))), f"__bucket{seed}", "left_semi")
+        return left.groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+    by_seed = [sketch.filter(F.col("seed") == seed) for seed in range(2)]
+    heaviest = by_seed[0].orderBy(F.desc("n_rows"), "bucket").limit(4 * max_records)
+    reached = counted([heaviest]).orderBy(F.desc("n_rows")).limit(max_records).collect()  # ``max_records`` numbers
+    least = reached[-1].n_rows if len(reached) == max_records else 1
+    candidates = counted([found.filter(F.col("n_rows") >= least) for found in by_seed])
+    return candidates.orderBy(F.desc("n_rows"), F.col("value").asc_nulls_last()).limit(max_records)
+
+
 def numbered(df: DataFrame, order, name: str) -> DataFrame:
     """``df`` with a column that numbers its rows in a total order from 1, without passing them through one task.
 

@@ -306,6 +306,12 @@ def column_values_by_aggregate(spark, sf_dir):
     return values.select("value", "place")
 
 
+@query("SELECT l_orderkey AS value, count(*) AS n_rows FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, value LIMIT 50")
+def column_values_heavy(spark, sf_dir):
+    """The orders with the most lines, among very many orders."""
+    return introspect.most_frequent(table(spark, sf_dir, "lineitem"), "l_orderkey", 50)
+
+
 @query("SELECT l_partkey AS value, count(*) AS n_rows, row_number() OVER (ORDER BY count(*) DESC, l_partkey) AS place FROM lineitem GROUP BY 1")
 def column_values_numbered(spark, sf_dir):
     """All parts by how often they are ordered, numbered range by range."""
