@@ -1,8 +1,9 @@
 """Chat formatting by quotation linking: quotes are found, joined to the messages they come from, and removed.
 
 A message is read line by line; ``>`` marks (with or without blanks between them) give the quote level of a line, and consecutive lines of one level
-form a passage. Passages and their lines, normalised (lower case, white space collapsed) and hashed, are joined with
-the own text of earlier messages of the same conversation: whole messages, paragraphs and lines. A quote of the first level names the
+form a passage. Passages, normalised (lower case, white space collapsed) and hashed, are joined with the own text of earlier messages of the
+same conversation: whole messages, paragraphs, lines and sentences, a sentence being free of how its lines are wrapped. Where a whole passage is
+not found its paragraphs are looked up, and where none of those is found its lines and sentences. A quote of the first level names the
 message that is answered: the one that most quoted characters come from, the latest of equals. Following these links upward, by
 pointer doubling, gives every message the root and the depth at which it stands.
 """
@@ -23,7 +24,9 @@ from tidemark.session import materialise
 BLOCK_TURNS = 4096
 _LEVEL = re.compile(r"^((?:[ \t]?>)*)[ \t]?(.*)$", re.S)
 _ATTRIBUTION = re.compile(r"^.{0,200}\b(?:wrote|schrieb|escribió|a écrit)\s*:\s*$", re.I)
-WHOLE, LINE = "whole", "line"
+_SENTENCE = re.compile(r"(?<=[.!?])\s+")
+# What a quoted passage is looked up by; a later kind counts only where no earlier one is found.
+WHOLE, PARAGRAPH, PIECE = range(3)
 
 
 def normalised(passage: str) -> str:
@@ -55,39 +58,58 @@ def parse(text: str) -> tuple[str, list[tuple[int, str]]]:
     return "\n".join(own).strip("\n") if quotes else text, [(level, "\n".join(lines)) for level, lines in quotes]
 
 
+def _paragraphs(text: str) -> list[str]:
+    return re.split(r"\n\s*\n", text)
+
+
+def _pieces(text: str) -> list[str]:
+    """Lines, and sentences whatever lines they run over."""
+    return [*text.split("\n"), *(sentence for paragraph in _paragraphs(text) for sentence in _SENTENCE.split(normalised(paragraph)))]
+
+
 def _units(own: str) -> set[int]:
     """Hashes under which a message can be quoted."""
-    pieces = [own, *re.split(r"\n\s*\n", own), *own.split("\n")]
+    pieces = [own, *_paragraphs(own), *_pieces(own)]
     return {h for h in map(passage_hash, pieces) if h is not None}
 
 
-_QUOTE = pa.list_(pa.struct([("level", pa.int32()), ("passage", pa.int32()), ("kind", pa.string()), ("hash", pa.int64()), ("chars", pa.int32())]))
+def _passage_id(number: int, passage: str) -> int:
+    """Tells the passages of a message apart, and those of messages in one place."""
+    return int.from_bytes(hashlib.blake2b(f"{number}:{passage}".encode(), digest_size=8).digest(), "big", signed=True)
+
+
+_PASSAGES = pa.list_(pa.struct([("passage", pa.int64()), ("text", pa.string())]))
+_QUOTE = pa.list_(pa.struct([("level", pa.int32()), ("passage", pa.int64()), ("kind", pa.int32()), ("hash", pa.int64()), ("chars", pa.int32())]))
 
 
 def _parsed(batches):
     for batch in batches:
-        owns, units, quotes = [], [], []
+        owns, units, quotes, passages = [], [], [], []
         for raw in texts(batch):
             own, found = parse((raw or b"").decode())
             owns.append(None if raw is None else own)
             units.append(sorted(_units(own)))
-            rows = []
+            rows, named = [], []
             for number, (level, passage) in enumerate(found):
-                for kind, pieces in ((WHOLE, [passage]), (LINE, passage.split("\n"))):
-                    for piece in pieces:
-                        if (h := passage_hash(piece)) is not None:
-                            rows.append({"level": level, "passage": number, "kind": kind, "hash": h, "chars": len(normalised(piece))})
+                own_id = _passage_id(number, passage)
+                named.append({"passage": own_id, "text": passage})
+                for kind, pieces in ((WHOLE, [passage]), (PARAGRAPH, _paragraphs(passage)), (PIECE, _pieces(passage))):
+                    for piece in set(map(normalised, pieces)):
+                        if piece:
+                            rows.append({"level": level, "passage": own_id, "kind": kind, "hash": passage_hash(piece), "chars": len(piece)})
             quotes.append(rows)
-        columns = [pa.array(owns, pa.string()), pa.array(units, pa.list_(pa.int64())), pa.array(quotes, _QUOTE)]
+            passages.append(named)
+        columns = [pa.array(owns, pa.string()), pa.array(units, pa.list_(pa.int64())), pa.array(quotes, _QUOTE), pa.array(passages, _PASSAGES)]
         place = [batch.column(c) for c in ("conv_id", "turn", "role")]
-        yield pa.RecordBatch.from_arrays([*place, *columns], ["conv_id", "turn", "role", "own", "units", "quotes"])
+        yield pa.RecordBatch.from_arrays([*place, *columns], ["conv_id", "turn", "role", "own", "units", "quotes", "passages"])
 
 
 def parsed(messages: DataFrame) -> DataFrame:
     rows = messages.select(*(messages[c].alias(c) for c in ("conv_id", "turn", "role", "text")))
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("conv_id", "turn", "role"))
-    quotes = "array<struct<level: int, passage: int, kind: string, hash: bigint, chars: int>>"
-    return in_batches(rows, _parsed, f"{kinds}, own string, units array<bigint>, quotes {quotes}")
+    quotes = "array<struct<level: int, passage: bigint, kind: int, hash: bigint, chars: int>>"
+    passages = "array<struct<passage: bigint, text: string>>"
+    return in_batches(rows, _parsed, f"{kinds}, own string, units array<bigint>, quotes {quotes}, passages {passages}")
 
 
 def _latest_original(quotes: DataFrame, originals: DataFrame) -> DataFrame:
@@ -115,15 +137,16 @@ def _latest_original(quotes: DataFrame, originals: DataFrame) -> DataFrame:
 
 
 def links(read: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, passage, source, chars): originals found for the quoted passages; lines count where the whole is not found."""
+    """(conv_id, turn, level, passage, source, chars): originals found for the quoted passages, by the first kind that finds any."""
     placed = read.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
     quotes = placed.select("conv_id", "turn", F.inline("quotes")).distinct()
     originals = placed.select("conv_id", "turn", F.explode("units").alias("hash")).distinct()
     found = _latest_original(quotes, originals).filter("source IS NOT NULL")
-    whole = found.filter(F.col("kind") == WHOLE).select("conv_id", "turn", "level", "passage").distinct()
-    lines = found.filter(F.col("kind") == LINE).join(whole, ["conv_id", "turn", "level", "passage"], "left_anti")
-    kept = found.filter(F.col("kind") == WHOLE).unionByName(lines)
-    return kept.groupBy("conv_id", "turn", "level", "passage", "source").agg(F.sum("chars").alias("chars"))
+    key = ["conv_id", "turn", "level", "passage"]
+    by_kind = found.groupBy(*key, "kind", "source").agg(F.sum("chars").alias("chars"))
+    by_kind = by_kind.groupBy(*key, "kind").agg(F.collect_list(F.struct("source", "chars")).alias("sources"))  # as many as a passage has pieces
+    best = by_kind.groupBy(*key).agg(F.min_by("sources", "kind").alias("sources"))
+    return best.select(*key, F.inline("sources"))
 
 
 def threads(answers: DataFrame) -> DataFrame:
@@ -147,11 +170,11 @@ def threads(answers: DataFrame) -> DataFrame:
 
 def linked_conversations(messages: DataFrame) -> DataFrame:
     """One row per row of ``messages``, without quotes and in reply order: conv_id, root_turn, depth, turn, role, parent_turn,
-    n_quotes, n_linked, text.
+    n_quotes, n_linked, text, unlinked.
 
     Rows are sorted by conversation, then by the turn that a thread starts with, then by depth and turn: every answer stands after
     what it answers. A message that answers nobody is its own root at depth 0. ``n_quotes`` counts quoted passages, ``n_linked`` those
-    whose original was found. Null texts stay null, empty ones empty; a message without conv_id or turn stands for itself.
+    whose original was found; the others, which may be no quotes at all but look like some (a prompt, say), are kept in ``unlinked``, without their marks. Null texts stay null, empty ones empty; a message without conv_id or turn stands for itself.
     Messages with equal conv_id and turn are one place in the conversation. Columns other than conv_id, turn, role, text are not
     read. An empty table gives no rows.
     """
@@ -161,9 +184,10 @@ def linked_conversations(messages: DataFrame) -> DataFrame:
     answers = by_source.groupBy("conv_id", "turn").agg(F.max(F.struct("chars", "source")).alias("best"))
     answers = materialise(answers.select("conv_id", "turn", F.col("best.source").alias("parent_turn")), "answers")
     placed = threads(answers).join(answers, ["conv_id", "turn"])
-    counted = found.select("conv_id", "turn", "passage").distinct().groupBy("conv_id", "turn").agg(F.count("*").alias("n_linked"))
+    counted = found.groupBy("conv_id", "turn").agg(F.collect_set("passage").alias("linked"))
     joined = read.join(placed, ["conv_id", "turn"], "left").join(counted, ["conv_id", "turn"], "left")
-    passages = F.size(F.array_distinct(F.transform("quotes", lambda q: q["passage"])))
+    linked = F.coalesce("linked", F.array().cast("array<bigint>"))
+    meant = F.array_distinct(F.transform("quotes", lambda q: q["passage"]))  # an empty quote is none
     placed_rows = joined.select(
         "conv_id",
         F.coalesce("root_turn", "turn").alias("root_turn"),
@@ -171,8 +195,9 @@ def linked_conversations(messages: DataFrame) -> DataFrame:
         "turn",
         "role",
         "parent_turn",
-        passages.cast("long").alias("n_quotes"),
-        F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"),
+        F.size(meant).cast("long").alias("n_quotes"),
+        F.size(F.array_intersect(meant, linked)).cast("long").alias("n_linked"),
         F.col("own").alias("text"),
+        F.transform(F.filter("passages", lambda p: ~F.array_contains(linked, p["passage"])), lambda p: p["text"]).alias("unlinked"),
     )
     return placed_rows.orderBy("conv_id", "root_turn", "depth", "turn")
