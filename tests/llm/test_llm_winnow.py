@@ -88,7 +88,8 @@ def test_edges(edge_documents, no_documents, items):
 
 
 def test_a_full_bit_table_changes_nothing(documents, items, monkeypatch):
-    monkeypatch.setattr(winnow, "BITS", 64)
+    monkeypatch.setattr(winnow, "LEAST_BITS", 64)
+    monkeypatch.setattr(winnow, "MOST_BITS", 64)
     rows = [(i, f"a{i} b c d e f g h i j k l m n{i}") for i in range(30)]
     assert found(documents(rows), items([(i, t, "x") for i, t in rows[:20]])) == sorted((str(i), judged(t, rows[:20])) for i, t in rows)
 
@@ -97,3 +98,11 @@ def test_clean_rows_stay_whole(edge_documents, items):
     kept = winnow.without_contaminated(edge_documents, items([(1, "the same text in two documents", "x")]))
     assert kept.columns == edge_documents.columns
     assert kept.count() == edge_documents.count() - 2
+
+
+def test_the_bit_table_grows_with_the_benchmark(documents, items, monkeypatch):
+    assert [winnow.table_bits(n) for n in (0, 1000, 1 << 17, 10**9)] == [winnow.LEAST_BITS, winnow.LEAST_BITS, 1 << 23, winnow.MOST_BITS]
+    monkeypatch.setattr(winnow, "LEAST_BITS", 64)
+    text = " ".join(f"w{i}" for i in range(40))
+    found = winnow.contamination(documents([(1, text), (2, "other words")]), items([(5, " ".join(f"w{i}" for i in range(10, 30)), "x")])).collect()
+    assert sorted((r.doc_id, r.n_hit, r.n_items) for r in found) == [(1, 20, 1), (2, 0, 0)]

@@ -6,8 +6,8 @@ length names a class. For a window of n words, k = (n + 1) // 2 and of every n -
 of documents and items are joined on the hash; each hit carries the words around it and is extended to both sides, and a run of n equal words
 is an occurrence. Word comparison is by 64-bit hash.
 
-Documents drop hashes that miss a bit table of the benchmark's hashes before the join. The table has a fixed size
-(``BITS``); a benchmark that fills it only makes the join larger.
+Documents drop hashes that miss a bit table of the benchmark's hashes before the join. The table grows with the number of those hashes, up to
+``MOST_BITS`` (16 MB); a benchmark that fills it only makes the join larger.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from tidemark.session import materialise
 
 WINDOW_WORDS = 13
 SHARE = 20
-BITS = 1 << 22
+LEAST_BITS, MOST_BITS = 1 << 22, 1 << 27
+BITS_PER_GRAM = 64
 _BREAKS = bytes(range(0x30)) + bytes(range(0x3A, 0x61)) + bytes(range(0x7B, 0x80))
 # A-Z become a-z, whatever does not belong to a word becomes a blank, bytes beyond ASCII stay.
 _TO_WORDS = bytes(0x20 if (b in _BREAKS and not 0x41 <= b <= 0x5A) else (b + 32 if 0x41 <= b <= 0x5A else b) for b in range(256))
@@ -110,7 +111,7 @@ def _document_rows(lengths: list[int], table):
         first, number = TaskContext.get().partitionId() << 40, count()
 
         def keep(grams):
-            place = (grams & np.uint64(BITS - 1)).astype(np.int64)
+            place = (grams & np.uint64(8 * len(bits) - 1)).astype(np.int64)
             return np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
 
         for batch in batches:
@@ -129,12 +130,19 @@ def _document_rows(lengths: list[int], table):
     return rows
 
 
+def table_bits(grams: int) -> int:
+    """Size of the bit table for a number of hashes, a power of two."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (max(1, grams * BITS_PER_GRAM) - 1).bit_length()))
+
+
 def _bit_table(grams: DataFrame) -> bytes:
-    """BITS bits; gathered as at most BITS / 64 numbers."""
-    place = F.col("gram").bitwiseAND(F.lit(BITS - 1)).cast("int")
+    """Gathered as at most one number for 64 bits."""
+    grams = grams.select("gram").distinct()
+    size = table_bits(grams.count())
+    place = F.col("gram").bitwiseAND(F.lit(size - 1)).cast("int")
     word = grams.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, CAST(gram & 63 AS int))").alias("bit"))
     table = word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bits = np.zeros(BITS // 64, np.int64)
+    bits = np.zeros(size // 64, np.int64)
     bits[table["word"].to_numpy()] = table["bits"].to_numpy()
     return bits.tobytes()
 
@@ -176,7 +184,7 @@ def contamination(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_
     item_rows = in_batches(rows, _item_rows(window_words), f"item_id {kind}, found array<struct<{_typed()}>>")
     marks = materialise(item_rows.select("item_id", F.inline("found")).withColumn("around_id", F.xxhash64("len", "around", "gram")), "marks")
     lengths = sorted(row.len for row in marks.select("len").distinct().collect())  # at most window_words
-    table = spark.sparkContext.broadcast(_bit_table(marks))  # BITS / 8 bytes
+    table = spark.sparkContext.broadcast(_bit_table(marks))  # MOST_BITS / 8 bytes at most
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("text_key"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {kind}, text_key long, n_words long, found array<struct<{_typed()}>>"
