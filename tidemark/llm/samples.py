@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
+# Labels whose counts are broadcast; they are counted first.
+BROADCAST_LABELS = 100_000
+
 
 def labelled_sample(labels: DataFrame, per_class: int, total: int | None = None) -> tuple[DataFrame, DataFrame]:
     """At most ``per_class`` (doc_id, label) rows of each label, the same ones each time, and the number ``n`` of rows of each label.
@@ -14,12 +19,15 @@ def labelled_sample(labels: DataFrame, per_class: int, total: int | None = None)
     """
     known = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").select("doc_id", F.col("label").cast("string").alias("label"))
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
-    counts = known.groupBy("label").agg(F.count("*").alias("n"))
+    counts = materialise(known.groupBy("label").agg(F.count("*").alias("n")), "label_counts")
+    labels_found = counts.count()
     if total:
-        per_class = max(1, min(per_class, total // max(1, counts.count())))
-    # A share of each class that surely holds enough rows, so that the ranking below sees few rows however large the class is.
+        per_class = max(1, min(per_class, total // max(1, labels_found)))
+    # A share of each class that surely holds enough rows, so that the ranking below sees few rows however large the class is. The counts go to the
+    # rows, so that a large class is cut down before its rows meet.
+    sizes = F.broadcast(counts) if labels_found <= BROADCAST_LABELS else counts
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    near = known.join(counts, "label").withColumn("place", place).filter(F.col("place") < (2 * per_class + 100) / F.col("n"))
+    near = known.join(sizes, "label").withColumn("place", place).filter(F.col("place") < (2 * per_class + 100) / F.col("n"))
     first = Window.partitionBy("label").orderBy("place", "doc_id")
     return near.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_class).select("doc_id", "label", "rank"), counts
 
