@@ -77,6 +77,11 @@ def impact(tf, m):
     return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
+def place_type(documents: int):
+    """Of the places of documents in a block."""
+    return np.uint16 if documents <= 1 << 16 else np.uint32
+
+
 def pack_block(m: int, ids: list, hashes: list, tfs: list) -> dict:
     """Postings of the documents of one stratum, by term and falling tf."""
     doc = np.repeat(np.arange(len(ids), dtype=np.uint32), [len(x) for x in hashes])
@@ -94,7 +99,7 @@ def pack_block(m: int, ids: list, hashes: list, tfs: list) -> dict:
         "groups": np.diff(np.append(np.flatnonzero(new_term[heads]), len(heads))).astype(np.int32).tobytes(),
         "group_tfs": tf[heads].astype(np.int32).tobytes(),
         "group_sizes": np.diff(np.append(heads, len(term))).astype(np.int32).tobytes(),
-        "docs": doc.tobytes(),
+        "docs": doc.astype(place_type(len(ids))).tobytes(),
     }
 
 
@@ -189,7 +194,7 @@ class _Block:
         self.starts = np.zeros(len(items.terms) + 1, np.int64)
         self.starts[asked + 1] = first_doc[first_group[here + 1]] - first_doc[first_group[here]]
         self.starts = np.cumsum(self.starts)
-        self.docs = np.frombuffer(row["docs"], np.uint32)[_ranges(first_doc[chosen], sizes[chosen])]
+        self.docs = np.frombuffer(row["docs"], place_type(len(self.ids)))[_ranges(first_doc[chosen], sizes[chosen])]
         self.impacts = np.repeat(impacts, sizes[chosen])
         best = np.zeros(len(items.terms), np.int64)
         best[asked] = impacts[np.concatenate(([0], np.cumsum(groups[here])[:-1]))] if len(asked) else 0
