@@ -135,7 +135,7 @@ class KeySummaries:
             return sorted(self.without)
         asked = source.select(*keys)
         ends = asked.agg(F.min(_key(keys)).alias("least"), F.max(_key(keys)).alias("most"))
-        near = self.parts.crossJoin(F.broadcast(ends)).filter("low <= most AND high >= least")  # one row of ends
+        near = self.parts.filter((F.col("low") <= ends.select("most").scalar()) & (F.col("high") >= ends.select("least").scalar()))
         near = near.select("fingerprint", "low", "high", "words")
         rows = near.collect()  # a row per partition
         if not rows:
